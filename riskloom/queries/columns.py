@@ -127,7 +127,7 @@ def clean_dedupe(t: Tables) -> DataFrame:
     "safe_ratios", "P11 P12 P13 P15",
     """SELECT l_orderkey, l_linenumber,
     round(CASE WHEN l_quantity - l_linenumber <> 0 THEN least(1.0, greatest(0.0, l_discount * 100 / (l_quantity - l_linenumber))) END, 6) AS share,
-    round(coalesce(l_extendedprice / nullif(l_quantity - 1, 0), 0), 4) AS per_unit,
+    round(coalesce(l_extendedprice / nullif(l_quantity - 1, 0), 0), 8) AS per_unit,
     CAST(trim(CASE WHEN l_linestatus = 'O' THEN '  ' ELSE l_returnflag END) <> '' AS INT) AS present FROM lineitem""",
 )
 def safe_ratios(t: Tables) -> DataFrame:
@@ -135,7 +135,7 @@ def safe_ratios(t: Tables) -> DataFrame:
     return t.lineitem.select(
         "l_orderkey", "l_linenumber",
         r6(N.share(F.col("l_discount") * 100, F.col("l_quantity") - F.col("l_linenumber"))).alias("share"),
-        r6(N.ratio_or_zero("l_extendedprice", F.col("l_quantity") - 1), 4).alias("per_unit"),
+        r6(N.ratio_or_zero("l_extendedprice", F.col("l_quantity") - 1), 8).alias("per_unit"),
         CL.text_present(note).alias("present"),
     )
 
@@ -144,7 +144,7 @@ def safe_ratios(t: Tables) -> DataFrame:
     "engineered_features", "P15",
     """SELECT l_orderkey, l_linenumber,
     round(CASE WHEN l_quantity <> 0 THEN least(1.0, greatest(0.0, l_linenumber / l_quantity)) END, 6) AS taux_rendu_devoirs,
-    round(coalesce(l_extendedprice / nullif(l_quantity, 0), 0), 4) AS heures_lms_par_connexion,
+    round(coalesce(l_extendedprice / nullif(l_quantity, 0), 0), 8) AS heures_lms_par_connexion,
     round(coalesce(l_linenumber / nullif(l_quantity, 0), 0), 6) AS ressources_par_connexion,
     CAST(l_returnflag <> '' AS INT) AS commentaire_present,
     date_diff('day', (SELECT min(CAST(l_shipdate AS DATE)) FROM lineitem), CAST(l_shipdate AS DATE)) AS jours_inscription
@@ -159,7 +159,7 @@ def engineered_features(t: Tables) -> DataFrame:
     )
     return CL.add_features(rows).select(
         "l_orderkey", "l_linenumber", r6("taux_rendu_devoirs").alias("taux_rendu_devoirs"),
-        r6("heures_lms_par_connexion", 4).alias("heures_lms_par_connexion"),
+        r6("heures_lms_par_connexion", 8).alias("heures_lms_par_connexion"),
         r6("ressources_par_connexion").alias("ressources_par_connexion"),
         "commentaire_present", F.col("jours_inscription").cast("long").alias("jours_inscription"),
     )

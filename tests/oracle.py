@@ -72,7 +72,7 @@ def main(names: list[str]) -> int:
     from riskloom.queries import REGISTRY
     from riskloom.session import get_session
 
-    spark = get_session("oracle", "local[8]", **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8"})
+    spark = get_session("oracle", "local[8]", **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "8"})
     spark.sparkContext.setLogLevel("ERROR")
     con, failed = connection(), 0
     for name, q in REGISTRY.items():
