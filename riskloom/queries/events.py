@@ -196,11 +196,11 @@ def pending_alerts(t: Tables) -> DataFrame:
 @query(
     "silence_gaps", "T6",
     """WITH g AS (SELECT user_id, event_id, (epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id)) / 1000000.0::DOUBLE AS gap FROM events)
-    SELECT user_id, event_id, round(gap, 5) AS gap_seconds FROM g WHERE gap > 43200""",
+    SELECT user_id, event_id, round(gap, 6) AS gap_seconds FROM g WHERE gap > 43200""",
 )
 def silence_gaps(t: Tables) -> DataFrame:
     out = RT.silence_gaps(t.events, ["user_id"], 43_200)
-    return out.select("user_id", "event_id", r6("gap_seconds", 5).alias("gap_seconds"))
+    return out.select("user_id", "event_id", r6("gap_seconds").alias("gap_seconds"))
 
 
 @query(

@@ -108,9 +108,10 @@ class TableStore:
         """
         self.require_batch(batch_id)
         stamp = utc_now()
+        newest = self.read("gold_prediction").agg(F.max("id")).first()[0]
         rows = scored.withColumns(
             {
-                "id": F.monotonically_increasing_id() + F.lit(int(stamp.timestamp()) << 33),
+                "id": F.monotonically_increasing_id() + F.lit((newest or 0) + 1),
                 "batch_id": F.lit(batch_id),
                 "model_version": F.lit(model_version or None).cast("string"),
                 "threshold": F.lit(float(threshold)),

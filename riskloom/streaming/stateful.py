@@ -35,7 +35,8 @@ class _WindowedTimes(StatefulProcessor):
         self.limit, self.window = limit, seconds * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.times = handle.getValueState("times", _TIMES, ttlDurationMs=None)
+        self.handle = handle
+        self.times = handle.getValueState("times", _TIMES)
 
     def close(self) -> None:
         pass
@@ -47,11 +48,19 @@ class _WindowedTimes(StatefulProcessor):
         return [t for t in times if t > now - self.window]
 
     def keep(self, times: list[int]) -> None:
+        """Store the times and wake up when the newest one stops counting."""
+        for due in self.handle.listTimers():
+            self.handle.deleteTimer(due)
         if times:
             self.times.update((times,))
+            self.handle.registerTimer((times[-1] + self.window) // 1000 + 1)
         else:
             self.times.clear()
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
+        self.times.clear()
+        yield from ()
+
 
 class CallLimiter(_WindowedTimes):
     """Allow at most ``limit`` calls per trailing window; refused calls do not count."""
@@ -93,28 +102,34 @@ class FailureLockout(_WindowedTimes):
         )
 
 
-def limited_calls(events: DataFrame, key: str, limit: int, seconds: int = 60, ts: str = "ts") -> DataFrame:
-    """Stream of (key, event_id, allowed, retry_after)."""
-    rows = events.select(
-        F.col(key).cast("string").alias("key"), "event_id",
-        F.unix_micros(F.col(ts).cast("timestamp")).alias("us"),
+def _keyed(events: DataFrame, key: str, ts: str, delay: str, *more) -> DataFrame:
+    """Key, id, event time (with watermark) and micros of each event."""
+    timed = events.withColumn("_at", F.col(ts).cast("timestamp")).withWatermark("_at", delay)
+    return timed.select(
+        F.col(key).cast("string").alias("key"), "event_id", "_at", F.unix_micros("_at").alias("us"), *more
     )
+
+
+def limited_calls(
+    events: DataFrame, key: str, limit: int, seconds: int = 60, ts: str = "ts", delay: str = "10 minutes"
+) -> DataFrame:
+    """Stream of (key, event_id, allowed, retry_after)."""
+    rows = _keyed(events, key, ts, delay)
     return rows.groupBy("key").transformWithStateInPandas(
         CallLimiter(limit, seconds), "key string, event_id bigint, allowed boolean, retry_after bigint",
-        "Append", "ProcessingTime",
+        "Append", "EventTime",
     )
 
 
-def lockouts(events: DataFrame, key: str, failed, succeeded, limit: int = 5, seconds: int = 900, ts: str = "ts") -> DataFrame:
+def lockouts(
+    events: DataFrame, key: str, failed, succeeded, limit: int = 5, seconds: int = 900, ts: str = "ts",
+    delay: str = "10 minutes",
+) -> DataFrame:
     """Stream of (key, event_id, refused, failures)."""
-    rows = events.select(
-        F.col(key).cast("string").alias("key"), "event_id",
-        F.unix_micros(F.col(ts).cast("timestamp")).alias("us"),
-        failed.alias("failed"), succeeded.alias("succeeded"),
-    )
+    rows = _keyed(events, key, ts, delay, failed.alias("failed"), succeeded.alias("succeeded"))
     return rows.groupBy("key").transformWithStateInPandas(
         FailureLockout(limit, seconds), "key string, event_id bigint, refused boolean, failures bigint",
-        "Append", "ProcessingTime",
+        "Append", "EventTime",
     )
 
 
