@@ -325,7 +325,7 @@ def retraining_cycle(t: Tables) -> DataFrame:
     FS.write_report(features, summary, report)
     MO.retraining_cycle(
         store, _cohort(t), _catalogue(t), report, scratch_path(t.spark, "bundle"), datetime(2020, 1, 1).date(), True,
-        datetime(2024, 1, 8, 7, tzinfo=timezone.utc), c_grid=(0.1,), folds=1,
+        now=datetime(2024, 1, 8, 7, tzinfo=timezone.utc), c_grid=(0.1,), folds=1,
     )
     return store.read("model_alias_event").join(store.read("model_version"), ["name", "version"]).select(
         "name", "alias", "version", F.map_keys("metrics").alias("gate_metrics")
