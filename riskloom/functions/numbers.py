@@ -38,21 +38,21 @@ def trend(first, last, delta: float = K.TREND_DELTA) -> Column:
     )
 
 
-def cut_index(x, edges: Sequence[float]) -> Column:
-    """How many of the sorted ``edges`` are <= x, as a balanced tree of comparisons.
+def cut_index(column: str, edges: Sequence[float]) -> Column:
+    """How many of the sorted ``edges`` are <= the column, as a balanced tree of comparisons.
 
     A decision tree of depth log2(len(edges)) compiles to a few branches per row and
     compares with the very literals given, so float edges match to the last bit.
     """
-    value = _col(x)
+    name = f"`{column}`"
 
-    def tree(lo: int, hi: int) -> Column:
+    def tree(lo: int, hi: int) -> str:
         if lo == hi:
-            return F.lit(lo)
+            return str(lo)
         mid = (lo + hi) // 2
-        return F.when(value >= F.lit(float(edges[mid])), tree(mid + 1, hi)).otherwise(tree(lo, mid))
+        return f"IF({name} >= {float(edges[mid])!r}D, {tree(mid + 1, hi)}, {tree(lo, mid)})"
 
-    return F.when(value.isNotNull(), tree(0, len(edges)))
+    return F.expr(f"IF({name} IS NULL, NULL, {tree(0, len(edges))})")
 
 
 def expires_at(created, days: int = K.RETENTION_DAYS) -> Column:

@@ -163,21 +163,29 @@ def group_statistics(
     Groups under ``min_size`` are published only together, and not at all when the pool
     is itself too small. ``hidden_groups`` counts the groups that were pooled.
     """
-    named = df.select(
-        F.coalesce(X.clean_text(group), F.lit(unknown_label)).alias("_g"),
-        F.col(score).alias("_s"), F.col(alert).alias("_a"),
+    # Three passes follow; a stored narrow table spares them the joins behind ``df``.
+    named = R.kept(
+        df.select(
+            F.coalesce(X.clean_text(group), F.lit(unknown_label)).alias("_g"),
+            F.col(score).alias("_s"), F.col(alert).alias("_a"),
+        )
     )
-    sizes = R.sized(named.groupBy("_g").agg(F.count(F.lit(1)).alias("_size")))
-    pooled = F.col("_size") < min_size
-    rows = R.join_on(named, sizes, ["_g"]).select(
-        F.when(pooled, F.lit(pool_label)).otherwise(F.col("_g")).alias(group),
-        pooled.alias("aggregated"), "_s", "_a",
+    sizes = R.sized(
+        named.groupBy("_g").agg(
+            F.count(F.lit(1)).alias("_size"), F.count("_s").alias("_n"), F.sum("_a").cast("long").alias("alertes")
+        )
     )
+    pooled = F.col("_size") < min_size
+    label = F.when(pooled, F.lit(pool_label)).otherwise(F.col("_g")).alias(group)
+    rows = R.join_on(named, sizes.select("_g", "_size"), ["_g"]).select(label, pooled.alias("aggregated"), "_s")
     stats = R.order_statistics(
         rows, [group, "aggregated"], "_s",
         {**R.median_picks(), **R.upper_decile_picks()},
-        measures={"alertes": F.sum("_a").cast("long")},
+        measures={"alertes": F.sum("alertes")},
         count_name="effectif",
+        sizes=sizes.groupBy(label, pooled.alias("aggregated")).agg(
+            F.sum("_n").alias("_n"), F.sum("alertes").alias("alertes")
+        ),
     )
     hidden = sizes.where(pooled).agg(F.count(F.lit(1)).alias("n"))
     return stats.where(F.col("effectif") >= min_size).select(

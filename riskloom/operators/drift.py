@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom import constants as K
+from riskloom.functions import numbers as N
 from riskloom.operators import ordered as R
 from riskloom.operators.perimeter import common_columns, split_by_type
 from riskloom.operators.quality import long_form
@@ -77,21 +78,26 @@ def bin_edges(reference: DataFrame, current: DataFrame, bins: int = 10) -> DataF
     )
 
 
-def binned_shares(values: DataFrame, edges: DataFrame) -> DataFrame:
-    """Counts per (feature, bin, side) for (feature, side, value) rows."""
-    # One row per feature: bounded by the schema's width.
-    placed = values.join(F.broadcast(edges.select("feature", "inner_edges")), "feature")
-    index = F.size(F.filter("inner_edges", lambda e: e <= F.col("value"))) + 1
-    return placed.groupBy("feature", "side", index.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+def binned(df: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFrame:
+    """Counts per (feature, bin): a CASE tree per column, then a narrow unpivot of bin numbers."""
+    columns = list(edges)
+    placed = _as_number(df, columns).select(*[(N.cut_index(c, edges[c]) + 1).alias(c) for c in columns])
+    rows = placed.unpivot([], columns, "feature", "bin").where(F.col("bin").isNotNull())
+    return rows.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"))
 
 
 def psi(reference: DataFrame, current: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
     """Population stability index per feature; NULL when a side has no values."""
-    ref, cur = feature_values(reference, columns), feature_values(current, columns)
-    edges = R.kept(bin_edges(ref, cur, bins))
-    both = ref.withColumn("side", F.lit("r")).unionByName(cur.withColumn("side", F.lit("c")))
+    edges = R.kept(
+        bin_edges(feature_values(reference, columns), feature_values(current, columns), bins)
+    )
+    # At most bins - 1 numbers per column: bounded by the schema's width.
+    known = {r["feature"]: [e for e in r["inner_edges"] if e is not None] for r in edges.collect()}
+    if not known:
+        return edges.select("feature", F.lit(None).cast("double").alias("psi"))
     counted = (
-        binned_shares(both, edges)
+        binned(reference, known).withColumn("side", F.lit("r"))
+        .unionByName(binned(current, known).withColumn("side", F.lit("c")))
         .groupBy("feature", "bin")
         .agg(
             F.sum(F.when(F.col("side") == "r", F.col("n")).otherwise(0)).alias("r"),

@@ -114,50 +114,34 @@ def order_statistics(
     count_name: str = "n",
     small_group: int = 1_000_000,
     accuracy: int = 100_000,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Exact values at given ranks per group, plus further aggregate ``measures``.
 
     ``picks`` maps a result name to (rough position in (0, 1), exact 1-based rank as a
-    function of the number of values). Rows outside the bands are only counted, so no
+    function of the number of values). ``sizes`` may hand in the group sizes (keys, ``_n``
+    and the measures) when they are already known. Rows outside the bands are only counted, so no
     task sees more than ``small_group`` rows or about 6/accuracy of a larger group.
     """
     measures = dict(measures or {})
-    centres = sorted({p for p, _ in picks.values()})
-    margin = 3.0 / accuracy
-    probs = [q for p in centres for q in (max(0.0, p - margin), min(1.0, p + margin))]
     keyed = df if keys else df.withColumn("_all", F.lit(0))
     keys = list(keys) or ["_all"]
-
     side = sized(
-        keyed.groupBy(*keys).agg(
-            F.count(value).alias("_n"),
-            F.percentile_approx(value, probs, accuracy).alias("_q"),
-            *[c.alias(n) for n, c in measures.items()],
-        )
+        sizes if sizes is not None
+        else keyed.groupBy(*keys).agg(F.count(value).alias("_n"), *[c.alias(n) for n, c in measures.items()])
     )
     rows = keyed.select(*keys, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-    near = join_on(rows, side.select(*keys, "_n", "_q"), keys)
-    lows = [F.element_at("_q", 2 * i + 1) for i in range(len(centres))]
-    highs = [F.element_at("_q", 2 * i + 2) for i in range(len(centres))]
-    is_small = F.col("_n") <= small_group
-    in_band, zone = is_small, F.lit(0)
-    for low, high in zip(lows, highs):
-        in_band = in_band | F.col("_v").between(low, high)
-        zone = zone + (F.col("_v") > high).cast("int")
-    counted = (
-        near.select(
-            *keys, "_n",
-            F.when(is_small, F.lit(0)).otherwise(zone).alias("_zone"),
-            F.when(in_band, F.col("_v")).alias("_v"),
-        )
-        .groupBy(*keys, "_n", "_zone", "_v")
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    upto = (
-        Window.partitionBy(*keys).orderBy("_zone", F.col("_v").asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    placed = counted.withColumn("_to", F.sum("_c").over(upto))
+    largest = side.agg(F.max("_n")).first()[0] or 0
+    if largest > small_group:
+        centres = sorted({p for p, _ in picks.values()})
+        rows = _banded(rows, keys, side.where(F.col("_n") > small_group).select(*keys), centres, accuracy)
+    else:
+        rows = rows.withColumn("_zone", F.lit(0))
+    counted = rows.groupBy(*keys, "_zone", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    ordered = Window.partitionBy(*keys).orderBy("_zone", F.col("_v").asc_nulls_first())
+    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    placed = counted.withColumns({"_to": F.sum("_c").over(upto), "_n": F.sum("_c").over(whole)})
 
     def at(rank: Column) -> Column:
         hit = (F.col("_to") - F.col("_c") < rank) & (rank <= F.col("_to"))
@@ -172,6 +156,28 @@ def order_statistics(
     return out.drop("_all")
 
 
+def _banded(rows: DataFrame, keys: Sequence[str], large: DataFrame, centres: Sequence[float], accuracy: int) -> DataFrame:
+    """Rows of large groups outside the bands around the wanted ranks lose their value.
+
+    They keep a zone number that orders them against the bands, so counting them gives
+    exact ranks inside the bands. Rows of small groups pass unchanged.
+    """
+    margin = 3.0 / accuracy
+    probs = [q for p in centres for q in (max(0.0, p - margin), min(1.0, p + margin))]
+    in_large = join_on(rows, large, keys)
+    bands = sized(in_large.groupBy(*keys).agg(F.percentile_approx("_v", probs, accuracy).alias("_q")))
+    near = join_on(rows, bands, keys, "left")
+    is_small, zone = F.col("_q").isNull(), F.lit(0)
+    in_band = is_small
+    for i in range(len(centres)):
+        low, high = F.element_at("_q", 2 * i + 1), F.element_at("_q", 2 * i + 2)
+        in_band = in_band | F.col("_v").between(low, high)
+        zone = zone + (F.col("_v") > high).cast("int")
+    return near.select(
+        *keys, F.when(is_small, F.lit(0)).otherwise(zone).alias("_zone"), F.when(in_band, F.col("_v")).alias("_v")
+    )
+
+
 def median_picks() -> dict[str, tuple[float, Callable[[Column], Column]]]:
     return {
         "_m1": (0.5, lambda n: F.floor((n + 1) / 2)),

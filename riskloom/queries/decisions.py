@@ -64,9 +64,13 @@ _DIST_COLS = ["l_quantity", "l_tax"]
     f"WITH {PSI_SQL} SELECT feature, side, bin::INT AS bin, count(*) AS n FROM b WHERE feature IN ('l_quantity', 'l_tax') GROUP BY ALL",
 )
 def binned_shares(t: Tables) -> DataFrame:
-    ref, cur = (DR.feature_values(df, _DIST_COLS) for df in drift_sides(t))
-    both = ref.withColumn("side", F.lit("r")).unionByName(cur.withColumn("side", F.lit("c")))
-    return DR.binned_shares(both, DR.bin_edges(ref, cur)).select("feature", "side", "bin", "n")
+    ref, cur = drift_sides(t)
+    found = DR.bin_edges(DR.feature_values(ref, _DIST_COLS), DR.feature_values(cur, _DIST_COLS))
+    edges = {r["feature"]: r["inner_edges"] for r in found.collect()}
+    out = DR.binned(ref, edges).withColumn("side", F.lit("r")).unionByName(
+        DR.binned(cur, edges).withColumn("side", F.lit("c"))
+    )
+    return out.select("feature", "side", "bin", "n")
 
 
 # One decision per customer, from measures of their orders.
