@@ -10,6 +10,11 @@ from riskloom import constants as K
 from riskloom.functions.text import _col, strip
 
 
+def formatted(pattern: str, x: Column) -> Column:
+    """``format_string`` that keeps NULL instead of printing it as text."""
+    return F.when(x.isNotNull(), F.format_string(pattern, x))
+
+
 def short_key(x, length: int = K.PSEUDO_DISPLAY_LENGTH) -> Column:
     return F.substring(_col(x), 1, length)
 
@@ -20,13 +25,11 @@ def short_target(x) -> Column:
 
 
 def percent_text(x, digits: int = 1) -> Column:
-    return F.format_string(f"%.{digits}f %%", _col(x) * 100.0)
+    return formatted(f"%.{digits}f %%", _col(x) * 100.0)
 
 
 def threshold_text(x) -> Column:
-    return F.coalesce(F.format_string("%.2f", _col(x)), F.lit(K.NOT_PROVIDED)) if x is not None else (
-        F.lit(K.NOT_PROVIDED)
-    )
+    return F.coalesce(formatted("%.2f", _col(x)), F.lit(K.NOT_PROVIDED))
 
 
 def bare_name(name) -> Column:
@@ -95,9 +98,3 @@ def word_text(value) -> Column:
 
 def flag_text(value) -> Column:
     return F.when(_col(value).isNull(), K.NOT_PROVIDED).when(_col(value), "oui").otherwise("non")
-
-
-def metric_text(value) -> Column:
-    """Three decimals for a fraction, plain digits for a count."""
-    x = _col(value).cast("double")
-    return F.when(x == F.floor(x), F.format_string("%.0f", x)).otherwise(F.format_string("%.3f", x))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskloom import constants as K
 from riskloom.functions import numbers as N
+from riskloom.functions.display import formatted
 from riskloom.operators import ordered as R
 from riskloom.operators.quality import long_form
 
@@ -226,9 +227,7 @@ def metric_sheet(metrics: DataFrame) -> DataFrame:
         "position int, key string, label string",
     )
     x = F.col("value").cast("double")
-    shown = F.when(F.col("key").startswith("n_"), F.format_string("%.0f", x)).otherwise(
-        F.format_string("%.3f", x)
-    )
+    shown = F.when(F.col("key").startswith("n_"), formatted("%.0f", x)).otherwise(formatted("%.3f", x))
     return metrics.join(F.broadcast(labels), "key").select("position", "key", "label", shown.alias("text"))
 
 

@@ -19,10 +19,10 @@ from pyspark.ml.feature import (
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskloom import constants as K
-from riskloom.functions import display as D, numbers as N
+from riskloom.functions import numbers as N
 from riskloom.operators import (
     cleaning as CL, explain as E, ordered as R, perimeter as PM, quality as Q,
     scoring_metrics as M, splitting as S,
@@ -304,14 +304,19 @@ def explanation_sheet(raw: DataFrame, bundle: ModelBundle, keep: Sequence[str],
 
 def source_contributions(explained: DataFrame, bundle: ModelBundle) -> DataFrame:
     """``shares``: contribution of each source column, its one-hot slots added up."""
-    parts = [
-        F.aggregate(
-            F.filter("contributions", lambda c, s=s: D.source_column(c["name"], bundle.feature_cols) == s),
-            F.lit(0.0), lambda acc, c: acc + c["contribution"],
-        )
-        for s in bundle.feature_cols
-    ]
-    return explained.withColumn("shares", F.array(*parts))
+    names = [n.split("__", 1)[1] for n in transformed_names(bundle)]
+    slots: dict[str, list[int]] = {c: [] for c in bundle.feature_cols}
+    for position, name in enumerate(names, start=1):
+        matching = [c for c in bundle.feature_cols if name == c or name.startswith(f"{c}_")]
+        slots[max(matching, key=len)].append(position)
+
+    def share(positions: list[int]) -> Column:
+        total = F.lit(0.0)
+        for p in positions:
+            total = total + F.element_at("contributions", p)["contribution"]
+        return total
+
+    return explained.withColumn("shares", F.array(*[share(slots[c]) for c in bundle.feature_cols]))
 
 
 # --- comparisons ------------------------------------------------------------

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from riskloom import constants as K
-from riskloom.functions import payload as P, text as X
+from riskloom.functions import display as D, payload as P, text as X
 from riskloom.operators import ordered as R
 
 # Texts a CSV reader treats as missing.
@@ -119,12 +119,12 @@ def export_rows(ranked: DataFrame, generated_at: str) -> DataFrame:
     return ranked.select(
         X.csv_safe("pseudo_id").alias("pseudo_id"),
         F.col("rang").cast("long").alias("rang"),
-        F.format_string("%.6f", F.col("proba_abandon")).alias("proba_abandon"),
+        D.formatted("%.6f", F.col("proba_abandon")).alias("proba_abandon"),
         "alerte",
         X.csv_safe("filiere").alias("filiere"),
         X.csv_safe("batch_id").alias("batch_id"),
         X.csv_safe("model_version").alias("model_version"),
-        F.coalesce(F.format_string("%.4f", F.col("threshold")), F.lit("")).alias("threshold"),
+        F.coalesce(D.formatted("%.4f", F.col("threshold")), F.lit("")).alias("threshold"),
         F.lit(generated_at).alias("generated_at"),
     ).select(*K.EXPORT_COLUMNS)
 
