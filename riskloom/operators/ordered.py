@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from riskloom.session import ensure_checkpoint_dir
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 _POSITION_MASK = (1 << 33) - 1
 
 
@@ -28,10 +29,15 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def sized(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Store a join side and mark it for broadcast only when its row count allows it."""
+def sized(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Store a join side and mark it for broadcast only when its measured size allows it.
+
+    Beyond either limit the plain shuffle join (with adaptive skew handling) is used.
+    """
     stored = kept(df)
-    return F.broadcast(stored) if stored.count() <= max_rows else stored
+    width = F.octet_length(F.to_json(F.struct(*stored.columns)))
+    rows, size = stored.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return F.broadcast(stored) if rows <= max_rows and size <= max_bytes else stored
 
 
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -48,14 +54,17 @@ def sorted_parts(df: DataFrame, order: Sequence[Column], part: str = "_part") ->
     return kept(df.orderBy(*order)).withColumn(part, F.spark_partition_id())
 
 
-def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:
-    """1-based position of every row in a total order.
+def numbered(stored: DataFrame, name: str) -> DataFrame:
+    """1-based position of each row of a stored table, partition after partition.
 
-    ``order`` should end with a unique column. Range partitioning splits repeated
-    leading values by the later ones, so a value held by many rows is no hot spot.
+    The rows must come from ``kept`` or ``sorted_parts``: their partitions are fixed, so
+    the counts and the positions refer to the same rows.
     """
-    rows = sorted_parts(df, order).withColumn(
-        "_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_MASK))
+    rows = stored.withColumns(
+        {
+            "_part": F.spark_partition_id(),
+            "_pos": F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_MASK)),
+        }
     )
     # One row per partition: bounded by the partition count, not by the data.
     sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
@@ -70,6 +79,15 @@ def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank") -> D
     )
 
 
+def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:
+    """1-based position of every row in a total order.
+
+    ``order`` should end with a unique column. Range partitioning splits repeated
+    leading values by the later ones, so a value held by many rows is no hot spot.
+    """
+    return numbered(kept(df.orderBy(*order)), name)
+
+
 def running_totals(
     df: DataFrame,
     by: Sequence[str],

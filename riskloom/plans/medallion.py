@@ -35,7 +35,7 @@ def bronze(raw: DataFrame, batch_id: str, position: str = "row_number") -> DataF
 
 def numbered(df: DataFrame, position: str = "row_number") -> DataFrame:
     """Number rows in the order Spark reads them; use ``files.number_rows`` for files."""
-    return R.global_rank(df, [F.monotonically_increasing_id()], position)
+    return R.numbered(R.kept(df), position)
 
 
 def silver_students(raw: DataFrame, secret: str | None = None) -> DataFrame:
@@ -115,7 +115,7 @@ def load(
 
     store.append("bronze_student_raw", bronze(students_in, batch_id).withColumn("created_at", stamp))
     store.append("bronze_catalogue_raw", bronze(catalogue_in, batch_id).withColumn("created_at", stamp))
-    store.append("silver_student", silver_rows(numbered(students), batch_id).withColumn("created_at", stamp))
+    store.append("silver_student", silver_rows(R.numbered(students, "row_number"), batch_id).withColumn("created_at", stamp))
     store.append(
         "silver_catalogue",
         dims.select(

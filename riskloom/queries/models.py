@@ -65,13 +65,13 @@ _LONG = " UNION ALL ".join(
     "top_factors", "O4 M8",
     f"""WITH li AS (SELECT *, row_number() OVER () AS rid FROM lineitem), c AS ({_LONG}), r AS (SELECT rid, name, x, CASE WHEN x > 0 THEN 'risk' ELSE 'protective' END AS direction FROM c WHERE abs(x) > 1e-12),
     p AS (SELECT *, row_number() OVER (PARTITION BY rid, direction ORDER BY abs(x) DESC, name) AS position FROM r)
-    SELECT direction, position::INT AS position, name, count(*) AS n, round(sum(x), 2) AS total FROM p WHERE position <= 2 GROUP BY 1, 2, 3""",
+    SELECT direction, position::INT AS position, name, count(*) AS n, sum(CAST(round(x * 1000000) AS BIGINT))::BIGINT AS total_micro FROM p WHERE position <= 2 GROUP BY 1, 2, 3""",
 )
 def top_factors(t: Tables) -> DataFrame:
     out = E.with_contributions(t.lineitem, LINE_WEIGHTS, LINE_INTERCEPT)
     rows = E.factor_rows(out, ["l_orderkey", "l_linenumber"], 2)
     return rows.groupBy("direction", "position", "name").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("contribution"), 2).alias("total")
+        F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("contribution") * 1000000).cast("long")).alias("total_micro")
     )
 
 

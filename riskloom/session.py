@@ -15,6 +15,10 @@ def get_session(app: str = "riskloom", master: str | None = None, **conf: str) -
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Merge sessions inside each task before the shuffle, for keys with many events.
+        .config("spark.sql.sessionWindow.merge.sessions.in.local.partition", "true")
+        # Checkpoints go when nothing refers to them any more.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)

@@ -29,7 +29,9 @@ class TableStore:
     def create(self, database: str | None = None) -> list[str]:
         """Create missing tables; with a database name also register them for SQL."""
         for table, ddl in TABLES.items():
-            writer = self.spark.createDataFrame([], ddl).write.mode("append")
+            writer = self.spark.createDataFrame([], ddl).write.mode("ignore")
+            if table in BATCH_TABLES:
+                writer = writer.partitionBy("batch_id")
             writer.parquet(self.path(table))
             if database:
                 self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
