@@ -82,8 +82,8 @@ def number_text(name, value) -> Column:
     base, x = bare_name(name), _col(value).cast("double")
     return (
         F.when(x.isNull() | F.isnan(x), F.lit(K.NOT_PROVIDED))
-        .when(base == "taux_rendu_devoirs", F.format_string("%.0f %%", x * 100.0))
-        .when(base.endswith("_pct"), F.format_string("%.0f %%", x))
+        .when(base == "taux_rendu_devoirs", F.format_string("%.0f %%", F.rint(x * 100.0)))
+        .when(base.endswith("_pct"), F.format_string("%.0f %%", F.rint(x)))
         .when(base == "boursier", F.when(x >= 0.5, "oui").otherwise("non"))
         .when(x == F.floor(x), F.format_string("%.0f", x))
         .otherwise(F.format_string("%.2f", x))

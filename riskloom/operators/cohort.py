@@ -258,4 +258,6 @@ def split_survivors(batches: DataFrame, cutoff: Column, expires: str = "expires_
 
 
 def without_batches(rows: DataFrame, expired: DataFrame, batch: str = "batch_id") -> DataFrame:
-    return rows.join(expired.select(batch), batch, "left_anti")
+    """Rows of batches that are not expired; the id list is measured before it is broadcast,
+    since a shuffle by batch would put a large batch into one task."""
+    return rows.join(R.sized(expired.select(batch)), batch, "left_anti")
