@@ -37,21 +37,32 @@ def feature_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rows.where(F.col("value").isNotNull())
 
 
-def bin_edges(reference: DataFrame, current: DataFrame, bins: int = 10) -> DataFrame:
-    """Inner bin edges per feature, from (feature, value) rows of both sides.
+def column_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(feature, _n, _min, _max) from one keyless aggregate over the wide table."""
+    wide = _as_number(df, columns).agg(
+        *[
+            F.struct(F.count(c).alias("_n"), F.min(c).alias("_min"), F.max(c).alias("_max")).alias(c)
+            for c in columns
+        ]
+    )
+    listed = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("r")) for c in columns])
+    return wide.select(F.inline(listed)).select("feature", "r.*")
+
+
+def bin_edges(reference: DataFrame, current: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
+    """Inner bin edges per feature.
 
     Exact linear quantiles of the reference, repeated edges dropped. With fewer than
     three distinct edges, equal widths over both sides; ``constant`` marks one value
     only. One row per feature.
     """
     probs = [i / bins for i in range(1, bins)]
-    extremes = {"_min": F.min("value"), "_max": F.max("value")}
     ref = R.order_statistics(
-        reference, ["feature"], "value", R.linear_picks(probs), measures=extremes
+        feature_values(reference, columns), ["feature"], "value", R.linear_picks(probs),
+        measures={"_min": F.min("value"), "_max": F.max("value")}, sizes=column_ranges(reference, columns),
     )
-    cur = current.groupBy("feature").agg(
-        F.min("value").alias("_cmin"), F.max("value").alias("_cmax"),
-        F.count(F.lit(1)).alias("current_n"),
+    cur = column_ranges(current, columns).select(
+        "feature", F.col("_n").alias("current_n"), F.col("_min").alias("_cmin"), F.col("_max").alias("_cmax")
     )
     edges = F.array_sort(
         F.array_distinct(
@@ -62,19 +73,14 @@ def bin_edges(reference: DataFrame, current: DataFrame, bins: int = 10) -> DataF
     step = (high - low) / bins
     equal = F.array(*[low + step * i for i in range(1, bins)])
     return (
-        ref.join(cur, "feature", "full")
+        ref.join(cur, "feature")
         .withColumn("_edges", edges)
         .withColumn("constant", (F.size("_edges") < 3) & (low == high))
         .withColumn(
             "inner_edges",
             F.when(F.size("_edges") >= 3, F.slice("_edges", F.lit(2), F.size("_edges") - 2)).otherwise(equal),
         )
-        .select(
-            "feature",
-            F.coalesce("n", F.lit(0)).alias("reference_n"),
-            F.coalesce("current_n", F.lit(0)).alias("current_n"),
-            "constant", "inner_edges",
-        )
+        .select("feature", F.col("n").alias("reference_n"), "current_n", "constant", "inner_edges")
     )
 
 
@@ -88,13 +94,9 @@ def binned(df: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFrame:
 
 def psi(reference: DataFrame, current: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
     """Population stability index per feature; NULL when a side has no values."""
-    edges = R.kept(
-        bin_edges(feature_values(reference, columns), feature_values(current, columns), bins)
-    )
+    edges = R.kept(bin_edges(reference, current, columns, bins))
     # At most bins - 1 numbers per column: bounded by the schema's width.
     known = {r["feature"]: [e for e in r["inner_edges"] if e is not None] for r in edges.collect()}
-    if not known:
-        return edges.select("feature", F.lit(None).cast("double").alias("psi"))
     counted = (
         binned(reference, known).withColumn("side", F.lit("r"))
         .unionByName(binned(current, known).withColumn("side", F.lit("c")))

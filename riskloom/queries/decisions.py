@@ -65,7 +65,7 @@ _DIST_COLS = ["l_quantity", "l_tax"]
 )
 def binned_shares(t: Tables) -> DataFrame:
     ref, cur = drift_sides(t)
-    found = DR.bin_edges(DR.feature_values(ref, _DIST_COLS), DR.feature_values(cur, _DIST_COLS))
+    found = DR.bin_edges(ref, cur, _DIST_COLS)
     edges = {r["feature"]: r["inner_edges"] for r in found.collect()}
     out = DR.binned(ref, edges).withColumn("side", F.lit("r")).unionByName(
         DR.binned(cur, edges).withColumn("side", F.lit("c"))
