@@ -33,20 +33,21 @@ def shared_dir(spark: SparkSession) -> str:
     A machine-local folder is only acceptable when the whole application runs on one
     machine, so without the setting anything but a local master is refused.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-    configured = tempfile.mkdtemp(prefix="riskloom-")
-    spark.conf.set("spark.checkpoint.dir", configured)
-    return configured
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="riskloom-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Point reliable checkpoints at the shared folder unless one is already set."""
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+        folder = shared_dir(spark)
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(folder)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
