@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.operators.ordered import kept
+from riskloom.session import scratch_path
 
 #: Code points with the Unicode property White_Space, as the inside of a character class.
 WHITE_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -21,6 +21,14 @@ def remainder(column: str | Column, n: int) -> Column:
     return F.pmod(F.coalesce(F.crc32(value.cast("string").cast("binary")), F.lit(0)), F.lit(n))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it while the table has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def pieces(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that one piece holds about ``max_bytes`` of text, one row at least."""
     for batch in batches:
@@ -48,6 +56,17 @@ def list_array(flat: np.ndarray, counts: list[int] | np.ndarray, kind: pa.DataTy
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, type=kind))
 
 
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """The rows written to the shared folder and read back.
+
+    Cuts the lineage like a checkpoint, and gives the planner the real size: a checkpoint keeps
+    the estimate of its plan, which loops of joins blow up without bound.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def classes(edges: DataFrame, source: str = "src", target: str = "dst", max_rounds: int = 60) -> DataFrame:
     """Connected classes of undirected links: ``node``, ``root`` (smallest node of its class).
 
@@ -56,7 +75,7 @@ def classes(edges: DataFrame, source: str = "src", target: str = "dst", max_roun
     link reaches the driver; a node with very many links only meets partial minimums and joins
     whose large partitions Spark splits. Loops and null ends are ignored; no links, no rows.
     """
-    links = kept(
+    links = stored(
         edges.select(F.col(source).alias("a"), F.col(target).alias("b")).where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     )
@@ -65,19 +84,19 @@ def classes(edges: DataFrame, source: str = "src", target: str = "dst", max_roun
         if links.isEmpty():
             break
         both = links.union(links.select("b", "a"))
-        step = kept(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("root")))
+        step = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("root")))
         for _ in range(2):
             onward = step.select(F.col("node").alias("root"), F.col("root").alias("far"))
-            step = kept(step.join(onward, "root", "left").select("node", F.coalesce("far", "root").alias("root")))
+            step = stored(step.join(onward, "root", "left").select("node", F.coalesce("far", "root").alias("root")))
         to = step.select(F.col("node").alias("a"), F.col("root").alias("to"))
         links = links.join(to, "a").select(F.col("to").alias("a"), "b")
         links = links.join(step.select(F.col("node").alias("b"), F.col("root").alias("to")), "b").select("a", F.col("to").alias("b"))
-        links = kept(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        links = stored(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         if roots is None:
             roots = step
         else:
             onward = step.select(F.col("node").alias("root"), F.col("root").alias("far"))
-            roots = kept(roots.join(onward, "root", "left").select("node", F.coalesce("far", "root").alias("root")))
+            roots = stored(roots.join(onward, "root", "left").select("node", F.coalesce("far", "root").alias("root")))
     else:
         raise RuntimeError(f"links left after {max_rounds} rounds")
     if roots is None:

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from riskloom.llm.common import free_name
+
 #: Fixed patterns of the base kinds, in their order; a match counts when the group is long enough.
 BASE = {
     "assign": (r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 12),
@@ -117,11 +119,13 @@ def redact(
 
     Overlapping spans become one. Texts without spans, and null texts, stay as they are.
     """
+    sid, scontent, held = (free_name(docs, n) for n in ("_id", "_content", "_spans"))
+    both = F.transform(F.concat("base", "owned"), lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop")))
     spans = scan(docs, doc_id, text, repository, owner).select(
-        F.col("doc_id").alias("_id"), F.col("content").alias("_content"), F.sort_array(F.transform(F.concat("base", "owned"), lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop")))).alias("_spans")
-    ).where(F.size("_spans") > 0).dropDuplicates(["_id", "_content"])
+        F.col("doc_id").alias(sid), F.col("content").alias(scontent), F.sort_array(both).alias(held)
+    ).where(F.size(held) > 0).dropDuplicates([sid, scontent])
     content = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    joined = docs.join(spans, F.col(doc_id).eqNullSafe(F.col("_id")) & (content == F.col("_content")), "left")
+    joined = docs.join(spans, F.col(doc_id).eqNullSafe(F.col(sid)) & (content == F.col(scontent)), "left")
     value = F.col(text)
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
 
@@ -131,5 +135,5 @@ def redact(
         added = F.when(fresh, F.concat(a["out"], F.array(clear, F.lit(mask)))).otherwise(a["out"])
         return F.struct(F.greatest(a["at"], s["stop"]).alias("at"), added.alias("out"))
 
-    pieces = F.aggregate("_spans", start, step, lambda a: F.concat(a["out"], F.array(F.substring(value, (a["at"] + 1).cast("int"), F.length(value)))))
-    return joined.withColumn(text, F.when(F.col("_spans").isNull(), value).otherwise(F.array_join(pieces, ""))).select(*docs.columns)
+    pieces = F.aggregate(held, start, step, lambda a: F.concat(a["out"], F.array(F.substring(value, (a["at"] + 1).cast("int"), F.length(value)))))
+    return joined.withColumn(text, F.when(F.col(held).isNull(), value).otherwise(F.array_join(pieces, ""))).select(*docs.columns)

@@ -15,8 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from riskloom.llm.common import classes
-from riskloom.operators.ordered import kept
+from riskloom.llm.common import classes, stored
 
 BITS, BYTES, SEED = 3, 8, 42
 LEAST = BYTES - BITS
@@ -104,28 +103,28 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     lost. Null and empty texts have fingerprint 0 and are linked like any other; repeated ids
     keep their rows; rows with a null id get the class of their fingerprint.
     """
-    prints = kept(docs.select(F.col(doc_id).alias("doc_id"), fingerprint(text).alias("fp")))
-    groups = kept(prints.groupBy("fp").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies")))
+    prints = stored(docs.select(F.col(doc_id).alias("doc_id"), fingerprint(text).alias("fp")))
+    groups = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies")))
     nodes = groups.where("node IS NOT NULL").select("fp", "node")
     index = _listed(nodes, covering(LEAST - 1))
     heads = index.groupBy("key").agg(F.min(F.struct("node", "fp")).alias("head"), F.max("node").alias("last"))
-    heads = kept(heads.where("head.node < last").select("key", F.col("head.node").alias("dst"), F.col("head.fp").alias("other")))
+    heads = stored(heads.where("head.node < last").select("key", F.col("head.node").alias("dst"), F.col("head.fp").alias("other")))
     first = index.join(heads, "key").where((F.col("node") > F.col("dst")) & linked("fp", "other"))
     near = classes(first, "node", "dst")
     # Nodes of lists that still hold more than one class.
     member = index.join(heads.select("key"), "key").join(near, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    member = kept(member.select("key", "node", "fp", "root"))
-    open_lists = kept(member.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key"))
+    member = stored(member.select("key", "node", "fp", "root"))
+    open_lists = stored(member.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key"))
     rest = member.join(open_lists, "key", "left_semi").select("node", "fp", "root").distinct()
-    finer = kept(_listed(rest, covering(LEAST)))
+    finer = stored(_listed(rest, covering(LEAST)))
     finer_open = finer.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
-    finer = kept(finer.join(kept(finer_open), "key", "left_semi").select("key", "fp", "root"))
+    finer = stored(finer.join(stored(finer_open), "key", "left_semi").select("key", "fp", "root"))
     other = finer.select("key", F.col("fp").alias("other"), F.col("root").alias("dst"))
     second = finer.join(other, "key").where((F.col("root") < F.col("dst")) & linked("fp", "other"))
     merged = classes(second, "root", "dst").select(F.col("node").alias("root"), F.col("root").alias("top"))
     component = F.coalesce("top", "root", "node")
     place = groups.join(near, "node", "left").withColumn("root", F.coalesce("root", "node")).join(merged, "root", "left")
-    place = kept(place.select("fp", component.alias("component"), "node", "copies").where("copies > 1 OR component <> node"))
+    place = stored(place.select("fp", component.alias("component"), "node", "copies").where("copies > 1 OR component <> node"))
     return prints.join(place.select("fp", "component"), "fp", "left").select(
         "doc_id", "fp", F.coalesce("component", "doc_id").alias("component")
     )
