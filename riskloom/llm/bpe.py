@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, types as T
 from riskloom.llm.common import WHITE_SPACE, list_array, pieces, texts_of
 
 #: Chunks kept per Python worker, and the longest that is kept.
-KEPT_CHUNKS, KEPT_CHARS = 700_000, 40
+KEPT_CHUNKS, KEPT_CHARS = 350_000, 40
 _CHUNK = re.compile(f" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+")
 
 

@@ -29,7 +29,7 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that one piece holds about ``max_bytes`` of text, one row at least."""
     for batch in batches:
         if not batch.num_rows:
