@@ -4,21 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from riskloom import constants as K
 from riskloom.functions import text as X
 
-_BLANK_SQL = r"' \t\n\r'"
+
+
+def _literal(text: str) -> str:
+    """SQL literal of any text."""
+    return "'" + "".join(c if c.isascii() and c.isprintable() and c not in "'\\" else f"\\u{ord(c):04x}" for c in text) + "'"
+
+
+# The patterns and lists are those of the Column functions.
+_BLANK_SQL = _literal(X._BLANKS)
+_STRIPPED = f"btrim(x, {_BLANK_SQL})"
+
+
+def _not_missing(missing) -> str:
+    return f"lower({_STRIPPED}) NOT IN ({', '.join(_literal(m) for m in missing)})"
+
+
+_BARE = f"replace(regexp_replace({_STRIPPED}, {_literal(X.UNITS)}, ''), ',', '.')"
 
 # name -> (parameters, result type, SQL expression)
 SQL_FUNCTIONS = {
-    "clean_text": (
-        "x STRING", "STRING",
-        f"CASE WHEN lower(btrim(x, {_BLANK_SQL})) NOT IN ('', 'nan', 'none', 'null', 'na') THEN btrim(x, {_BLANK_SQL}) END",
-    ),
+    "clean_text": ("x STRING", "STRING", f"CASE WHEN {_not_missing(K.TEXT_MISSING)} THEN {_STRIPPED} END"),
     "parse_number_fr": (
         "x STRING", "DOUBLE",
-        r"CASE WHEN replace(regexp_replace(x, '(?iU)[%\\s]|km', ''), ',', '.') RLIKE "
-        r"'^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$' THEN "
-        r"try_cast(replace(regexp_replace(x, '(?iU)[%\\s]|km', ''), ',', '.') AS DOUBLE) END",
+        f"CASE WHEN {_not_missing(K.NUMBER_MISSING)} AND {_BARE} RLIKE {_literal(X._FLOAT_TEXT)} "
+        f"THEN try_cast(replace({_BARE}, '_', '') AS DOUBLE) END",
     ),
     "parse_date_multi": (
         "x STRING", "DATE",

@@ -13,6 +13,8 @@ _DIGITS = r"\d+(?:_\d+)*"
 _FLOAT_TEXT = (
     rf"(?i)^[+-]?(?:(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?|inf|infinity)$"
 )
+#: Units and white space that a number may carry.
+UNITS = r"(?iU)[%\s]|km"
 _INT_TEXT = rf"^[+-]?{_DIGITS}$"
 
 
@@ -41,7 +43,7 @@ def _plain_float(text: Column) -> Column:
 def parse_number(x) -> Column:
     """Number from text such as ``61,8``, ``85 %`` or ``14.4 km``; NULL when unreadable."""
     kept = clean_text(x, K.NUMBER_MISSING)
-    bare = F.regexp_replace(kept, r"(?iU)[%\s]|km", "")
+    bare = F.regexp_replace(kept, UNITS, "")
     return _plain_float(F.replace(bare, F.lit(","), F.lit(".")))
 
 
@@ -102,11 +104,16 @@ def lower_key(x) -> Column:
 
 
 def optional_int(x) -> Column:
-    return strip(x).try_cast("double").try_cast("int")
+    return plain_number(x).try_cast("int")
+
+
+def plain_number(x) -> Column:
+    """Number from its plain text; NULL for anything else, type suffixes such as ``5d`` included."""
+    return _plain_float(strip(x))
 
 
 def optional_float(x) -> Column:
-    value = strip(x).try_cast("double")
+    value = plain_number(x)
     return F.when(~F.isnan(value), value)
 
 

@@ -143,23 +143,31 @@ def current_aliases(events: DataFrame) -> DataFrame:
 
 
 def pending_runs(
-    buckets: DataFrame, keys: list[str], minute: str, breached: str, minutes: int = 5
+    buckets: DataFrame, keys: list[str], minute: str, breached: str, minutes: int = 5, no_data_fires: bool = False
 ) -> DataFrame:
     """Stretches of consecutive breached minute buckets of at least ``minutes``.
 
     ``buckets`` holds one row per key and minute (number of the minute); a key has at
-    most one row per minute of history, however many events the minute had.
+    most one row per minute of history, however many events the minute had. With
+    ``no_data_fires`` minutes without a row continue a stretch and count in it: the distance to
+    the next row tells how many there are, none is made up.
     """
     w = Window.partitionBy(*keys).orderBy(minute)
-    island = F.col(minute) - F.row_number().over(w)
-    return (
-        buckets.where(F.col(breached))
-        .withColumn("_island", island)
-        .groupBy(*keys, "_island")
-        .agg(
-            F.min(minute).alias("from_minute"), F.max(minute).alias("to_minute"),
-            F.count(F.lit(1)).alias("minutes"),
+    if not no_data_fires:
+        rows = buckets.where(F.col(breached)).withColumn("_island", F.col(minute) - F.row_number().over(w))
+        found = rows.groupBy(*keys, "_island").agg(
+            F.min(minute).alias("from_minute"), F.max(minute).alias("to_minute"), F.count(F.lit(1)).alias("minutes"),
         )
-        .where(F.col("minutes") >= minutes)
-        .drop("_island")
+        return found.where(F.col("minutes") >= minutes).drop("_island")
+    # Every row yields its own minute when breached and the hole up to the next row.
+    after = F.lead(minute).over(w)
+    bad = F.coalesce(F.col(breached), F.lit(False))
+    first = F.when(bad, F.col(minute)).otherwise(F.col(minute) + 1)
+    spans = buckets.select(*keys, first.alias("_a"), F.coalesce(after - 1, F.col(minute)).alias("_b")).where("_a <= _b")
+    order = Window.partitionBy(*keys).orderBy("_a")
+    opens = F.coalesce(F.lag("_b").over(order) + 1 < F.col("_a"), F.lit(True)).cast("int")
+    spans = spans.withColumn("_open", opens)
+    runs = spans.withColumn("_island", F.sum("_open").over(order)).groupBy(*keys, "_island").agg(
+        F.min("_a").alias("from_minute"), F.max("_b").alias("to_minute")
     )
+    return runs.withColumn("minutes", F.col("to_minute") - F.col("from_minute") + 1).where(F.col("minutes") >= minutes).drop("_island")

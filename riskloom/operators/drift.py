@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom import constants as K
-from riskloom.functions import numbers as N
+from riskloom.functions import numbers as N, text as X
 from riskloom.operators import ordered as R
 from riskloom.operators.perimeter import common_columns, split_by_type
 from riskloom.operators.quality import long_form
@@ -26,7 +26,7 @@ def _as_number(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     def number(c: str) -> Column:
         x = F.col(c)
-        x = F.trim(x).try_cast("double") if kinds[c] == "string" else x.cast("double")
+        x = X.plain_number(x) if kinds[c] == "string" else x.cast("double")
         return F.when(~F.isnan(x), x).alias(c)
 
     return df.select(*[number(c) for c in columns])

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom import constants as K
-from riskloom.functions import display as D
+from riskloom.functions import display as D, text as X
 from riskloom.operators import ordered as R
 from riskloom.operators.scoring_metrics import roc_auc
 from riskloom.operators.splitting import split_hash
@@ -80,16 +80,25 @@ def top_factors(
     return F.transform(F.slice(F.array_sort(keyed), 1, n), lambda s: s["c"])
 
 
+def _both_directions(n: int, sources: Sequence[str] | None = None) -> Column:
+    """Risk and protective factors in one array, so a table is read once for both."""
+    def placed(direction: str, factors: Column) -> Column:
+        return F.transform(factors, lambda c, i: F.struct(
+            F.lit(direction).alias("direction"), (i + 1).alias("position"), c.alias("c")
+        ))
+
+    parts = [
+        placed(direction, top_factors(increasing, n, sources=sources))
+        for increasing, direction in ((True, "risk"), (False, "protective"))
+    ]
+    return F.concat(*parts)
+
+
 def factor_rows(df: DataFrame, keep: Sequence[str], n: int = 5) -> DataFrame:
     """One row per shown factor: direction, position and contribution."""
-    def listed(increasing: bool, direction: str) -> DataFrame:
-        rows = df.select(*keep, F.posexplode(top_factors(increasing, n)).alias("position", "c"))
-        return rows.select(
-            *keep, F.lit(direction).alias("direction"), (F.col("position") + 1).alias("position"),
-            F.col("c.name").alias("name"), F.col("c.contribution").alias("contribution"),
-        )
-
-    return listed(True, "risk").unionByName(listed(False, "protective"))
+    return df.select(*keep, F.explode(_both_directions(n)).alias("_s")).select(
+        *keep, "_s.direction", "_s.position", F.col("_s.c.name").alias("name"), F.col("_s.c.contribution").alias("contribution")
+    )
 
 
 def factor_sheet(df: DataFrame, keep: Sequence[str], sources: Sequence[str], n: int = 5) -> DataFrame:
@@ -98,23 +107,16 @@ def factor_sheet(df: DataFrame, keep: Sequence[str], sources: Sequence[str], n:
     ``df`` still carries the raw source columns; the standardised value is never shown.
     """
     raw = F.create_map(*[x for c in sources for x in (F.lit(c), F.col(c).cast("string"))])
-    out = None
-    for increasing, direction in ((True, "risk"), (False, "protective")):
-        rows = df.withColumn("_raw", raw).select(
-            *keep, "_raw", F.posexplode(top_factors(increasing, n, sources=sources)).alias("position", "c")
-        )
-        source = D.source_column("c.name", sources)
-        shown = rows.select(
-            *keep, F.lit(direction).alias("direction"), (F.col("position") + 1).alias("position"),
-            D.feature_label(F.col("c.name")).alias("label"),
-            shown_value(source, F.col("_raw")[source]).alias("value"),
-        )
-        out = shown if out is None else out.unionByName(shown)
-    return out
+    rows = df.withColumn("_raw", raw).select(*keep, "_raw", F.explode(_both_directions(n, sources)).alias("_s"))
+    source = D.source_column("_s.c.name", sources)
+    return rows.select(
+        *keep, "_s.direction", "_s.position", D.feature_label(F.col("_s.c.name")).alias("label"),
+        shown_value(source, F.col("_raw")[source]).alias("value"),
+    )
 
 
 def shown_value(name: Column, text: Column) -> Column:
-    number = text.try_cast("double")
+    number = X.plain_number(text)
     return F.when(number.isNotNull(), D.number_text(name, number)).otherwise(D.word_text(text))
 
 

@@ -269,8 +269,8 @@ def previous_row(
     ).drop("_slice", "_prev", "_rn", "_carried")
 
 
-def micros(ts: str) -> Column:
-    return F.unix_micros(F.col(ts).cast("timestamp"))
+def micros(ts: str | Column) -> Column:
+    return F.unix_micros((F.col(ts) if isinstance(ts, str) else ts).cast("timestamp"))
 
 
 def trailing_slices(

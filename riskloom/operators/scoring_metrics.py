@@ -94,14 +94,15 @@ def threshold_curve(
     cost_fp: float = K.COST_FALSE_POSITIVE,
     thresholds: Sequence[float] | None = None,
 ) -> DataFrame:
-    """Confusion counts and cost at every cut-off.
+    """Confusion counts and cost at every cut-off; rows without a score (NULL or NaN) or label don't count.
 
     Each row falls into one of len(thresholds)+1 intervals, so the table shrinks to that
     many rows in one partial aggregation; the running sums work on those.
     """
     cuts = list(thresholds) if thresholds is not None else K.threshold_grid()
+    known = F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & F.col(label).isNotNull()
     per_interval = (
-        df.where(F.col(score).isNotNull())
+        df.where(known)
         .groupBy(N.cut_index(score, cuts).alias("interval"))
         .agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) != 1).alias("n"))
     )
@@ -197,8 +198,10 @@ def fairness_audit(
 
 
 def cost_table(df: DataFrame, model: str, metric: str, cost: str, reference: str) -> DataFrame:
-    """Cost ratio, gain and cost per point gained against one reference model."""
+    """Cost ratio, gain and cost per point gained against one reference model, which must be there once."""
     base = df.where(F.col(model) == reference)
+    if (n := base.limit(2).count()) != 1:
+        raise ValueError(f"reference model {reference!r} has {'no row' if n == 0 else 'more than one row'}")
     ref_metric, ref_cost = base.agg(F.min(metric)).scalar(), base.agg(F.min(cost)).scalar()
     out = df.withColumns({"_m": ref_metric, "_c": ref_cost})
     gain = F.col(metric) - F.col("_m")

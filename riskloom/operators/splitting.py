@@ -51,21 +51,35 @@ def stratified_split(
     ).drop("_stratum", "_h", "_test", "_validation")
 
 
-def ordered_split(df: DataFrame, key: str, name: str = "split_set") -> DataFrame:
-    """Fallback for tables too small to stratify: the last rows are held out."""
-    rows = df.limit(6).collect() if df.limit(6).count() < 6 else None
-    if rows is None:
-        raise ValueError("the fallback split is for a handful of rows only")
-    n = len(rows)
-    held = max(1, round(n * 0.2)) if n > 1 else 0
-    tuned = max(1, round((n - held) * 0.25)) if n > 2 else 0
-    keys = sorted(r[key] for r in rows)
-    test, validation = set(keys[n - held:]), set(keys[n - held - tuned: n - held])
-    return df.withColumn(
-        name,
-        F.when(F.col(key).isin(*test), "test").when(F.col(key).isin(*validation), "validation")
-        .otherwise("train"),
-    )
+def ranked_split(df: DataFrame, key: str, name: str = "split_set") -> DataFrame:
+    """Hold out the ends of the key order: the last fifth for test, a quarter of the rest before it.
+
+    Each held-out part has one row at least as long as one is left to train on. Positions are
+    global ranks and the bounds are numbers, so any number of rows takes the same path.
+    """
+    n = df.count()
+    test = max(1, round(n / 5)) if n > 1 else 0
+    validation = max(1, round((n - test) / 4)) if n > 2 else 0
+    ranked = R.global_rank(df, [F.col(key).asc_nulls_first()], "_rank")
+    part = F.when(F.col("_rank") > n - test, "test").when(F.col("_rank") > n - test - validation, "validation")
+    return ranked.withColumn(name, part.otherwise("train")).drop("_rank")
+
+
+def split_policy(df: DataFrame, label: str) -> str:
+    """``stratified``, ``shuffled`` or ``refused``, from one row of class statistics.
+
+    Classes are shared out when each has two rows or more. That needs a test part, and while
+    the smallest class keeps two rows also a validation part, with a row for every class.
+    """
+    classes = df.groupBy(label).agg(F.count(F.lit(1)).alias("size"))
+    n, number, smallest = classes.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1)), F.min("size")).first()
+    test = -(-n // 5)
+    validation = -(-(n - test) // 4)
+    if n < 5 or number < 2 or smallest < 2:
+        return "shuffled" if n >= 3 else "refused"
+    left = smallest - round(smallest * 0.2)
+    fits = min(test, n - test) >= number and (left < 2 or min(validation, n - test - validation) >= number)
+    return "stratified" if fits else "refused"
 
 
 def assign_split(
@@ -73,22 +87,23 @@ def assign_split(
     name: str = "split_set",
 ) -> DataFrame:
     """Stratify when every class can be shared out, else shuffle, else fall back or refuse."""
-    sizes = [r["count"] for r in df.groupBy(label).count().limit(1001).collect()]
-    n = sum(sizes)
-    can_stratify = n >= 5 and len(sizes) > 1 and min(sizes) >= 2
-    held = -(-n // 5)
-    if can_stratify and held >= len(sizes):
-        return stratified_split(df, label, key, seed, name)
-    if not can_stratify and n >= 3:
-        return stratified_split(df, None, key, seed, name) if n >= 6 else ordered_split(df, key, name)
-    if not allow_fallback:
-        raise ValueError(f"{n} rows in {len(sizes)} classes cannot be split")
-    return ordered_split(df, key, name)
+    policy = split_policy(df, label)
+    if policy == "refused" and not allow_fallback:
+        raise ValueError("too few rows for the number of classes")
+    if policy == "refused":
+        return ranked_split(df, key, name)
+    return stratified_split(df, label if policy == "stratified" else None, key, seed, name)
 
 
 def stratified_folds(df: DataFrame, label: str, key: str, folds: int = 5, seed: int = 42, name: str = "fold") -> DataFrame:
-    """Fold numbers with near-equal class shares, from a second hash of the key."""
-    return df.withColumn(name, F.pmod(split_hash(key, seed + 1), F.lit(folds)).cast("int"))
+    """Fold numbers whose class shares differ by one row at most.
+
+    Rows are ranked by (class, hash of the key); neighbours go to different folds, so each
+    class is dealt out evenly wherever its ranks begin.
+    """
+    order = [F.col(label).asc_nulls_first(), split_hash(key, seed + 1), F.col(key)]
+    ranked = R.global_rank(df, order, "_rank")
+    return ranked.withColumn(name, F.pmod(F.col("_rank") - 1, F.lit(folds)).cast("int")).drop("_rank")
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -112,6 +127,6 @@ def rows_in(df: DataFrame, part: str, name: str = "split_set") -> DataFrame:
 
 
 __all__: Sequence[str] = [
-    "split_hash", "stratified_split", "ordered_split", "assign_split", "stratified_folds",
+    "split_hash", "stratified_split", "ranked_split", "split_policy", "assign_split", "stratified_folds",
     "class_weights", "with_class_weights", "split_counts", "rows_in",
 ]

@@ -231,6 +231,10 @@ def train_gold(
         "threshold": threshold, "threshold_selection": "validation_cost_minimization",
         "threshold_validation_stats": {k: float(v) for k, v in chosen.asDict().items() if k != "threshold"},
         "best_params": {"C": best_c}, "cost_fn_fp": [cost_fn, cost_fp],
+        "settings": {
+            "model_class": type(model.stages[-1]).__name__, "folds": folds, "chosen_C": best_c, "classes": "weighted",
+            "cost_false_negative": cost_fn, "cost_false_positive": cost_fp, "columns": len(features),
+        },
         "n_train": sizes.get("train", 0), "n_validation": sizes.get("validation", 0),
         "n_test": sizes.get("test", 0), "n_features": len(features),
     }

@@ -117,12 +117,19 @@ def sample_values(t: Tables) -> DataFrame:
     return Q.sample_values(t.part, ["p_brand", "p_type"]).withColumn("position", F.col("position").cast("long"))
 
 
+ALL_TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
+
+
 @query(
     "source_inventory", "A9",
-    "SELECT 'customer' AS source, count(*) AS n_rows, 5 AS n_columns FROM customer UNION ALL SELECT 'nation', count(*), 3 FROM nation UNION ALL SELECT 'documents', count(*), 5 FROM documents",
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS source, count(*) AS n_rows, (SELECT count(*)::INT FROM (DESCRIBE {n})) AS n_columns FROM {n}" for n in ALL_TABLES
+    ),
 )
 def source_inventory(t: Tables) -> DataFrame:
-    return Q.inventory({n: getattr(t, n) for n in ("customer", "nation", "documents")})
+    return Q.inventory({n: getattr(t, n) for n in ALL_TABLES})
 
 
 @query(

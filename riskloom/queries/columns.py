@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom import constants as K
-from riskloom.functions import display as D, keys as KEY, numbers as N, payload as P, text as X
+from riskloom.functions import display as D, keys as KEY, numbers as N, payload as P, sql as SQLF, text as X
 from riskloom.operators import cleaning as CL, perimeter as PM
 from riskloom.queries.base import (
     MISSING_SQL, Tables, query, r6, sql_list, sql_map, sql_text, sql_title,
@@ -244,6 +244,51 @@ def optional_casts(t: Tables) -> DataFrame:
     )
 
 
+_SUFFIXED = "CASE p_size % 7 WHEN 0 THEN '5d' WHEN 1 THEN ' 7f ' WHEN 2 THEN '1_000' WHEN 3 THEN 'Infinity' WHEN 4 THEN '-2.5e1' WHEN 5 THEN '3L' ELSE CAST(p_size AS VARCHAR) END"
+
+
+@query(
+    "number_texts", "P1 P21 F10",
+    f"""WITH m AS (SELECT p_partkey, {_SUFFIXED} AS x FROM part), v AS (SELECT p_partkey, CASE WHEN x = '1_000' THEN 1000.0::DOUBLE
+      WHEN x = 'Infinity' THEN 'inf'::DOUBLE WHEN regexp_matches(trim(x), '[dfL]$') THEN NULL ELSE x::DOUBLE END AS v FROM m)
+    SELECT p_partkey, v AS number, v AS parsed, v AS optional, v AS by_sql, CASE WHEN isfinite(v) THEN v::INT END AS whole FROM v""",
+)
+def number_texts(t: Tables) -> DataFrame:
+    """One rule for number texts everywhere: no type suffixes, underscores between digits."""
+    SQLF.register(t.spark)
+    x = F.expr(_SUFFIXED.replace("VARCHAR", "STRING"))
+    return t.part.select(
+        "p_partkey", X.plain_number(x).alias("number"), X.parse_number(x).alias("parsed"), X.optional_float(x).alias("optional"),
+        F.call_function("parse_number_fr", x).alias("by_sql"), X.optional_int(x).alias("whole"),
+    )
+
+
+@query(
+    "sql_functions", "P1 P2 P27 D3",
+    """SELECT p_partkey, CASE WHEN p_size % 3 <> 0 THEN p_brand END AS cleaned,
+      CAST(make_date(1990 + p_size, CAST(1 + p_partkey % 12 AS INT), CAST(1 + p_partkey % 28 AS INT)) AS VARCHAR) AS day,
+      CASE WHEN p_size % 2 = 0 THEN chr(39) || '=' ELSE '' END || p_name AS safe,
+      CASE WHEN p_size >= 40 THEN 'alert' WHEN p_size >= 20 THEN 'watch' ELSE 'ok' END AS psi,
+      CASE WHEN p_size > 30 THEN 'worse' WHEN p_size < 10 THEN 'better' ELSE 'stable' END AS trend,
+      CAST(least(1.0, p_size / 40.0) AS DOUBLE) AS share FROM part""",
+)
+def sql_functions(t: Tables) -> DataFrame:
+    """Every registered SQL function but the number parser, over a whole table."""
+    SQLF.register(t.spark)
+    size, key = F.col("p_size"), F.col("p_partkey")
+    day = F.format_string("%02d/%02d/%d", (key % 28 + 1).cast("int"), (key % 12 + 1).cast("int"), (size + 1990).cast("int"))
+    psi = F.when(size >= 40, 0.3).when(size >= 20, 0.15).otherwise(0.01)
+    moved = F.when(size > 30, 0.7).when(size < 10, 0.3).otherwise(0.5)
+    brand = F.when(size % 3 == 0, " nan ").otherwise(F.concat(F.lit(" "), "p_brand", F.lit(" ")))
+    return t.part.select(
+        "p_partkey", F.call_function("clean_text", brand).alias("cleaned"),
+        F.call_function("parse_date_multi", day).cast("string").alias("day"),
+        F.call_function("csv_safe", F.concat(F.when(size % 2 == 0, "=").otherwise(""), "p_name")).alias("safe"),
+        F.call_function("classify_psi", psi).alias("psi"), F.call_function("risk_trend", F.lit(0.5), moved).alias("trend"),
+        F.call_function("safe_share", size.cast("double"), F.lit(40.0)).alias("share"),
+    )
+
+
 @query(
     "display_texts", "P23",
     """SELECT o_orderkey, substr(o_orderpriority || '-' || CAST(o_orderkey AS VARCHAR) || '-0000000', 1, 12) AS short_id,

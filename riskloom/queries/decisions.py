@@ -157,8 +157,9 @@ _RUNS = "runs AS (SELECT event_type AS job, CAST(ts AS DATE) AS day, CASE WHEN m
 def job_gate(t: Tables) -> DataFrame:
     daily = t.events.groupBy(F.col("event_type").alias("job"), F.to_date("ts").alias("day")).agg(F.max("value").alias("m"))
     runs = daily.select("job", "day", F.when(F.col("m") > 45, "succeeded").otherwise("failed").alias("status"))
-    names = [F.lit(r) for r in ("view", "signup", "error", "click", "purchase")]
-    wanted = daily.select("day").distinct().select(F.explode(F.array(*names)).alias("job"), "day")
+    # One row per job type: every day gets all of them.
+    names = daily.agg(F.collect_set("job")).scalar()
+    wanted = daily.select("day").distinct().select(F.explode(names).alias("job"), "day")
     return DC.job_outcomes(wanted, runs).withColumn("day", F.col("day").cast("string"))
 
 

@@ -203,6 +203,31 @@ def silence_gaps(t: Tables) -> DataFrame:
     return out.select("user_id", "event_id", r6("gap_seconds").alias("gap_seconds"))
 
 
+@query(
+    "pending_without_data", "T4",
+    f"""WITH b AS (SELECT user_id, CAST(floor(epoch(ts) / 86400) AS BIGINT) AS minute, count(*) FILTER ({IS_ERROR_SQL}) / count(*) > 0.15 AS x FROM events GROUP BY 1, 2),
+    every AS (SELECT user_id, unnest(range(min(minute), max(minute) + 1)) AS minute FROM b GROUP BY 1),
+    f AS (SELECT e.user_id, e.minute FROM every e LEFT JOIN b ON b.user_id = e.user_id AND b.minute = e.minute WHERE b.x IS NOT FALSE),
+    i AS (SELECT user_id, minute, minute - row_number() OVER (PARTITION BY user_id ORDER BY minute) AS g FROM f)
+    SELECT user_id, min(minute) AS from_minute, max(minute) AS to_minute, count(*) AS minutes FROM i GROUP BY user_id, g HAVING count(*) >= 2""",
+)
+def pending_without_data(t: Tables) -> DataFrame:
+    """Empty buckets fire too."""
+    return RT.pending_alerts(t.events, ["user_id"], is_error(), 0.15, hold=2, minutes=1440, no_data_fires=True)
+
+
+@query(
+    "silent_keys", "T6",
+    """WITH l AS (SELECT user_id, max(ts) AS m FROM events GROUP BY 1), e AS (SELECT max(ts) AS now FROM events)
+    SELECT user_id, round((epoch_us(now) - epoch_us(m)) / 1000000.0::DOUBLE, 6) AS silent_seconds FROM l, e WHERE epoch_us(now) - epoch_us(m) > 43200000000""",
+)
+def silent_keys(t: Tables) -> DataFrame:
+    """Users that have not come back for twelve hours at the end of the table."""
+    end = t.events.agg(F.max("ts")).scalar()
+    out = RT.silent_keys(t.events, ["user_id"], 43_200, end)
+    return out.select("user_id", r6("silent_seconds").alias("silent_seconds"))
+
+
 @query(
     "quiet_sessions", "T6",
     """WITH g AS (SELECT user_id, ts, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER w < 7200000000 THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),

@@ -31,6 +31,50 @@ def split_shares(t: Tables) -> DataFrame:
     return S.split_counts(S.assign_split(t.labels, "quality", "doc_id", seed=7), "quality")
 
 
+def _policy_sql(source: str) -> str:
+    """Split of (k, y) rows: by class, over all rows, or by the end of the key order."""
+    return f"""WITH l AS ({source}), s AS (SELECT y, count(*) AS c FROM l GROUP BY y),
+    p AS (SELECT sum(c) AS n, count(*) AS g, min(c) AS m, ceil(sum(c) / 5.0) AS t FROM s),
+    q AS (SELECT *, ceil((n - t) / 4.0) AS v, m - round_even(m * 0.2, 0) AS kept FROM p),
+    mode AS (SELECT n, CASE WHEN n < 5 OR g < 2 OR m < 2 THEN CASE WHEN n >= 3 THEN 'shuffled' ELSE 'ranked' END
+      WHEN least(t, n - t) >= g AND (kept < 2 OR least(v, n - t - v) >= g) THEN 'stratified' ELSE 'ranked' END AS mode FROM q),
+    h AS (SELECT k, mode, n, row_number() OVER (PARTITION BY CASE WHEN mode = 'stratified' THEN y END ORDER BY {_HASH.format(seed=42, key='k')}) AS r,
+      count(*) OVER (PARTITION BY CASE WHEN mode = 'stratified' THEN y END) AS c, row_number() OVER (ORDER BY k) AS place,
+      greatest(1, round_even(n / 5.0, 0)) AS rt FROM l, mode)
+    SELECT k AS key, CASE WHEN mode <> 'ranked' THEN CASE WHEN r <= round(0.2 * c) THEN 'test' WHEN r <= 2 * round(0.2 * c) THEN 'validation' ELSE 'train' END
+      WHEN place > n - rt THEN 'test' WHEN place > n - rt - greatest(1, round_even((n - rt) / 4.0, 0)) THEN 'validation' ELSE 'train' END AS split_set FROM h"""
+
+
+@query("split_many_classes", "M1 U4", _policy_sql("SELECT l_orderkey * 10 + l_linenumber AS k, l_partkey % 1301 AS y FROM lineitem"))
+def split_many_classes(t: Tables) -> DataFrame:
+    """More than a thousand classes: stratified where every class has its rows, else by the key order."""
+    rows = t.lineitem.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("key"), (F.col("l_partkey") % 1301).alias("y"))
+    return S.assign_split(rows, "y", "key", allow_fallback=True).select("key", "split_set")
+
+
+@query("split_singleton_class", "M1 U4 C4", _policy_sql("SELECT p_partkey AS k, CASE WHEN p_partkey = (SELECT min(p_partkey) FROM part) THEN -1 ELSE p_size END AS y FROM part"))
+def split_singleton_class(t: Tables) -> DataFrame:
+    """One class with a single row: all rows are shuffled together."""
+    first = t.part.agg(F.min("p_partkey")).scalar()
+    rows = t.part.select(F.col("p_partkey").alias("key"), F.when(F.col("p_partkey") == first, -1).otherwise(F.col("p_size")).alias("y"))
+    return S.assign_split(rows, "y", "key").select("key", "split_set")
+
+
+@query(
+    "fold_shares", "M4",
+    """WITH s AS (SELECT p_size AS y, count(*) AS c FROM part GROUP BY 1)
+    SELECT y, CAST(c // 5 AS BIGINT) AS least, CAST((c + 4) // 5 AS BIGINT) AS most, c AS n FROM s""",
+)
+def fold_shares(t: Tables) -> DataFrame:
+    """Smallest and largest number of rows of a class in a fold."""
+    folds = S.stratified_folds(t.part.select("p_partkey", "p_size"), "p_size", "p_partkey")
+    counts = folds.groupBy(F.col("p_size").alias("y")).agg(
+        *[F.count_if(F.col("fold") == i).alias(f"_{i}") for i in range(5)], F.count(F.lit(1)).alias("n")
+    )
+    sizes = [f"_{i}" for i in range(5)]
+    return counts.select("y", F.least(*sizes).alias("least"), F.greatest(*sizes).alias("most"), "n")
+
+
 @query(
     "class_weights", "M3",
     "SELECT l_returnflag, count(*) AS size, round((SELECT count(*) FROM lineitem) / ((SELECT count(DISTINCT l_returnflag) FROM lineitem) * count(*)), 6) AS weight FROM lineitem GROUP BY 1",
@@ -65,11 +109,11 @@ _LONG = " UNION ALL ".join(
     "top_factors", "O4 M8",
     f"""WITH li AS (SELECT *, row_number() OVER () AS rid FROM lineitem), c AS ({_LONG}), r AS (SELECT rid, name, x, CASE WHEN x > 0 THEN 'risk' ELSE 'protective' END AS direction FROM c WHERE abs(x) > 1e-12),
     p AS (SELECT *, row_number() OVER (PARTITION BY rid, direction ORDER BY abs(x) DESC, name) AS position FROM r)
-    SELECT direction, position::INT AS position, name, count(*) AS n, sum(CAST(round(x * 1000000) AS BIGINT))::BIGINT AS total_micro FROM p WHERE position <= 2 GROUP BY 1, 2, 3""",
+    SELECT direction, position::INT AS position, name, count(*) AS n, sum(CAST(round(x * 1000000) AS BIGINT))::BIGINT AS total_micro FROM p WHERE position <= 5 GROUP BY 1, 2, 3""",
 )
 def top_factors(t: Tables) -> DataFrame:
     out = E.with_contributions(t.lineitem, LINE_WEIGHTS, LINE_INTERCEPT)
-    rows = E.factor_rows(out, ["l_orderkey", "l_linenumber"], 2)
+    rows = E.factor_rows(out, ["l_orderkey", "l_linenumber"], 5)
     return rows.groupBy("direction", "position", "name").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("contribution") * 1000000).cast("long")).alias("total_micro")
     )
@@ -123,12 +167,12 @@ def _perm_auc(f: str, rep: int) -> str:
     k AS (SELECT count(*) FILTER (y = 1) AS p, count(*) FILTER (y <> 1) AS n, a + c AS s FROM b GROUP BY a + c),
     m AS (SELECT p, n, sum(p + n) OVER (ORDER BY s) - (p + n) + (p + n + 1) / 2.0 AS rk FROM k),
     base AS (SELECT (sum(p * rk) - sum(p) * (sum(p) + 1) / 2.0) / (sum(p) * sum(n)) AS auc FROM m)
-    SELECT 'length' AS feature, round((SELECT auc FROM base) - ({_perm_auc('a', 0)} + {_perm_auc('a', 1)}) / 2, 6) AS importance
-    UNION ALL SELECT 'toxic', round((SELECT auc FROM base) - ({_perm_auc('c', 0)} + {_perm_auc('c', 1)}) / 2, 6)""",
+    SELECT 'length' AS feature, round((SELECT auc FROM base) - ({" + ".join(_perm_auc('a', i) for i in range(8))}) / 8, 6) AS importance
+    UNION ALL SELECT 'toxic', round((SELECT auc FROM base) - ({" + ".join(_perm_auc('c', i) for i in range(8))}) / 8, 6)""",
 )
 def permutation_importance(t: Tables) -> DataFrame:
     parts = F.array(F.col("s") * 3.0, F.col("toxic") * 0.5)
-    out = E.permutation_importance(labelled(t), ["length", "toxic"], parts, "doc_id", "y", repeats=2)
+    out = E.permutation_importance(labelled(t), ["length", "toxic"], parts, "doc_id", "y", repeats=8)
     return out.withColumn("importance", r6("importance"))
 
 

@@ -64,6 +64,31 @@ def drift_report_file(t: Tables) -> DataFrame:
     return FS.read_report(t.spark, path)[0]
 
 
+@query(
+    "csv_free_text", "S1 S12 S13",
+    "SELECT doc_id, md5(text) AS digest, CAST(length(text) AS INT) AS n FROM documents WHERE trim(text, chr(32) || chr(9) || chr(10) || chr(13)) <> ''",
+)
+def csv_free_text(t: Tables) -> DataFrame:
+    """Whole texts with quotes, commas and line breaks through a CSV file and back."""
+    path = scratch_path(t.spark, "texts")
+    FS.write_scores(t.documents.where(F.trim(F.regexp_replace("text", r"\s", "")) != "").select("doc_id", "text"), path)
+    rows = FS.read_csv(t.spark, path, ["text", "doc_id"], multi_line=True)
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("digest"), F.length("text").alias("n"))
+
+
+@query(
+    "csv_column_order", "S1 W5",
+    "SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS o_orderpriority FROM orders",
+)
+def csv_column_order(t: Tables) -> DataFrame:
+    """Files whose headers name the columns in another order, and one column in half of them only."""
+    path, even = scratch_path(t.spark, "orders"), F.col("o_orderkey") % 2 == 0
+    t.orders.where(even).select("o_orderpriority", "o_orderstatus", "o_orderkey").write.options(header=True, **FS.CSV_QUOTES).csv(f"{path}/a")
+    t.orders.where(~even).select("o_orderkey", "o_orderstatus").write.options(header=True, **FS.CSV_QUOTES).csv(f"{path}/b")
+    rows = FS.read_csv(t.spark, f"{path}/*", ["o_orderkey", "o_orderstatus", "o_orderpriority"])
+    return rows.withColumn("o_orderkey", F.col("o_orderkey").cast("long"))
+
+
 @query(
     "record_batches", "S3",
     "SELECT o_orderkey, o_orderstatus, o_orderkey % 10 = 0 AS broken FROM orders",
@@ -75,7 +100,7 @@ def record_batches(t: Tables) -> DataFrame:
     broken = F.col("o_orderkey") % 10 == 0
     t.orders.select(F.when(broken, F.concat(F.lit("!"), line)).otherwise(line).alias("value")).write.text(path)
     rows = FS.read_records(t.spark, path, {"o_orderkey": "bigint", "o_orderstatus": "string"})
-    fixed = F.from_json(F.substring(F.col("_corrupt"), 2, 10_000), "o_orderkey bigint, o_orderstatus string")
+    fixed = F.from_json(F.substring(F.col("_corrupt"), F.lit(2), F.length("_corrupt")), "o_orderkey bigint, o_orderstatus string")
     return rows.select(
         F.coalesce("o_orderkey", fixed["o_orderkey"]).alias("o_orderkey"),
         F.coalesce("o_orderstatus", fixed["o_orderstatus"]).alias("o_orderstatus"), F.col("_corrupt").isNotNull().alias("broken"),
@@ -214,6 +239,35 @@ def score_csv(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "export_ceiling", "S14",
+    f"""WITH {SCORES_SQL}, b AS (SELECT batch_id, count(*) AS n FROM scores GROUP BY 1), m AS (SELECT max(n) AS n FROM b)
+    SELECT batch_id, b.n AS rows, CASE WHEN b.n = m.n THEN 'refused' ELSE 'written' END AS outcome,
+      CASE WHEN b.n = m.n THEN 0 ELSE b.n END AS stored, CASE WHEN b.n < m.n THEN 'review ' || batch_id END AS purpose FROM b, m""",
+)
+def export_ceiling(t: Tables) -> DataFrame:
+    """One export per batch under a ceiling that the largest batch breaks; files and purpose read back."""
+    root = scratch_path(t.spark, "exports")
+    counted = scores(t).groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows"))
+    batches = counted.collect()  # a row per batch
+    ceiling = max(r["rows"] for r in batches) - 1
+    refused = []
+    for r in batches:
+        rows = scores(t).where(F.col("batch_id") == r["batch_id"]).select(
+            "*", F.col("student_id").alias("pseudo_id"), F.lit("x").alias("filiere")
+        )
+        try:
+            FS.export_csv(rows, f"{root}/{r['batch_id']}", ceiling, f"review {r['batch_id']}")
+        except FS.ExportTooLarge:
+            refused.append(r["batch_id"])
+    written = FS.read_csv(t.spark, f"{root}/B????", K.EXPORT_COLUMNS).groupBy("batch_id").agg(F.count(F.lit(1)).alias("stored"))
+    note = t.spark.read.text(f"{root}/*.purpose").select(F.col("value").alias("purpose"), F.substring("value", 8, 100).alias("batch_id"))
+    return counted.join(written, "batch_id", "left").join(note, "batch_id", "left").select(
+        "batch_id", "rows", F.when(F.col("batch_id").isin(refused), "refused").otherwise("written").alias("outcome"),
+        F.coalesce("stored", F.lit(0).cast("long")).alias("stored"), "purpose",
+    )
+
+
 @query(
     "export_rows", "S14 P27",
     f"""{BASE}, f AS (SELECT *, row_number() OVER (ORDER BY proba_abandon DESC, id) AS rang FROM scoped WHERE filiere IN ({SCOPE_LIST}) AND alerte = 1)

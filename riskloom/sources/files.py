@@ -27,23 +27,41 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def read_csv(spark: SparkSession, path: str, columns: Sequence[str], with_position: bool = False) -> DataFrame:
+#: Quotes inside a quoted text are doubled, as other CSV programs read and write them.
+CSV_QUOTES = {"quote": '"', "escape": '"'}
+
+
+def read_csv(
+    spark: SparkSession, path: str, columns: Sequence[str], with_position: bool = False, multi_line: bool = False
+) -> DataFrame:
     """Header CSV with all columns as text; missing-value spellings become NULL.
 
-    Types are parsed afterwards from text: inference would read the same code column as
-    a number in one file and as text in another.
+    Columns are found by the name in each file's own header, whatever their order; one that a
+    file lacks is NULL there. ``multi_line`` allows line breaks inside quotes, and then a file is
+    one block. Types are parsed afterwards from text: inference would read the same code column
+    as a number in one file and as text in another.
     """
-    df = spark.read.schema(text_schema(columns)).option("header", True).csv(path)
-    cleaned = [F.when(~F.col(c).isin(*CSV_MISSING), F.col(c)).alias(c) for c in columns]
-    if with_position:
-        return df.select(*cleaned, F.col("_metadata.file_path").alias("_file"),
-                         F.col("_metadata.file_block_start").alias("_block"))
-    return df.select(*cleaned)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(spark.read.text(path).inputFiles()):  # only headers are read here
+        groups.setdefault(tuple(csv_columns(spark, file)), []).append(file)
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
+    parts = []
+    for header, files in groups.items():
+        rows = spark.read.schema(text_schema(header)).options(header=True, multiLine=multi_line, **CSV_QUOTES).csv(files)
+        known = [F.col(f"`{c}`") if c in header else F.lit(None).cast("string") for c in columns]
+        cleaned = [F.when(~v.isin(*CSV_MISSING), v).alias(c) for c, v in zip(columns, known)]
+        parts.append(rows.select(*cleaned, *(place if with_position else [])))
+    if not parts:
+        return spark.createDataFrame([], text_schema([*columns, *(["_file", "_block"] if with_position else [])]))
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def csv_columns(spark: SparkSession, path: str) -> list[str]:
     """Column names from the header line, without the byte order mark."""
-    return [c.lstrip("﻿") for c in spark.read.option("header", True).csv(path).columns]
+    return [c.lstrip("﻿") for c in spark.read.options(header=True, **CSV_QUOTES).csv(path).columns]
 
 
 def number_rows(df: DataFrame, name: str = "row_number") -> DataFrame:
@@ -85,7 +103,7 @@ def write_report(features: DataFrame, summary: DataFrame, path: str) -> None:
 
 
 def write_scores(scored: DataFrame, path: str) -> None:
-    scored.write.mode("overwrite").option("header", True).csv(path)
+    scored.write.mode("overwrite").options(header=True, **CSV_QUOTES).csv(path)
 
 
 def read_records(spark: SparkSession, path: str, columns: Mapping[str, str] | Sequence[str]) -> DataFrame:
@@ -142,7 +160,7 @@ def export_csv(rows: DataFrame, path: str, ceiling: int, purpose: str, score: st
     # At most ``ceiling`` rows from here on.
     place = F.row_number().over(Window.orderBy(*C.risk_order(score, id_col)))
     out = export_rows(rows.withColumn("rang", place), generated_at)
-    out.coalesce(1).sortWithinPartitions("rang").write.mode("overwrite").option("header", True).csv(path)
+    out.coalesce(1).sortWithinPartitions("rang").write.mode("overwrite").options(header=True, **CSV_QUOTES).csv(path)
     note = rows.sparkSession.createDataFrame([(purpose,)], "value string")
     note.coalesce(1).write.mode("overwrite").text(path.rstrip("/") + ".purpose")
     return n

@@ -35,10 +35,10 @@ def over_limit(df: DataFrame, keys: Sequence[str], limit: int, **window) -> Data
 
 
 def calls_in_window(df: DataFrame, keys: Sequence[str], seconds: int, limit: int, ts: str = "ts") -> DataFrame:
-    """Per event: calls of its key in the trailing window, and whether that exceeds the limit."""
+    """Per event: calls of its key in the trailing window, and whether that exceeds the limit (0: none)."""
     w = Window.partitionBy(*keys, "_slice").orderBy("_us").rangeBetween(-(seconds * 1_000_000 - 1), 0)
     rows = R.trailing_slices(df, ts, seconds).withColumn("calls", F.count(F.lit(1)).over(w))
-    return rows.where("_own").withColumn("over_limit", F.col("calls") > limit).drop("_us", "_slice", "_own")
+    return rows.where("_own").withColumn("over_limit", (F.col("calls") > limit) & F.lit(limit > 0)).drop("_us", "_slice", "_own")
 
 
 def failures_since_success(
@@ -115,15 +115,30 @@ def minute_buckets(df: DataFrame, keys: Sequence[str], is_error: Column, ratio_l
     )
 
 
-def pending_alerts(df: DataFrame, keys: Sequence[str], is_error: Column, ratio_limit: float, hold: int = 5, ts: str = "ts", minutes: int = 1) -> DataFrame:
-    """Breaches that lasted ``hold`` consecutive buckets."""
-    return DC.pending_runs(
-        minute_buckets(df, keys, is_error, ratio_limit, ts, minutes), list(keys), "minute", "breached", hold
-    )
+def pending_alerts(
+    df: DataFrame, keys: Sequence[str], is_error: Column, ratio_limit: float, hold: int = 5, ts: str = "ts",
+    minutes: int = 1, no_data_fires: bool = False,
+) -> DataFrame:
+    """Breaches that lasted ``hold`` consecutive buckets.
+
+    With ``no_data_fires`` the empty buckets between two of a key's buckets count as breached.
+    """
+    buckets = minute_buckets(df, keys, is_error, ratio_limit, ts, minutes)
+    return DC.pending_runs(buckets, list(keys), "minute", "breached", hold, no_data_fires)
+
+
+def silent_keys(df: DataFrame, keys: Sequence[str], seconds: int, as_of: Column, ts: str = "ts") -> DataFrame:
+    """Keys whose last event lies more than ``seconds`` before ``as_of``, whether they return or not."""
+    last = df.groupBy(*keys).agg(F.max(ts).alias("last_seen"))
+    silent = (R.micros(as_of) - R.micros("last_seen")) / 1_000_000.0
+    return last.withColumn("silent_seconds", silent).where(F.col("silent_seconds") > seconds)
 
 
 def silence_gaps(df: DataFrame, keys: Sequence[str], seconds: int, ts: str = "ts", tie: str = "event_id") -> DataFrame:
-    """Events that came more than ``seconds`` after the one before of their key."""
+    """Events that came more than ``seconds`` after the one before of their key.
+
+    A key that has not returned yet has no such event: ``silent_keys`` reports it.
+    """
     rows = df.select(*keys, ts, tie).withColumn("_us", R.micros(ts))
     day = F.floor(F.col("_us") / F.lit(86_400_000_000))
     out = R.previous_row(rows, keys, ["_us", tie], day, ["_us"])

@@ -63,17 +63,17 @@ class _WindowedTimes(StatefulProcessor):
 
 
 class CallLimiter(_WindowedTimes):
-    """Allow at most ``limit`` calls per trailing window; refused calls do not count."""
+    """Allow at most ``limit`` calls per trailing window (0: any number); refused calls do not count."""
 
     def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
         calls, allowed = _in_time_order(rows, ["us", "event_id"]), self.recent()
         verdicts, waits = [], []
         for now in calls["us"]:
             allowed = self.drop_old(allowed, now)
-            ok = len(allowed) < self.limit
+            ok = self.limit <= 0 or len(allowed) < self.limit
             verdicts.append(ok)
             waits.append(0 if ok else max(1, int((self.window - (now - allowed[0])) / 1e6) + 1))
-            if ok:
+            if ok and self.limit > 0:
                 allowed.append(int(now))
         self.keep(allowed)
         yield pd.DataFrame(

@@ -32,17 +32,25 @@ COHORT = (
 )
 
 
+def _spread(i: int, salt: int, n: int) -> int:
+    """A number below ``n`` that changes irregularly with the row."""
+    return (i * 7919 + salt * 104_729 + i * i * 31) // 7 % n
+
+
 def cohort_rows(n: int = 12) -> list[tuple]:
-    """A small cohort generated from the row number: two programmes, a third drop out."""
+    """Rows of a made-up cohort: two programmes, every third row drops out, texts in mixed spellings."""
     out = []
     for i in range(n):
-        programme = ("Informatique", "Gestion")[i % 2]
+        leaves = i % 3 == 1
         out.append(
             (
-                f"ETU-{10000 + i}", f"DOS-{5000 + i}", programme, int(i % 3 == 0), 6.0 + i % 10, 7.0 + i % 8, i % 6,
-                18 + i % 4, "F" if i % 2 else "M", "oui" if i % 3 else "non", 10, i % 11, 1 + i % 15, 2.0 + i, 2 * i,
-                i % 20, "" if i % 2 else "Absences", f"2024-09-{i % 27 + 1:02d}", f"{5 + i},5 km", f"{50 + i % 50}%",
-                f"TD{i % 4}", "bleue", "lundi",
+                f"M{i:06d}", f"F{2 * i + 1:05d}", "Gestion" if i % 4 in (1, 2) else "Informatique", int(leaves),
+                round(14.5 - 6 * leaves + _spread(i, 1, 30) / 10, 1), round(13.0 - 5 * leaves + _spread(i, 2, 40) / 10, 1),
+                _spread(i, 3, 4) + 2 * (not leaves), 17 + _spread(i, 4, 9), "FM"[_spread(i, 5, 2)],
+                ("oui", "non")[_spread(i, 6, 2)], 12, _spread(i, 7, 13), _spread(i, 8, 40), _spread(i, 9, 300) / 4,
+                _spread(i, 10, 60), _spread(i, 11, 25), ("", "retards", None)[_spread(i, 12, 3)],
+                f"{_spread(i, 13, 28) + 1:02d}/10/2023", f"{_spread(i, 14, 45)},{_spread(i, 15, 10)} km",
+                f"{40 + _spread(i, 16, 61)} %", f"G{_spread(i, 17, 6)}", ("rouge", "verte")[i % 2], ("mardi", "jeudi")[_spread(i, 18, 2)],
             )
         )
     return out
@@ -60,7 +68,7 @@ def big_cohort(spark):
 
 @pytest.fixture(scope="session")
 def catalogue(spark):
-    rows = [("informatique ", "Sciences", 120, 0.62), ("GESTION", "Economie", 90, 0.71)]
+    rows = [(" INFORMATIQUE", "Technologie", 75, 0.58), ("gestion ", "Commerce", 140, 0.66)]
     return spark.createDataFrame(
         rows, "filiere string, faculte string, capacite_accueil int, taux_reussite_moyen double"
     )

@@ -38,10 +38,10 @@ def test_load_counts_pseudonyms_and_audit(store, cohort, catalogue):
     got = ME.load(store, six(cohort), catalogue, secret=SECRET, actor="tester")
     assert (got.rows_bronze, got.rows_silver, got.rows_gold) == (8, 8, 6)
     raw = [json.loads(r[0]) for r in store.read("bronze_student_raw").select("payload_json").collect()]
-    assert any(r["student_id"].startswith("ETU-") for r in raw)
+    assert any(r["student_id"].startswith("M000") for r in raw)
     for table in ("silver_student", "gold_training_feature"):
         rows = store.read(table).collect()
-        assert all(len(r["student_id"]) == 64 for r in rows) and "ETU-" not in str(rows)
+        assert all(len(r["student_id"]) == 64 for r in rows) and "M0000" not in str(rows)
     features = json.loads(store.read("gold_training_feature").first()["features_json"])
     assert not set(features) & PM.FORBIDDEN
     audit = store.read("privacy_audit_log").first()
@@ -188,9 +188,9 @@ def test_registry_lifecycle(store):
 
 
 def test_run_log(store):
-    run = log_run(store, {"auc_test": 0.9, "flag": True, "best_params": {"C": 0.1}, "n_features": 3, "subgroups": {}})
+    run = log_run(store, {"auc_test": 0.9, "flag": True, "settings": {"model_class": "LogisticRegressionModel", "folds": 5}, "subgroups": {}})
     got = {r["key"]: r["value"] for r in store.read("training_run").where(F.col("run_id") == run).collect()}
-    assert got["auc_test"] == "0.9" and got["best_clf_C"] == "0.1" and "flag" not in got and "subgroups" not in got
+    assert got["auc_test"] == "0.9" and got["folds"] == "5" and "flag" not in got and "subgroups" not in got
 
 
 def test_monitoring_cycle_alerts_once(spark, store, cohort, tmp_path):
@@ -329,3 +329,17 @@ def test_schemas_cover_the_extracts():
     assert len(schemas.STUDENT_COLUMNS) == 33 and len(schemas.CATALOGUE_COLUMNS) == 7
     assert set(schemas.NUMBER_COLUMNS) < set(schemas.STUDENT_COLUMNS)
     assert M and C
+
+
+def test_csv_quotes_breaks_and_header_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,note,n\n1,"He said ""hi"", ok",5\n2,"two\nlines",6\n', encoding="utf-8")
+    (tmp_path / "b.csv").write_text('n,id,note\n7,3,plain\n', encoding="utf-8")
+    rows = FS.read_csv(spark, str(tmp_path), ["id", "note", "n", "absent"], multi_line=True)
+    got = sorted(tuple(r) for r in rows.collect())
+    assert got == [("1", 'He said "hi", ok', "5", None), ("2", "two\nlines", "6", None), ("3", "plain", "7", None)]
+    FS.write_scores(rows, str(tmp_path / "out"))
+    import csv
+    import glob
+
+    written = [r for f in glob.glob(str(tmp_path / "out" / "*.csv")) for r in csv.DictReader(open(f, encoding="utf-8", newline=""))]
+    assert sorted(r["note"] for r in written) == sorted(g[1] for g in got)

@@ -292,3 +292,50 @@ def test_contributions_add_up(spark):
         assert 0.25 + sum(c["contribution"] for c in r["contributions"]) == pytest.approx(r["log_odds"], abs=1e-12)
     rows = E.factor_rows(E.with_contributions(df, {"a": 0.5, "b": -2.0}, 0.0), ["a"], 1).collect()
     assert {(r["a"], r["direction"], r["name"]) for r in rows} == {(1.0, "risk", "a"), (1.0, "protective", "b"), (-3.0, "protective", "a")}
+
+
+def test_split_policy_has_no_caps(spark):
+    singleton = spark.range(5000).select("id", F.when(F.col("id") == 7, -1).otherwise(F.col("id") % 1300).cast("int").alias("y"))
+    assert S.split_policy(singleton, "y") == "shuffled"
+    many = spark.range(12_000).select("id", (F.col("id") % 1200).cast("int").alias("y"))
+    assert S.split_policy(many, "y") == "stratified"
+    pairs = spark.range(2000).select("id", (F.col("id") % 1000).cast("int").alias("y"))
+    assert S.split_policy(pairs, "y") == "refused"
+    with pytest.raises(ValueError):
+        S.assign_split(pairs, "y", "id")
+    got = {r["split_set"]: r["n"] for r in S.assign_split(pairs, "y", "id", allow_fallback=True).groupBy("split_set").agg(F.count("id").alias("n")).collect()}
+    assert got == {"test": 400, "validation": 400, "train": 1200}
+    assert S.split_policy(spark.range(0).selectExpr("id", "1 AS y"), "y") == "refused"
+
+
+def test_folds_hold_every_class(spark):
+    rows = spark.range(1000).select("id", (F.col("id") < 5).cast("int").alias("y")).repartition(7)
+    folds = S.stratified_folds(rows, "y", "id").groupBy("y", "fold").agg(F.count("id").alias("n")).collect()
+    assert {(r["y"], r["fold"]): r["n"] for r in folds} == {(y, f): 199 if y == 0 else 1 for y in (0, 1) for f in range(5)}
+
+
+def test_missing_scores_and_labels_do_not_count(spark):
+    rows = [(1, 0.9), (0, 0.1), (1, float("nan")), (None, 0.9), (0, None)]
+    got = M.threshold_curve(spark.createDataFrame(rows, "y int, s double"), "y", "s", thresholds=[0.5]).first()
+    assert (got["tp"], got["fp"], got["fn"], got["tn"]) == (1, 0, 0, 1)
+
+
+def test_unknown_reference_model(spark):
+    table = spark.createDataFrame([("a", 0.9, 1.0), ("b", 0.8, 2.0)], "model string, auc double, cost double")
+    assert M.cost_table(table, "model", "auc", "cost", "a").count() == 2
+    with pytest.raises(ValueError):
+        M.cost_table(table, "model", "auc", "cost", "c")
+
+
+def test_empty_minutes_fire_on_request(spark):
+    rows = [("a", m, m in (3, 9)) for m in (1, 3, 4, 9, 10)] + [("b", 5, True)]
+    frame = spark.createDataFrame(rows, "k string, minute long, x boolean")
+    got = {(r["k"], r["from_minute"], r["to_minute"]) for r in DC.pending_runs(frame, ["k"], "minute", "x", 2, no_data_fires=True).collect()}
+    assert got == {("a", 2, 3), ("a", 5, 9)}
+
+
+def test_each_table_is_read_once_for_both_directions(spark, tmp_path):
+    spark.createDataFrame([(1, 1.0, 2.0)], "id int, a double, b double").write.parquet(str(tmp_path / "t"))
+    frame = spark.read.parquet(str(tmp_path / "t"))
+    plan = E.factor_rows(E.with_contributions(frame, {"a": 0.5, "b": -2.0}, 0.0), ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1

@@ -8,9 +8,7 @@ from riskloom.queries import REGISTRY
 from tests import oracle
 
 FOLDER = "/root/testdata/sf0.001"
-# Whole jobs that other tests already run on small fixtures; ``tests.oracle`` compares them too.
-LONG = {"medallion_load", "gold_skipped", "drift_append", "psi_status", "drift_report_file", "call_limiter", "lockout_machine"}
-NAMES = [n for n, q in REGISTRY.items() if q.sql and n not in LONG]
+NAMES = [n for n, q in REGISTRY.items() if q.sql]
 
 
 @pytest.fixture(scope="module")
