@@ -30,26 +30,28 @@ _WORD = re.compile(f"[^{WHITE_SPACE}]+")
 _DOC = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("symbol", "<u8"), ("start", "<u8"), ("n", "<u8")])
 
 
-def _uses(keys: np.ndarray, usable: np.ndarray, least: int, turn: int) -> np.ndarray:
-    """For each position, how often its pair occurs; 0 where that is less than ``least``.
+def _frequent(
+    keys: np.ndarray, usable: np.ndarray, least: int, turn: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs that occur ``least`` times or more; for each position the place of its pair there and its count.
 
-    Frequent pairs are looked up in a table with one pair per hash bucket, the most frequent one;
-    the others of the bucket wait for a turn with another hash.
+    Pairs are looked up in a table with one pair per hash bucket, the most frequent one; the
+    others of the bucket wait for a turn with another hash. The count is 0 where none is found.
     """
     ordered = np.sort(keys[usable])
-    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
     counts = np.diff(np.append(starts, len(ordered)))
     often = counts >= least
     pairs, counts = ordered[starts[often]], counts[often]
     if not len(pairs):
-        return np.zeros(len(keys), np.int64)
+        return pairs, np.zeros(len(keys), np.int32), np.zeros(len(keys), np.int64)
     by_count = np.argsort(counts, kind="stable")
     pairs, counts = pairs[by_count], counts[by_count]
     factor, shift = np.uint64(0x9E3779B97F4A7C15 + 2 * turn), np.uint64(47)
     table = np.zeros(1 << 17, np.int32)
     table[(pairs * factor) >> shift] = np.arange(len(pairs))
     place = table[(keys * factor) >> shift]
-    return np.where((pairs[place] == keys) & usable, counts[place], 0)
+    return pairs, place, np.where((pairs[place] == keys) & usable, counts[place], 0)
 
 
 def compress(
@@ -57,27 +59,28 @@ def compress(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Rules (pairs, the k-th standing for ``first + k``) and the remaining symbols.
 
-    In each round every frequent pair that beats its overlapping neighbours (by count, the left
-    one in a tie) is replaced. A round that shortens the sequence by less than ``least_gain`` is
-    the last.
+    In each round every frequent pair that is not beaten by an overlapping neighbour (by count)
+    is replaced, from left to right where counts are equal. A round that shortens the sequence by
+    less than ``least_gain`` is the last.
     """
     symbols, rules, made = ids.astype(np.uint32), [], 0
     while len(symbols) > 1:
         left, right = symbols[:-1], symbols[1:]
         keys = (left.astype(np.uint64) << np.uint64(32)) | right
-        uses = _uses(keys, (left != end) & (right != end), least, len(rules))
-        if not uses.any():
+        pairs, place, uses = _frequent(keys, (left != end) & (right != end), least, len(rules))
+        if not len(pairs):
             break
-        before, after = np.concatenate([[0], uses[:-1]]), np.concatenate([uses[1:], [0]])
-        chosen = np.flatnonzero((uses > 0) & (uses > before) & (uses >= after))
-        # Equal counts in a row (as in a run of one id): every second position from the left.
-        tied = np.flatnonzero((uses > 0) & (uses == before) & (uses >= after))
-        if len(tied):
-            chosen = _apart(np.union1d(chosen, tied))
-        new, place = np.unique(keys[chosen], return_inverse=True)
+        best = uses > 0
+        best[1:] &= uses[1:] >= uses[:-1]
+        best[:-1] &= uses[:-1] >= uses[1:]
+        chosen = _apart(np.flatnonzero(best))
+        used = np.zeros(len(pairs), bool)
+        used[place[chosen]] = True
+        number = np.cumsum(used) - 1
+        new = pairs[used]
         rules.append(np.stack([new >> np.uint64(32), new & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
         symbols = symbols.copy()
-        symbols[chosen] = (first + made + place).astype(np.uint32)
+        symbols[chosen] = (first + made + number[place[chosen]]).astype(np.uint32)
         keep = np.ones(len(symbols), bool)
         keep[chosen + 1] = False
         symbols, made = symbols[keep], made + len(new)
@@ -88,6 +91,8 @@ def compress(
 
 def _apart(positions: np.ndarray) -> np.ndarray:
     """Positions without those right after a kept one."""
+    if not len(positions):
+        return positions
     starts = np.concatenate([[True], np.diff(positions) != 1])
     run_start = np.maximum.accumulate(np.where(starts, np.arange(len(positions)), 0))
     return positions[(np.arange(len(positions)) - run_start) % 2 == 0]

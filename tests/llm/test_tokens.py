@@ -106,5 +106,6 @@ def test_grammar(seed):
         assert (shard.ids_between(a, min(b, len(flat))) == flat[a:b]).all()
     sizes = [len(repair.expand(np.array([100 + k]), shard.rules, 100)) for k in range(len(shard.rules))]
     assert sizes == shard.lengths.tolist()
-    again = repair._uses((shard.symbols[:-1].astype(np.uint64) << np.uint64(32)) | shard.symbols[1:], (shard.symbols[:-1] != 2) & (shard.symbols[1:] != 2), repair.LEAST_USES, 0)
-    assert (again > 0).sum() < 0.02 * len(flat)
+    inner = (shard.symbols[:-1] != 2) & (shard.symbols[1:] != 2)
+    keys = (shard.symbols[:-1].astype(np.uint64) << np.uint64(32)) | shard.symbols[1:]
+    assert (repair._frequent(keys, inner, repair.LEAST_USES, 0)[2] > 0).sum() < 0.03 * len(flat)
