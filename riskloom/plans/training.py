@@ -18,7 +18,6 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskloom import constants as K
@@ -159,31 +158,35 @@ def transformed_names(bundle: ModelBundle) -> list[str]:
 
 def fit_logistic(
     train: DataFrame, features: Sequence[str], label: str, key: str,
-    c_grid: Sequence[float] = tuple(K.C_GRID), folds: int = K.CV_FOLDS, seed: int = 42, parallelism: int = 4,
+    c_grid: Sequence[float] = tuple(K.C_GRID), folds: int = K.CV_FOLDS, seed: int = 42,
 ) -> tuple[PipelineModel, float, float]:
     """(model, best C, mean validation AUC) of a balanced L2 logistic regression.
 
-    ``regParam`` is 1/(C n): the loss is averaged here and summed in the usual C form.
+    ``regParam`` is 1/(C n) with the n of the rows fitted: the loss is averaged here and summed in
+    the usual C form. Preprocessing is fitted anew in every fold.
     """
     rows = S.stratified_folds(S.with_class_weights(train, label, "_weight"), label, key, folds, seed, "_fold")
     rows = R.kept(rows.withColumn("_label", F.col(label).cast("double")))
-    n = rows.count()
     lr = LogisticRegression(
         featuresCol=FEATURES, labelCol="_label", weightCol="_weight", maxIter=200,
         standardization=False, elasticNetParam=0.0,
     )
-    if len(c_grid) == 1 and folds < 2:
-        lr = lr.setRegParam(1.0 / (c_grid[0] * n))
-        return Pipeline(stages=[*preprocessing_stages(rows, features), lr]).fit(rows), c_grid[0], float("nan")
-    grid = ParamGridBuilder().addGrid(lr.regParam, [1.0 / (c * n) for c in c_grid]).build()
-    search = CrossValidator(
-        estimator=Pipeline(stages=[*preprocessing_stages(rows, features), lr]), estimatorParamMaps=grid,
-        evaluator=BinaryClassificationEvaluator(labelCol="_label", metricName="areaUnderROC", numBins=0),
-        foldCol="_fold", numFolds=folds, parallelism=parallelism,
-    )
-    found = search.fit(rows)
-    best = max(range(len(c_grid)), key=lambda i: found.avgMetrics[i])
-    return found.bestModel, c_grid[best], float(found.avgMetrics[best])
+    auc = BinaryClassificationEvaluator(labelCol="_label", metricName="areaUnderROC", numBins=0)
+    found: dict[float, list[float]] = {c: [] for c in c_grid}
+    for fold in range(folds) if folds > 1 else ():
+        # Fills, scales and value lists come from the fold's own training rows.
+        inner = rows.where(F.col("_fold") != fold)
+        prepared = Pipeline(stages=preprocessing_stages(inner, features)).fit(inner)
+        columns = [FEATURES, "_label", "_weight"]
+        inner = R.kept(prepared.transform(inner).select(columns))
+        held = R.kept(prepared.transform(rows.where(F.col("_fold") == fold)).select(columns))
+        n = inner.count()
+        for c, model in lr.fitMultiple(inner, [{lr.regParam: 1.0 / (c * n)} for c in c_grid]):
+            found[c_grid[c]].append(auc.evaluate(model.transform(held)))
+    means = {c: sum(v) / len(v) if v else float("nan") for c, v in found.items()}
+    best = max(c_grid, key=lambda c: means[c]) if folds > 1 else c_grid[0]
+    stages = [*preprocessing_stages(rows, features), lr.setRegParam(1.0 / (best * rows.count()))]
+    return Pipeline(stages=stages).fit(rows), best, means[best]
 
 
 def with_probability(df: DataFrame, model: PipelineModel, name: str = "proba_abandon") -> DataFrame:

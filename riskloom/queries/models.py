@@ -181,11 +181,11 @@ def permutation_importance(t: Tables) -> DataFrame:
 FEATURES = ["n_chars", "n_lines", "n_digits", "share_upper", "lang", "source"]
 
 
-def document_features(t: Tables) -> DataFrame:
-    """Labelled documents with measures of their whole text."""
+def document_features(t: Tables, how: str = "inner") -> DataFrame:
+    """Labelled documents (with ``left``: all) with measures of their whole text."""
     text = F.col("text")
     size = F.greatest(F.lit(1), F.length(text))
-    rows = t.documents.join(t.labels, "doc_id").select(
+    rows = t.documents.join(t.labels, "doc_id", how).select(
         "doc_id", "quality", "toxic", "lang", "source", "n_chars",
         F.regexp_count(text, F.lit("\n")).alias("n_lines"), F.regexp_count(text, F.lit("[0-9]")).alias("n_digits"),
         (F.regexp_count(text, F.lit(r"\p{Lu}")) / size).alias("share_upper"),
@@ -197,7 +197,7 @@ def trained(t: Tables):
     from riskloom.plans import training as T
 
     return T.train_gold(
-        document_features(t), FEATURES, "quality", "doc_id", subgroups=("lang",), c_grid=(0.1, 1.0), folds=2
+        document_features(t), FEATURES, "quality", "doc_id", subgroups=("lang",)
     )
 
 
@@ -241,7 +241,7 @@ def candidate_models(t: Tables) -> DataFrame:
 def regression_models(t: Tables) -> DataFrame:
     from riskloom.plans import training as T
 
-    split = S.assign_split(document_features(t), "quality", "doc_id")
+    split = S.stratified_split(document_features(t, "left"), None, "doc_id")
     return T.compare_regressors(
-        S.rows_in(split, "train"), S.rows_in(split, "test"), ["n_lines", "n_digits", "share_upper", "lang"], "n_chars", trees=20
+        S.rows_in(split, "train"), S.rows_in(split, "test"), ["n_lines", "n_digits", "share_upper", "lang"], "n_chars"
     )

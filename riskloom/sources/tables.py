@@ -9,7 +9,7 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskloom import constants as K
-from riskloom.operators import cohort as C
+from riskloom.operators import cohort as C, ordered as R
 from riskloom.schemas import BATCH_TABLES, LAYER_TABLES, TABLES
 
 
@@ -142,23 +142,25 @@ class TableStore:
         self.audit("drift_report_persist", "ingestion_batch", "drift report tied to its batch", batch_id)
 
     def purge_expired(self, now: datetime | None = None, actor: str = "system") -> int:
-        """Delete every batch past its deadline: layers first, manifest last, then audit.
+        """Delete every batch past its deadline: its layers, then its manifest row, then audit.
 
-        Only the expired partitions' folders are removed; other batches are not rewritten.
+        Only the expired partitions' folders are removed; other batches are not rewritten. The
+        ids are stored first and passed through the driver one by one, never as a list.
         """
         cutoff = now or utc_now()
         gone, _ = C.split_survivors(self.read("ingestion_batch"), F.lit(cutoff))
-        ids = [r[0] for r in gone.select("batch_id").distinct().toLocalIterator()]
-        if not ids:
+        purged = 0
+        for row in R.kept(gone.select("batch_id").distinct()).toLocalIterator():
+            for table in [*LAYER_TABLES, "ingestion_batch"]:
+                self._drop_partition(table, row[0])
+            purged += 1
+        if not purged:
             return 0
-        for table in [*LAYER_TABLES, "ingestion_batch"]:
-            for batch_id in ids:
-                self._drop_partition(table, batch_id)
         self.audit(
             "retention_purge", "ingestion_batch", "expired batches deleted under the retention policy",
-            actor=actor, metadata={"purged_batches": ids, "cutoff": cutoff},
+            actor=actor, metadata={"purged_batches": purged, "cutoff": cutoff},
         )
-        return len(ids)
+        return purged
 
     def _drop_partition(self, table: str, batch_id: str) -> None:
         jvm = self.spark.sparkContext._jvm
