@@ -133,17 +133,20 @@ def order_statistics(
     small_group: int = 1_000_000,
     accuracy: int = 100_000,
     sizes: DataFrame | None = None,
+    margin: float = 3.0,
 ) -> DataFrame:
     """Exact values at given ranks per group, plus further aggregate ``measures``.
 
     ``picks`` maps a result name to (rough position in (0, 1), exact 1-based rank as a
     function of the number of values). ``sizes`` may hand in the group sizes (keys, ``_n``
     and the measures) when they are already known. Rows outside the bands are only counted, so no
-    task sees more than ``small_group`` rows or about 6/accuracy of a larger group.
+    task sees more than ``small_group`` rows or about 6/accuracy of a larger group. Bands reach
+    ``margin`` / accuracy to both sides; a group whose wanted rank lies outside its band is
+    done again with bands ten times as wide, so a result is exact or NULL for want of values.
     """
     measures = dict(measures or {})
     keyed = df if keys else df.withColumn("_all", F.lit(0))
-    keys = list(keys) or ["_all"]
+    grouped, keys = bool(keys), list(keys) or ["_all"]
     side = sized(
         sizes if sizes is not None
         else keyed.groupBy(*keys).agg(F.count(value).alias("_n"), *[c.alias(n) for n, c in measures.items()])
@@ -152,7 +155,7 @@ def order_statistics(
     largest = side.agg(F.max("_n")).first()[0] or 0
     if largest > small_group:
         centres = sorted({p for p, _ in picks.values()})
-        rows = _banded(rows, keys, side.where(F.col("_n") > small_group).select(*keys), centres, accuracy)
+        rows = _banded(rows, keys, side.where(F.col("_n") > small_group).select(*keys), centres, margin / accuracy, accuracy)
     else:
         rows = rows.withColumn("_zone", F.lit(0))
     counted = rows.groupBy(*keys, "_zone", "_v").agg(F.count(F.lit(1)).alias("_c"))
@@ -166,21 +169,33 @@ def order_statistics(
         return F.max(F.when(hit, F.col("_v")))
 
     found = placed.groupBy(*keys).agg(
-        *[at(rank(F.col("_n"))).alias(name) for name, (_, rank) in picks.items()]
+        *[at(rank(F.col("_n"))).alias(name) for name, (_, rank) in picks.items()], F.max("_n").alias("_size")
     )
+    if largest > small_group:
+        found = kept(found)
+        lost = F.lit(False)
+        for name, (_, rank) in picks.items():
+            lost = lost | (F.col(name).isNull() & rank(F.col("_size")).between(F.lit(1), F.col("_size")))
+        lost = F.coalesce(lost, F.lit(False))
+        again = found.where(lost).select(*keys)
+        if not again.isEmpty():
+            redone = order_statistics(
+                join_on(keyed, again, keys), keys, value, picks, small_group=small_group, accuracy=accuracy,
+                margin=max(1.0, margin * 10),
+            )
+            found = found.where(~lost).select(*keys, *picks).unionByName(redone.select(*keys, *picks))
     out = join_on(
-        side.select(*keys, *measures, F.col("_n").alias(count_name)), found, keys, "left"
+        side.select(*keys, *measures, F.col("_n").alias(count_name)), found.select(*keys, *picks), keys, "left"
     )
-    return out.drop("_all")
+    return out if grouped else out.drop("_all")
 
 
-def _banded(rows: DataFrame, keys: Sequence[str], large: DataFrame, centres: Sequence[float], accuracy: int) -> DataFrame:
+def _banded(rows: DataFrame, keys: Sequence[str], large: DataFrame, centres: Sequence[float], margin: float, accuracy: int) -> DataFrame:
     """Rows of large groups outside the bands around the wanted ranks lose their value.
 
     They keep a zone number that orders them against the bands, so counting them gives
     exact ranks inside the bands. Rows of small groups pass unchanged.
     """
-    margin = 3.0 / accuracy
     probs = [q for p in centres for q in (max(0.0, p - margin), min(1.0, p + margin))]
     in_large = join_on(rows, large, keys)
     bands = sized(in_large.groupBy(*keys).agg(F.percentile_approx("_v", probs, accuracy).alias("_q")))

@@ -51,6 +51,16 @@ def test_linear_quantiles_match_numpy(spark, small_group):
     assert list(got) == pytest.approx(list(np.quantile([r[2] for r in rows], probs)), abs=1e-12)
 
 
+@pytest.mark.parametrize("keys", [["g"], []])
+def test_a_missed_band_is_widened(spark, keys):
+    rows, df = skewed(spark)
+    shifted = {"_lo": (0.9, lambda n: F.ceil(n * 0.1).cast("long")), "_hi": (0.1, lambda n: n)}
+    out = R.order_statistics(df, keys, "s", shifted, small_group=50, accuracy=1000, margin=0.0)
+    for r in out.collect():
+        xs = sorted(s for _, g, s, _ in rows if not keys or g == r["g"])
+        assert r["_lo"] == xs[math.ceil(len(xs) * 0.1) - 1] and r["_hi"] == xs[-1]
+
+
 def test_null_keys_and_tiny_groups(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 7.0), ("b", None)], "g string, s double")
     out = R.order_statistics(df, ["g"], "s", {**R.median_picks(), **R.upper_decile_picks()})
