@@ -14,7 +14,6 @@ import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,20 +23,52 @@ from riskloom.llm.common import WHITE_SPACE, list_array, pieces, texts_of
 
 #: Chunks kept per Python worker, and the longest that is kept.
 KEPT_CHUNKS, KEPT_CHARS = 350_000, 40
+#: Letters without marks of their own, up to 40, and punctuation that ends the chunk.
+_PLAIN = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]{1,40})([.,!?;:]*)")
 _CHUNK = re.compile(f" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+")
 
 
 class ChunkEncoder:
-    """Ids of texts as little-endian 32-bit bytes; the library sees only chunks not met before."""
+    """Ids of texts as little-endian 32-bit bytes; the library sees only words not met before.
 
-    def __init__(self, path: str, chunk: re.Pattern):
+    A chunk of plain letters with punctuation behind it is two pieces for the vocabulary's
+    pattern, so it is put together from the word and the punctuation. New words go to the library
+    many in one text, and its ids are cut where a token carries the vocabulary's sign of a word's
+    begin (``Ġ``) or end (``</w>``); should the number of words not fit, each goes alone.
+    ``fold``: the vocabulary lower-cases, so words are kept in lower case.
+    """
+
+    def __init__(self, path: str, chunk: re.Pattern, fold: bool = False):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         # Strings that look like special tokens are ordinary text.
         self.tokenizer.encode_special_tokens = True
-        self.chunk, self.known = chunk, {}
+        self.chunk, self.fold, self.known = chunk, fold, {}
+        words = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.edge = np.zeros(max(words.values(), default=-1) + 1, bool)
+        for word, i in words.items():
+            self.edge[i] = word.endswith("</w>") if fold else word.startswith("Ġ")
+
+    def _alone(self, chunks: list[str]) -> Iterator[bytes]:
+        for i in range(0, len(chunks), 4096):
+            for e in self.tokenizer.encode_batch_fast(chunks[i : i + 4096], add_special_tokens=False):
+                yield struct.pack(f"<{len(e.ids)}I", *e.ids)
+
+    def _together(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words of letters (each with a space before it, unless the vocabulary folds)."""
+        groups = [words[i : i + 256] for i in range(0, len(words), 256)]
+        texts = [(" " if self.fold else "").join(g) for g in groups]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(e.ids, dtype="<u4")
+            edges = np.flatnonzero(self.edge[ids]) + self.fold
+            if len(edges) != len(group):
+                yield from self._alone(group)
+                continue
+            ends = 4 * (edges if self.fold else np.append(edges[1:], len(ids)))
+            data = ids.tobytes()
+            yield from map(data.__getitem__, map(slice, [0, *ends[:-1].tolist()], ends.tolist()))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [self.chunk.findall(t) for t in texts]
@@ -47,22 +78,34 @@ class ChunkEncoder:
         new = [c for c in seen if c not in known]
         if len(known) + len(new) > KEPT_CHUNKS:
             known = self.known = {c: known[c] for c in seen if c in known}
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            packed = struct.pack(f"<{sum(map(len, found))}I", *chain.from_iterable(found))
-            ends = list(accumulate(4 * len(x) for x in found))
-            known.update(zip(part, map(packed.__getitem__, map(slice, [0, *ends], ends))))
+        made, words, rest = [], set(), set()
+        for c in new:
+            if m := _PLAIN.fullmatch(c):
+                word, tail = m[1].lower() if self.fold else m[1], m[2]
+                made.append((c, word, tail))
+                (words if self.fold or word[0] == " " else rest).add(word)
+                if tail:
+                    rest.add(tail)
+            else:
+                rest.add(c)
+        words, rest = [w for w in words if w not in known], [c for c in rest if c not in known]
+        known.update(zip(words, self._together(words)))
+        known.update(zip(rest, self._alone(rest)))
+        known.update((c, known[w] + known[t] if t else known[w]) for c, w, t in made)
         out = [b"".join(map(known.__getitem__, chunks)) for chunks in split]
-        for c in new if len(known) > KEPT_CHUNKS else [c for c in new if len(c) > KEPT_CHARS]:
-            del known[c]
+        if len(known) > KEPT_CHUNKS:
+            self.known = {}
+        else:
+            for c in rest:
+                if len(c) > KEPT_CHARS:
+                    del known[c]
         return out
 
 
 @lru_cache(maxsize=4)
-def worker_encoder(path: str, chunk: re.Pattern) -> ChunkEncoder:
+def worker_encoder(path: str, chunk: re.Pattern, fold: bool = False) -> ChunkEncoder:
     """One encoder per Python worker, so later tasks find the chunks of earlier ones."""
-    return ChunkEncoder(path, chunk)
+    return ChunkEncoder(path, chunk, fold)
 
 
 def byte_alphabet() -> dict[str, int]:

@@ -200,7 +200,7 @@ def write(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder = worker_encoder(vocabulary, _WORD)
+        encoder = worker_encoder(vocabulary, _WORD, fold=True)
         first = encoder.tokenizer.get_vocab_size(with_added_tokens=True)
         last, part, shard = struct.pack("<I", end), TaskContext.get().partitionId(), 0
         names, parts, held, inside = [], [], 0, 0
