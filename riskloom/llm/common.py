@@ -36,6 +36,7 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 2 << 2
             continue
         lengths = pc.binary_length(batch.column(batch.schema.get_field_index(text))).fill_null(0)
         sizes = np.concatenate([[0], np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64))])
+        pa.default_memory_pool().release_unused()
         start = 0
         while start < batch.num_rows:
             stop = int(np.searchsorted(sizes, sizes[start] + max_bytes, "right")) - 1
@@ -44,6 +45,13 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 2 << 2
             start = stop
 
 
+def some_texts(column: pa.Array, rows: int = 256) -> Iterator[list[str | None]]:
+    """The texts of an Arrow column, some rows at a time, so few of them are Python objects at once."""
+    for i in range(0, len(column), rows):
+        yield column.slice(i, rows).to_pylist()
+    pa.default_memory_pool().release_unused()
+
+
 def texts_of(batch: pa.RecordBatch, text: str) -> list[str]:
     """The texts of a batch; null reads as the empty text."""
     return [x or "" for x in batch.column(batch.schema.get_field_index(text)).to_pylist()]

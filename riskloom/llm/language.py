@@ -10,9 +10,11 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from riskloom.llm.common import some_texts
+
 UNKNOWN = "und"
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 
@@ -103,12 +105,14 @@ def predicted(model: LanguageModel, text: str | Column = "text") -> Column:
     under a model without languages. Equal sizes go to the first language by name, rejected.
     """
 
-    @F.pandas_udf("lang string, score double, rejected boolean")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang string, score double, rejected boolean")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         names, compressors = list(model.dictionaries), _compressors(model)
-        for texts in batches:
-            yield pd.DataFrame(
-                [classified(t, names, compressors, model) for t in texts], columns=["lang", "score", "rejected"]
+        for column in batches:
+            found = [classified(t, names, compressors, model) for texts in some_texts(column) for t in texts]
+            kinds = (("lang", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_()))
+            yield pa.StructArray.from_arrays(
+                [pa.array([f[i] for f in found], kind) for i, (_, kind) in enumerate(kinds)], names=[n for n, _ in kinds]
             )
 
     return run(F.col(text) if isinstance(text, str) else text)

@@ -12,10 +12,10 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from riskloom.llm.common import classes, stored
+from riskloom.llm.common import classes, some_texts, stored
 
 BITS, BYTES, SEED = 3, 8, 42
 LEAST = BYTES - BITS
@@ -58,10 +58,10 @@ def fingerprint_of(text: str | None, words_per_shingle: int = 3) -> int:
 def fingerprint(text: str | Column = "text") -> Column:
     """Majority fingerprint over 3-word shingles; lower-cases A-Z, splits at ASCII white space."""
 
-    @F.pandas_udf(T.LongType())
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([fingerprint_of(t) for t in texts], dtype="int64")
+    @F.arrow_udf(T.LongType())
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in batches:
+            yield pa.array([fingerprint_of(t) for texts in some_texts(column) for t in texts], pa.int64())
 
     return run(F.col(text) if isinstance(text, str) else text)
 

@@ -16,9 +16,11 @@ from dataclasses import dataclass, field
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from riskloom.llm.common import some_texts
+
 #: A letter that stands alone and is followed by another one: spelt-out words close up.
 _SPELT = re.compile(r"(?<![^\W_])([^\W_])[\W_]{1,3}(?=[^\W_](?![^\W_]))")
 _LENGTH, _LETTERS = 4, 32
@@ -253,11 +255,12 @@ def scored(model: ToxicityModel, text: str | Column = "text") -> Column:
     """Probability of label 1 of a text column. Null, empty and letterless texts get the lowest."""
     sent = SparkSession.active().sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ready = sent.value
-        for texts in batches:
-            yield pd.Series([probability(best_window(letters(t or ""), ready), ready) for t in texts], dtype="float64")
+        for column in batches:
+            found = [probability(best_window(letters(t or ""), ready), ready) for texts in some_texts(column) for t in texts]
+            yield pa.array(found, pa.float64())
 
     return run(F.col(text) if isinstance(text, str) else text)
 
