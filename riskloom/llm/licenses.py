@@ -8,6 +8,7 @@ known licence texts. Nothing but a whole unit can match.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -25,16 +26,102 @@ _APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you
     http://www.apache.org/licenses/LICENSE-2.0
 
 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
-KNOWN: dict[str, Sequence[str]] = {
-    "MIT": (_MIT, "MIT License\n\n" + _MIT, "The MIT License (MIT)\n\n" + _MIT, "Released under the MIT License.", "Licensed under the MIT License.", "SPDX-License-Identifier: MIT"),
-    "ISC": (_ISC, "ISC License\n\n" + _ISC, "Licensed under the ISC License.", "SPDX-License-Identifier: ISC"),
-    "Apache-2.0": (_APACHE, "Licensed under the Apache License, Version 2.0.", "Released under the Apache License, Version 2.0.", "SPDX-License-Identifier: Apache-2.0"),
-    "BSD-3-Clause": ("Licensed under the BSD 3-Clause License.", "SPDX-License-Identifier: BSD-3-Clause"),
-    "GPL-3.0": ("Licensed under the GNU General Public License, Version 3.", "SPDX-License-Identifier: GPL-3.0-only"),
-    "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0"),
-    "CC-BY-4.0": ("This work is licensed under a Creative Commons Attribution 4.0 International License.",),
+_BSD_2 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+_BSD_3 = _BSD_2 + """
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+"""
+_BSD_END = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_GNU = """This {0} is free software{1} you can redistribute it and/or modify it under the terms of the {2} as published by the Free Software Foundation{3} version {4} of the License{5}
+
+This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {2} for more details."""
+_MPL = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."
+#: Short and long names of a licence as notices write them.
+NAMES: dict[str, Sequence[str]] = {
+    "MIT": ("MIT", "MIT License", "MIT/X11 License", "Expat License"),
+    "ISC": ("ISC", "ISC License"),
+    "Apache-2.0": ("Apache 2.0", "Apache-2.0", "Apache License 2.0", "Apache License Version 2.0", "Apache 2.0 License", "Apache Software License 2.0"),
+    "BSD-2-Clause": ("BSD 2-Clause", "BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License", "FreeBSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause", "BSD 3-Clause License", "3-Clause BSD License", "New BSD License", "Modified BSD License"),
+    "GPL-2.0": ("GPL-2.0", "GPLv2", "GNU GPL Version 2", "GNU General Public License Version 2", "GNU General Public License v2.0"),
+    "GPL-3.0": ("GPL-3.0", "GPLv3", "GNU GPL Version 3", "GNU General Public License Version 3", "GNU General Public License v3.0"),
+    "LGPL-2.1": ("LGPL-2.1", "LGPLv2.1", "GNU LGPL Version 2.1", "GNU Lesser General Public License Version 2.1"),
+    "LGPL-3.0": ("LGPL-3.0", "LGPLv3", "GNU LGPL Version 3", "GNU Lesser General Public License Version 3", "GNU Lesser General Public License v3.0"),
+    "AGPL-3.0": ("AGPL-3.0", "AGPLv3", "GNU AGPL Version 3", "GNU Affero General Public License Version 3", "GNU Affero General Public License v3.0"),
+    "MPL-2.0": ("MPL 2.0", "Mozilla Public License 2.0", "Mozilla Public License Version 2.0"),
+    "Unlicense": ("Unlicense",),
+    "0BSD": ("0BSD", "Zero-Clause BSD License", "BSD Zero Clause License"),
+    "Zlib": ("zlib", "zlib License"),
+    "BSL-1.0": ("BSL-1.0", "Boost Software License 1.0", "Boost Software License Version 1.0"),
+    "EPL-2.0": ("EPL-2.0", "Eclipse Public License 2.0", "Eclipse Public License Version 2.0", "Eclipse Public License v2.0"),
+    "CC0-1.0": ("CC0", "CC0 1.0", "CC0 1.0 Universal", "Creative Commons CC0 1.0 Universal", "Creative Commons Zero v1.0 Universal"),
+    **{
+        f"CC-{code}-{number}": (
+            f"CC {code} {number}", f"Creative Commons {name} {number}", f"Creative Commons {name} {number} {area}",
+            f"Creative Commons {name} {number} {area} License", f"Creative Commons {name} {number} License",
+        )
+        for code, name in (
+            ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"),
+            ("BY-NC", "Attribution-NonCommercial"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+            ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+        )
+        for number, area in (("4.0", "International"), ("3.0", "Unported"))
+    },
+}
+_SUBJECTS = ("", *(f"This {x} is " for x in ("work", "file", "program", "software", "project", "code")))
+_VERBS, _ARTICLES = ("Licensed under ", "Released under ", "Distributed under "), ("", "the ", "the terms of the ")
+
+
+def notices(license: str, names: Sequence[str]) -> list[str]:
+    """The one-line notices of a licence: subject, verb, article and name, and SPDX lines."""
+    later = [f"SPDX-License-Identifier: {license}-{x}" for x in ("only", "or-later")] if "GPL" in license else []
+    articles = (*_ARTICLES, "a ") if license.startswith("CC-") else _ARTICLES
+    lines = [s + v + a + n + "." for s in _SUBJECTS for v in _VERBS for a in articles for n in names]
+    return [*lines, f"SPDX-License-Identifier: {license}", *later]
+
+
+def _gnu_notices(name: str, number: str) -> list[str]:
+    """The notices that the GNU licences ask for, for one version and for later ones too."""
+    out = []
+    for what in ("program", "library", "software", "file"):
+        for colon, either, later in ((":", ", either", ", or (at your option) any later version."), (":", ",", "."), (";", "; either", ", or (at your option) any later version."), (";", "; only", ".")):
+            body = _GNU.format(what, colon, name, either, number, later)
+            out += [body, f"{body}\n\nYou should have received a copy of the {name} along with this {what}. If not, see <https://www.gnu.org/licenses/>."]
+    return out
+
+
+def _published() -> dict[str, list[str]]:
+    """Full texts as published (files of this folder), also without the appendix behind the terms."""
+    out, end = {}, "END OF TERMS AND CONDITIONS"
+    for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+        body = path.read_text("utf-8")
+        out[path.stem] = [body, *([body[: body.index(end)], body[: body.index(end) + len(end)]] if end in body else [])]
+    return out
+
+
+_TEXTS: dict[str, Sequence[str]] = {
+    "MIT": (_MIT, "MIT License\n\n" + _MIT, "The MIT License (MIT)\n\n" + _MIT, "The MIT License\n\n" + _MIT),
+    "ISC": (_ISC, "ISC License\n\n" + _ISC, "The ISC License\n\n" + _ISC),
+    "Apache-2.0": (_APACHE,),
+    "BSD-2-Clause": (_BSD_2 + _BSD_END, "BSD 2-Clause License\n\n" + _BSD_2 + _BSD_END),
+    "BSD-3-Clause": (_BSD_3 + _BSD_END, "BSD 3-Clause License\n\n" + _BSD_3 + _BSD_END),
+    "GPL-2.0": _gnu_notices("GNU General Public License", "2"), "GPL-3.0": _gnu_notices("GNU General Public License", "3"),
+    "LGPL-2.1": _gnu_notices("GNU Lesser General Public License", "2.1"), "LGPL-3.0": _gnu_notices("GNU Lesser General Public License", "3"),
+    "AGPL-3.0": _gnu_notices("GNU Affero General Public License", "3"),
+    "MPL-2.0": (_MPL, _MPL + " If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
     "Proprietary": ("All rights reserved.",),
 }
+_FILES = _published()
+#: Full texts first, then notices; every licence that any of the tables names.
+KNOWN: dict[str, Sequence[str]] = {
+    name: list(dict.fromkeys([*_TEXTS.get(name, ()), *_FILES.get(name, ()), *(notices(name, NAMES[name]) if name in NAMES else ())]))
+    for name in dict.fromkeys([*NAMES, *_TEXTS, *_FILES])
+}
 #: Spellings that count as equal, by word (the published matching guidelines).
 SPELLINGS = {
     "licence": "license", "licences": "licenses", "licenced": "licensed", "acknowledgement": "acknowledgment",

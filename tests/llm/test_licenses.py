@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from riskloom.llm import licenses
 from tests.llm import helpers
 
@@ -26,3 +28,15 @@ def test_empty_tables(spark):
     known = licenses.registry(spark)
     assert licenses.summary(helpers.empty(spark), known).count() == 0
     assert licenses.summary(helpers.docs(spark, ["All rights reserved."]), known.limit(0)).first()["n_matches"] == 0
+
+
+def test_published_texts_and_notice_forms(spark):
+    folder = Path(licenses.__file__).parent / "license_texts"
+    texts = {
+        "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.", "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+        "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "AGPL-3.0": "Released under the GNU AGPL version 3", "LGPL-2.1": (folder / "LGPL-2.1.txt").read_text(), "GPL-2.0": (folder / "GPL-2.0.txt").read_text(),
+        "BSD-3-Clause": "Copyright (c) 2001 A\n\n" + licenses._BSD_3 + licenses._BSD_END, "Unlicense": (folder / "Unlicense.txt").read_text(),
+    }
+    got = licenses.summary(helpers.docs(spark, list(texts.values())), licenses.registry(spark)).collect()
+    assert [r["text_license"] for r in sorted(got, key=lambda r: r["doc_id"])] == list(texts)
