@@ -2,7 +2,9 @@
 
 A text, each of its blank-line separated paragraphs and each of its lines is normalised (case,
 punctuation, copyright lines, equivalent spellings) and its digest joined with the digests of
-known licence texts. Nothing but a whole unit can match.
+known licence texts. Known texts are also sequences of blocks, cut at lines without words and at
+copyright lines with or without a year; a sequence whose digests a document holds in a row is a
+passage. Nothing but a whole unit or a whole sequence can match.
 """
 
 from __future__ import annotations
@@ -12,6 +14,9 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from riskloom.llm.common import stored
+from riskloom.operators.ordered import sized
+
 #: Public licence texts and notices.
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
 
@@ -133,6 +138,14 @@ SPELLINGS = {
 }
 #: A line that is only a copyright statement (holder and years differ from copy to copy).
 COPYRIGHT_LINE = r"(?im)^[^\p{L}\n]*(?:copyright|\(c\)|©)[^\n]*\d{4}[^\n]*$"
+#: Also holders without a year: after the word and sign, or behind a bare (c) if only names follow.
+_HOLDER = (
+    r"(?im)^[^\p{L}\n]*(?:(?:copyright|\(c\)|©)[^\n]*\d{4}[^\n]*|copyright[ \t]*(?:\(c\)|©)[^\n]*|©[^\n]*"
+    r"|copyright[ \t]+(?!(?:and|holders?|notices?|owners?|law|laws|act|licen[sc]es?)\b)(?-i:\p{Lu}|[Tt]he[ \t]+\p{Lu}|by[ \t])[^\n]*"
+    r"|\(c\)(?-i:(?:[ \t]+\p{Lu}[\p{L}.'’-]*,?){1,6})[^\p{L}\n]*)$(?:\n[^\p{L}\n]*all rights reserved[^\p{L}\n]*$)?"
+)
+#: A line without words between two others.
+_GAP = r"\n[^\p{L}\p{N}\n]*\n"
 WORD_BREAK = r"[^\p{L}\p{N}]+"
 
 
@@ -145,29 +158,81 @@ def normalised(text: Column, spellings: Mapping[str, str] = SPELLINGS) -> Column
     return F.trim(out)
 
 
+def _digest(text: Column) -> Column:
+    return F.sha2(normalised(text), 256)
+
+
+def blocks(text: Column) -> Column:
+    """Digests of the worded blocks of a text, in order; copyright lines with or without a year separate blocks."""
+    parts = F.transform(F.split(F.regexp_replace(text, _HOLDER, "\n"), _GAP), lambda v: normalised(v))
+    return F.transform(F.filter(parts, lambda v: v != ""), lambda v: F.sha2(v, 256))
+
+
 def registry(spark: SparkSession, known: Mapping[str, Sequence[str]] = KNOWN) -> DataFrame:
-    """``digest, license`` of known texts; the smallest name where two share a digest."""
+    """``digest, license, sequences`` of known texts; the smallest name where two share a digest."""
     rows = [(name, text) for name, texts in known.items() for text in texts]
     frame = spark.createDataFrame(rows, "license string, text string")
-    return frame.groupBy(F.sha2(normalised(F.col("text")), 256).alias("digest")).agg(F.min("license").alias("license"))
+    return frame.groupBy(_digest(F.col("text")).alias("digest")).agg(
+        F.min("license").alias("license"), F.collect_set(blocks(F.col("text"))).alias("sequences")
+    )
+
+
+def _keys(known: DataFrame) -> DataFrame:
+    """``key, license, sequence, size, at``: digests of whole texts (size 0) and of blocks at their place in a sequence."""
+    worded = known.where(F.col("digest") != F.sha2(F.lit(""), 256))
+    whole = worded.select(F.col("digest").alias("key"), "license", F.lit(0).alias("sequence"), F.lit(0).alias("size"), F.lit(0).alias("at"))
+    whole = whole.withColumn("sequence", F.xxhash64("key"))
+    parts = worded.select("license", F.explode("sequences").alias("s")).where(F.size("s") > 0).groupBy("s").agg(F.min("license").alias("license"))
+    parts = parts.select("license", F.xxhash64("s").alias("sequence"), F.size("s").alias("size"), F.posexplode("s").alias("at", "key"))
+    return whole.unionByName(parts.select(*whole.columns))
+
+
+def _passages(hits: DataFrame) -> DataFrame:
+    """Whole sequences in a row of blocks that no unit of the same text reports already.
+
+    A text that matches as a whole has no passages. A sequence of one block counts only where no
+    unit of the text has its licence; a sequence inside a longer one doesn't count.
+    """
+    by_block = hits.where("unit = 'block'").groupBy("row", "doc_id", "n", "license", "sequence", "size", (F.col("place") - F.col("at")).alias("first"))
+    whole = by_block.agg(F.countDistinct("at").alias("found")).where("found = size")
+    units = hits.where("unit <> 'block'").groupBy(F.col("row").alias("_row")).agg(
+        F.max(F.col("unit") == "text").alias("_text"), F.collect_set("license").alias("_had")
+    )
+    open_ = whole.join(units, F.col("row") == F.col("_row"), "left").where(
+        "NOT coalesce(_text, false) AND (size > 1 OR NOT coalesce(array_contains(_had, license), false))"
+    )
+    one = F.struct("first", (F.col("first") + F.col("size")).alias("stop"), "license")
+    rows = open_.groupBy("row", "doc_id", "n").agg(F.collect_set(one).alias("all"))
+    inside = lambda v, w: (w["first"] <= v["first"]) & (w["stop"] >= v["stop"]) & (
+        (w["first"] < v["first"]) | (w["stop"] > v["stop"]) | (w["license"] < v["license"])
+    )
+    kept = F.filter("all", lambda v: ~F.exists("all", lambda w: inside(v, w)))
+    rows = rows.select("doc_id", "n", F.explode(kept).alias("p")).select("doc_id", "n", "p.*")
+    entire = (F.col("first") == 0) & (F.col("stop") == F.col("n"))
+    return rows.select("doc_id", F.when(entire, "text").otherwise("passage").alias("unit"), F.col("first").alias("place"), "license")
 
 
 def scan(docs: DataFrame, known: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Matches ``doc_id, unit, place, license``; unit is text, paragraph or line, place counts from 0.
+    """Matches ``doc_id, unit, place, license``; unit is text, paragraph, line or passage.
 
-    Only digests of units are compared, by a hash join that Spark plans by the size of ``known``;
-    texts don't move. A unit without words matches nothing; null and empty texts have no units;
-    repeated documents give repeated matches.
+    Places count from 0: paragraphs, lines, or the blocks of a passage. Only digests are
+    compared, with keys that are sent to the executors if their measured size allows; texts
+    don't move, matches are stored. A unit without words matches nothing; null and empty texts
+    have no units; repeated documents give repeated matches.
     """
-    pieces = lambda kind, values: F.transform(values, lambda v, i: F.struct(F.lit(kind).alias("unit"), i.alias("place"), F.sha2(normalised(v), 256).alias("digest")))
+    listed = lambda kind, values: F.transform(values, lambda v, i: F.struct(F.lit(kind).alias("unit"), i.alias("place"), F.size(values).alias("n"), v.alias("key")))
+    pieces = lambda kind, values: F.transform(values, lambda v, i: F.struct(F.lit(kind).alias("unit"), i.alias("place"), F.lit(0).alias("n"), _digest(v).alias("key")))
     body = F.coalesce(F.col(text), F.lit(""))
     units = F.concat(
         pieces("text", F.array(body)), pieces("paragraph", F.filter(F.split(body, r"\n[ \t\r]*\n"), lambda v: F.contains(v, F.lit("\n")))),
-        pieces("line", F.split(body, r"\n")),
+        pieces("line", F.split(body, r"\n")), listed("block", F.col("blocks")),
     )
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.explode(units).alias("u")).select("doc_id", "u.*")
-    worded = known.where(F.col("digest") != F.sha2(F.lit(""), 256)).select("digest", "license")
-    return rows.join(worded, "digest").select("doc_id", "unit", "place", "license")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), body.alias(text)).withColumns({"row": F.monotonically_increasing_id(), "blocks": blocks(body)})
+    rows = rows.select("row", "doc_id", F.explode(units).alias("u")).select("row", "doc_id", "u.*")
+    keys = sized(_keys(known))
+    hits = stored(rows.join(keys, "key").where((F.col("unit") == "block") == (F.col("size") > 0)).drop("key"), "licenses")
+    found = hits.where("unit <> 'block'").select("doc_id", "unit", "place", "license")
+    return found.unionByName(_passages(hits))
 
 
 def summary(docs: DataFrame, known: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -40,3 +40,17 @@ def test_published_texts_and_notice_forms(spark):
     }
     got = licenses.summary(helpers.docs(spark, list(texts.values())), licenses.registry(spark)).collect()
     assert [r["text_license"] for r in sorted(got, key=lambda r: r["doc_id"])] == list(texts)
+
+
+def test_holders_without_year_and_passages(spark):
+    mit, isc = licenses.KNOWN["MIT"][0], licenses.KNOWN["ISC"][0]
+    commented = "\n".join(" * " + line for line in mit.split("\n"))
+    gpl = (Path(licenses.__file__).parent / "license_texts" / "GPL-3.0.txt").read_text()
+    whole = ["Copyright (c) Jane Doe\n\n" + mit, "Copyright The Authors\nAll rights reserved.\n" + isc, "MIT License\n\n(c) Jane Doe\n\n" + mit]
+    inside = [mit + "\n\nint main() {}", "Some words.\n\n" + isc + "\n\nmore", "/*\n * Copyright Jane\n *\n" + commented + "\n */\nint x;\n", "intro\n\n" + gpl]
+    nothing = [mit.split("\n\n")[0] + "\n\n" + mit.split("\n\n")[2], "\n\n".join(reversed(isc.split("\n\n"))), "Copyright notice and more words\n\nof a text"]
+    got = licenses.summary(helpers.docs(spark, whole + inside + nothing + [inside[0]]), licenses.registry(spark)).collect()
+    got = [r for r in sorted(got, key=lambda r: r["doc_id"])]
+    assert [(r["text_license"], r["n_matches"]) for r in got[:3]] == [("MIT", 1), ("ISC", 2), ("MIT", 1)]  # and the line "All rights reserved."
+    assert [(r["text_license"], r["licenses"]) for r in got[3:7]] == [(None, "MIT"), (None, "ISC"), (None, "MIT"), (None, "GPL-3.0")]
+    assert [r["n_matches"] for r in got[7:10]] == [0, 0, 0] and got[10]["n_matches"] == 1
