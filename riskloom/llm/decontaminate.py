@@ -7,14 +7,18 @@ walks. A key is a sample of the steps of one walk. Walks start at every word; th
 start inside an item-sized window are the window's repetitions, so a document is walked once per
 seed however many items and windows there are. A key that an item has at word ``o`` and a
 document at word ``p`` proposes the window that begins at ``p - o``; proposals are verified by
-the exact edit distance in words.
+the exact edit distance in words. Short items have few walks: an item of under 25 words that may
+differ in ``e`` words is also cut into ``e + 1`` pieces, one of which must be unchanged, and the
+pieces' word runs are keys as well. Still shorter items are looked up by all their words.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +29,9 @@ from riskloom.llm.common import pieces, texts_of
 _SEPARATORS = bytes(
     c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or 48 <= c <= 57 or c >= 128 else 32 for c in range(256)
 )
+#: Scripts without spaces: each character is a word (Thai, Lao, Burmese, Khmer, kana, Han); their marks separate.
+_CHARACTERS = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+_MARKS = re.compile("[\u3000-\u3004\u3008-\u303f\uff01-\uff0f\uff1a-\uff20]")
 
 
 @dataclass(frozen=True)
@@ -33,7 +40,9 @@ class Walks:
 
     With the defaults an item of ``n`` words has about ``4 (n - 8)`` keys; a test measures the
     recall at the largest allowed number of edits. ``edits``: allowed share of the item's words
-    (similarity 0.8). Items of fewer than ``least_words`` words take no part: they prove nothing.
+    (similarity 0.8). Items of fewer than ``piece_words`` words also have keys of pieces, so that none
+    within the allowed edits is missed. Items of fewer than ``least_words`` words only match exactly;
+    under ``least_exact`` words they take no part.
     """
 
     steps: int = 12
@@ -42,6 +51,8 @@ class Walks:
     seeds: int = 2
     edits: float = 0.2
     least_words: int = 8
+    piece_words: int = 25
+    least_exact: int = 3
 
     def samples(self) -> list[list[int]]:
         return [
@@ -51,7 +62,12 @@ class Walks:
 
 
 def words_of(text: str) -> np.ndarray:
-    """Word hashes of a text: lower-cased, split at everything but ASCII letters, digits and non-ASCII."""
+    """Word hashes of a text: lower-cased, split at everything but ASCII letters, digits and non-ASCII.
+
+    Characters of scripts without spaces are words of their own.
+    """
+    if not text.isascii():
+        text = _CHARACTERS.sub(r" \g<0> ", _MARKS.sub(" ", text))
     words = text.encode("utf-8", "replace").translate(_SEPARATORS).split()
     return np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
 
@@ -85,6 +101,16 @@ def walk_keys(words: np.ndarray, n: int, walks: Walks) -> Iterator[tuple[int, np
             yield seed * walks.keys + k, key, last
 
 
+def run_keys(words: np.ndarray, n: int, size: int) -> np.ndarray:
+    """The key of the ``size`` words from every start below ``n``; ``words`` must hold them."""
+    symbol = _mixed(words, 5000 + size)
+    key = np.full(n, 31 + size, np.uint64)
+    for j in range(size):
+        key = (key ^ symbol[j : j + n]) * np.uint64(0x9DDFEA08EB382D69)
+        key ^= key >> np.uint64(33)
+    return key
+
+
 class Items:
     """Word lists and sorted walk keys of a bounded set of benchmark items."""
 
@@ -92,14 +118,25 @@ class Items:
 
     def __init__(self, ids: list[int | None], texts: list[str], walks: Walks):
         self.walks = walks
-        kept = [(i, w) for i, t in zip(ids, texts) if len(w := words_of(t)) >= walks.least_words]
+        kept = [(i, w) for i, t in zip(ids, texts) if len(w := words_of(t)) >= walks.least_exact]
         self.ids, self.words = [i for i, _ in kept], [w for _, w in kept]
         self.n = np.array([len(w) for w in self.words], np.int64)
-        self.limit = np.floor(walks.edits * self.n + 1e-9).astype(np.int64)
+        self.limit = np.where(self.n < walks.least_words, 0, np.floor(walks.edits * self.n + 1e-9)).astype(np.int64)
+        self.runs: set[int] = set()
         self.has = np.zeros((len(kept), self.BUCKETS), bool)
         keys, item, offset = [], [], []
         for x, w in enumerate(self.words):
             self.has[x, w % self.BUCKETS] = True
+            if len(w) < walks.piece_words:
+                parts = int(self.limit[x]) + 1
+                size = len(w) // parts
+                begins = np.arange(parts) * size
+                self.runs.add(size)
+                keys.append(run_keys(w, len(w) - size + 1, size)[begins])
+                item.append(np.full(parts, x))
+                offset.append(begins)
+            if len(w) < walks.least_words:
+                continue
             padded = np.concatenate([w, np.zeros(walks.steps, np.uint32)])
             for _, key, last in walk_keys(padded, len(w), walks):
                 inside = np.flatnonzero(last < len(w))  # a walk that leaves the item has read foreign words
@@ -118,7 +155,8 @@ class Items:
         """Different (document, item, first word of the window in ``words``); ``begins``: of documents."""
         longest, span = int(self.n.max()), n + int(self.n.max()) + 1
         found = []
-        for _, key, _ in walk_keys(words, n, self.walks):
+        runs = (run_keys(words, n, size) for size in sorted(self.runs))
+        for key in chain((key for _, key, _ in walk_keys(words, n, self.walks)), runs):
             at = np.flatnonzero(self.seen[(key >> np.uint64(42)).astype(np.int64)])
             lo, hi = np.searchsorted(self.keys, key[at], "left"), np.searchsorted(self.keys, key[at], "right")
             hits = hi - lo

@@ -89,3 +89,23 @@ def test_fewest_edits():
         item, words = rng.randint(4, size=rng.randint(1, 9)), rng.randint(4, size=rng.randint(1, 14))
         got = D.least_edits(words[None, :].astype(np.int64), item[None, :].astype(np.int64), np.array([len(item)]))
         assert got[0] == brute_edits(item.tolist(), words.tolist())
+
+
+def test_recall_by_length_and_edits():
+    rng = np.random.RandomState(5)
+    vocabulary = [f"w{i}" for i in range(2000)]
+    for n in (8, 9, 10, 12, 14, 15, 17, 19, 20, 30):
+        items = [[vocabulary[k] for k in rng.randint(2000, size=n)] for _ in range(150)]
+        ready = D.Items(list(range(150)), [" ".join(i) for i in items], D.Walks())
+        for edits in range(n // 5 + 1):
+            texts = [" ".join([*vocabulary[:7], *changed(i, edits, rng, vocabulary), *vocabulary[9:17]]) for i in items]
+            found = {(d, x) for d, x, *_ in D.matches([D.words_of(t) for t in texts], ready)}
+            recall = sum((i, i) in found for i in range(150)) / 150
+            assert recall == 1 if n < 25 else recall >= 0.97, (n, edits, recall)
+
+
+def test_short_items_and_scripts_without_spaces():
+    items = ["one two three", "Which planet is largest?", "世界で一番高い山は何ですか", "ประเทศไทย", "中国的首都是哪里"]
+    texts = ["so: One, TWO three four", "one two thre three", "a. which planet is largest b", "問:世界で一番高い山は何ですか。答", "在ประเทศไทยครับ", "请问,中国的首城是哪里?"]
+    ready = D.Items(list(range(len(items))), items, D.Walks())
+    assert {(d, x) for d, x, *_ in D.matches([D.words_of(t) for t in texts], ready)} == {(0, 0), (2, 1), (3, 2), (4, 3), (5, 4)}
