@@ -331,7 +331,7 @@ def source_contributions(explained: DataFrame, bundle: ModelBundle) -> DataFrame
 
 def compare_candidates(
     train_rows: DataFrame, validation: DataFrame, features: Sequence[str], label: str, key: str,
-    trees: int = 300, boosting_rounds: int = 100, seed: int = 42,
+    trees: int = 300, boosting_rounds: int = 400, seed: int = 42,
 ) -> DataFrame:
     """Validation metrics of a prior-rate baseline, a linear model, a forest and boosting."""
     rows = R.kept(

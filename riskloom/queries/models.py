@@ -233,7 +233,7 @@ def candidate_models(t: Tables) -> DataFrame:
 
     split = S.assign_split(document_features(t), "quality", "doc_id")
     return T.compare_candidates(
-        S.rows_in(split, "train"), S.rows_in(split, "validation"), FEATURES, "quality", "doc_id", trees=20, boosting_rounds=5
+        S.rows_in(split, "train"), S.rows_in(split, "validation"), FEATURES, "quality", "doc_id"
     )
 
 
