@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from riskloom.llm import bpe, chat, decontaminate, language, licenses, repair, secrets, simhash, topk, toxicity
+from riskloom.llm import bpe, chat, decontaminate, language, licenses, negatives, repair, secrets, simhash, topk, toxicity
 from riskloom.llm.common import remainder
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -208,3 +208,25 @@ def digests(docs: DataFrame) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+OP11_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, n.vec_id) AS INT) AS rank,
+  n.vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN pairs n ON p.anchor_id = n.anchor_id AND NOT n.same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
+"""
+
+
+@query("op11_hard_negatives", OP11_SQL)
+def hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
