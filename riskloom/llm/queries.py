@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from riskloom.llm import bpe, chat, decontaminate, language, licenses, negatives, repair, secrets, simhash, topk, toxicity
+from riskloom.llm import bpe, chat, decontaminate, language, licenses, negatives, repair, secrets, simhash, spelling, topk, toxicity, warc
 from riskloom.llm.common import remainder
+from riskloom.session import scratch_path
 
 Build = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Build] = {}
@@ -230,3 +231,58 @@ def hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+OP12_SQL = r"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS step),
+runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]{7,}')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+coded AS (SELECT run, flatten(list_transform(string_split(id || ':' || run, ''), lambda x: CASE WHEN ord(x) < 128 THEN [CAST(ord(x) AS BIGINT)]
+    ELSE [CAST(192 + (ord(x) >> 6) AS BIGINT), CAST(128 + (ord(x) & 63) AS BIGINT)] END)) AS bytes FROM runs),
+hashed AS (SELECT run, xor(list_reduce(bytes, lambda c, b: xor(c >> 8, step[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS h FROM coded, crc),
+uses AS (SELECT CASE WHEN h % 31 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word FROM hashed),
+words AS (SELECT word, count(*) AS n FROM uses WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2),
+cuts AS (SELECT word, n, i, word[1:i - 1] || word[i + 1:] AS cut FROM words, unnest(range(1, length(word) + 1)) AS t(i)),
+pairs AS (SELECT a.word, b.word AS near, b.n AS near_n FROM cuts a JOIN cuts b ON a.i = b.i AND a.cut = b.cut AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.cut = b.word
+  UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.cut = b.word),
+best AS (SELECT word, near, near_n, count(*) OVER (PARTITION BY word) AS n_near FROM pairs
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) = 1),
+found AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * n THEN near END AS form,
+  CASE WHEN near_n >= 10 * n THEN near_n END AS form_n FROM words LEFT JOIN best USING (word)),
+walk AS (SELECT word, coalesce(form, word) AS root, form IS NULL AS done FROM found
+  UNION ALL SELECT w.word, coalesce(f.form, f.word), f.form IS NULL FROM walk w JOIN found f ON f.word = w.root WHERE NOT w.done)
+SELECT word, form, root, n, n_near, form_n FROM found JOIN (SELECT word, root FROM walk WHERE done) USING (word)
+"""
+
+
+@query("op12_spelling_variants", OP12_SQL)
+def spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.explode(spelling.runs(F.col("text"))).alias("run"))
+    rows = rows.select("id", spelling.lowered(F.col("run")).alias("run"))
+    rows = rows.withColumn("h", F.crc32(F.concat_ws(":", "id", "run").cast("binary")))
+    place = (F.col("h") % F.length("run")).cast("int")
+    cut = F.concat(F.substring(F.col("run"), F.lit(1), place), F.substring(F.col("run"), place + 2, F.length("run")))
+    words = rows.select(F.when(F.col("h") % 31 == 0, cut).otherwise(F.col("run")).alias("word"))
+    return spelling.variants(spelling.counted(words))
+
+
+OP13_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha1(html) AS hex FROM p),
+coded AS (SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((CAST('0x' || hex[5 * (i // 4) + 1:5 * (i // 4) + 5] AS INT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31), 1)), '') AS payload_digest FROM d),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM coded)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to FROM firsts
+"""
+
+
+@query("op13_warc_captures", OP13_SQL)
+def warc_captures(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write(table(spark, folder, "pages"), path, least_bytes=0)
+    found = warc.resolved(warc.assemble(warc.read(spark, path)))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
