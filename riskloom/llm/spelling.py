@@ -21,10 +21,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from riskloom.llm.common import stored
 from riskloom.session import scratch_path
 
-#: Depths from here on share one folder of the stored trie.
+#: Levels from this depth on are taken in one round.
 DEEP = 48
 UPPER, LOWER = (bytes(range(a, a + 26)).decode() for a in (65, 97))
-_PAIR = "word string, near string"
 
 
 def runs(text: Column, least: int = 7) -> Column:
@@ -74,28 +73,25 @@ def _trie(rows: DataFrame) -> DataFrame:
 
 
 def _by_depth(df: DataFrame, name: str, depth: str) -> DataFrame:
-    """Stored in folders by depth, so a level reads its own rows only."""
+    """Stored in folders by depth (one for all deep rows), so a level reads its own rows only."""
     path = scratch_path(df.sparkSession, name)
     level = F.least(F.col(depth), F.lit(DEEP)).alias("level")
     df.select("*", level).repartition("level", F.pmod(F.xxhash64("node"), F.lit(16))).write.partitionBy("level").parquet(path)
     return df.sparkSession.read.schema(df.schema.add("level", "integer")).parquet(path)
 
 
-def _at(table: DataFrame, column: str, depth: int) -> DataFrame:
-    return table.where((F.col("level") == min(depth, DEEP)) & (F.col(column) == depth)).drop("level", column)
+def _step(states: DataFrame, nodes: DataFrame) -> DataFrame:
+    """States ``side, s, size, depth, at, node, made`` moved over all edges of their nodes.
 
-
-def _step(states: DataFrame, nodes: DataFrame, depth: int) -> DataFrame:
-    """One level: states ``side, s, size, at, node, made`` (``made``: the word after the edit, null before it).
-
-    Returns the next states with ``met``: true where ``made`` is a word of the trie.
+    ``made`` is the word after the edit, null before it; ``met``: true where it is a word of the
+    trie. Edges that lead to the state's own word only are left out.
     """
-    moves = states.join(nodes, "node").select("side", "s", "size", "at", "made", F.explode("edges").alias("e"))
+    moves = states.join(nodes, ["depth", "node"]).select("side", "s", "size", "depth", "at", "made", F.explode("edges").alias("e"))
     own = F.substring(F.col("s"), F.col("at") + 1, F.lit(1))
     after = F.substring(F.col("s"), F.col("at") + 2, F.lit(1))
-    letter, size = F.col("e.letter"), F.col("size")
-    head, tail = F.substring("s", 1, depth), F.substring(F.col("s"), F.lit(depth + 1), size)
-    rest = F.substring(F.col("s"), F.lit(depth + 2), size)
+    letter, size, depth = F.col("e.letter"), F.col("size"), F.col("depth")
+    head, tail = F.substring(F.col("s"), F.lit(1), depth), F.substring(F.col("s"), depth + 1, size)
+    rest = F.substring(F.col("s"), depth + 2, size)
     fresh, inside = F.col("made").isNull(), F.col("at") < size
     # An edit inside a run of equal characters counts at the run's last place only.
     other = fresh & (letter != own) & (letter != "")
@@ -112,37 +108,42 @@ def _step(states: DataFrame, nodes: DataFrame, depth: int) -> DataFrame:
     single = F.col("e.below") == 1
     met = made.isNotNull() & (ended | (single & (F.col("e.only") == F.xxhash64(made))))
     return moved.where(met | (~single & ~ended)).select(
-        "side", "s", "size", F.col("o.at").alias("at"), F.col("e.child").alias("node"), made.alias("made"), met.alias("met")
+        "side", "s", "size", (depth + 1).alias("depth"), F.col("o.at").alias("at"), F.col("e.child").alias("node"), made.alias("made"), met.alias("met")
     )
 
 
 def neighbours(words: DataFrame) -> DataFrame:
     """``word, near``: both directions of every pair of different words one edit apart.
 
-    ``words``: a column ``word`` of distinct words. The number of rounds is the longest prefix that
-    two words share beyond the middle of one of them. Hashes only ever add candidates; a met word
-    is looked up among the words as text.
+    ``words``: a column ``word`` of distinct words. The rounds are the longest prefix that two words share
+    beyond the middle of one of them, but not more than ``DEEP``: deeper down one round takes the
+    unedited states of all levels at once, and the words they are rewritten to are looked up whole.
+    Hashes only ever add candidates; a met word is looked up among the words as text.
     """
     spark = words.sparkSession
     rows = _oriented(words)
     nodes = _by_depth(_trie(rows), "trie", "depth")
-    begin = _by_depth(rows.select("side", "s", "size", "start", _node(F.col("start")).alias("node")), "starts", "start")
-    depths = sorted(r[0] for r in nodes.select("depth").distinct().collect())
-    begins = {r[0] for r in begin.select("start").distinct().collect()}
-    states, found = None, []
+    begin = rows.select("side", "s", "size", F.col("start").alias("depth"), _node(F.col("start")).alias("node"))
+    begin = _by_depth(begin.where(F.col("depth") < DEEP), "starts", "depth")
+    depths = sorted(r[0] for r in nodes.where(F.col("level") < DEEP).select("level").distinct().collect())
+    begins = {r[0] for r in begin.select("level").distinct().collect()}
+    deep = rows.where(F.col("size") >= DEEP).withColumn("depth", F.explode(F.sequence(F.greatest("start", F.lit(DEEP)), F.col("size"))))
+    deep = deep.select("side", "s", "size", "depth", _node(F.col("depth")).alias("node"), F.col("depth").alias("at"), F.lit(None).cast("string").alias("made"))
+    branching = nodes.where((F.col("level") == DEEP) & (F.size("edges") > 1)).drop("level")
+    states, found = None, [_step(deep, branching).where("made IS NOT NULL").select("side", "s", "made")]
     for depth in depths:
         if depth in begins:
-            fresh = _at(begin, "start", depth).select("side", "s", "size", F.lit(depth).alias("at"), "node", F.lit(None).cast("string").alias("made"))
+            fresh = begin.where(F.col("level") == depth).drop("level")
+            fresh = fresh.withColumns({"at": F.col("depth"), "made": F.lit(None).cast("string")})
             states = fresh if states is None else states.unionByName(fresh)
         if states is None:
             continue
-        step = stored(_step(states, _at(nodes, "depth", depth), depth), "frontier")
-        found.append(step.where("met").select("side", "s", "made"))
+        step = stored(_step(states, nodes.where(F.col("level") == depth).drop("level")), "frontier")
+        done = F.col("met") if depth + 1 < DEEP else F.col("made").isNotNull()
+        found.append(step.where(done).select("side", "s", "made"))
         states = step.where("NOT met").drop("met")
         if states.isEmpty():
             states = None
-    if not found:
-        return spark.createDataFrame([], _PAIR)
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)

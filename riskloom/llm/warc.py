@@ -191,9 +191,10 @@ def assemble(records: DataFrame) -> DataFrame:
     it if either names the other in its concurrent-to identifiers, or if it and a record that
     belongs to it do so; of several captures the one with the smallest identifier. What leads to no
     response is a capture of its own with a null response. A record that is repeated (by its
-    identifier) counts once; requests and metadata are sorted by identifier.
+    identifier) counts once; requests and metadata are sorted by identifier. The records are stored
+    once, so archives are parsed once however many joins read them.
     """
-    records = records.dropDuplicates(["record_id"])
+    records = stored(records.dropDuplicates(["record_id"]), "records")
     main = F.col("record_type").isin(*PRINCIPAL)
     heads = records.where(main)
     others = records.where(~main)
