@@ -9,12 +9,19 @@ passage. Nothing but a whole unit or a whole sequence can match.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import hashlib
+import re
+import zlib
+from collections.abc import Iterator, Mapping, Sequence
+from itertools import chain
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import numpy as np
+import pyarrow as pa
+import regex
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from riskloom.llm.common import stored
+from riskloom.llm.common import pieces, some_texts, stored
 from riskloom.operators.ordered import sized
 
 #: Public licence texts and notices.
@@ -137,52 +144,174 @@ SPELLINGS = {
     "whilst": "while", "wilful": "willful", "ver": "version", "v": "version", "https": "http", "noncommercial": "non commercial",
 }
 #: A line that is only a copyright statement (holder and years differ from copy to copy).
-COPYRIGHT_LINE = r"(?im)^[^\p{L}\n]*(?:copyright|\(c\)|©)[^\n]*\d{4}[^\n]*$"
+COPYRIGHT_LINE = regex.compile(r"(?i)^[^\p{L}\n]*(?:copyright|\(c\)|©)[^\n]*\d{4}[^\n]*$")
 #: Also holders without a year: after the word and sign, or behind a bare (c) if only names follow.
-_HOLDER = (
-    r"(?im)^[^\p{L}\n]*(?:(?:copyright|\(c\)|©)[^\n]*\d{4}[^\n]*|copyright[ \t]*(?:\(c\)|©)[^\n]*|©[^\n]*"
+_HOLDER = regex.compile(
+    r"(?i)^[^\p{L}\n]*(?:(?:copyright|\(c\)|©)[^\n]*\d{4}[^\n]*|copyright[ \t]*(?:\(c\)|©)[^\n]*|©[^\n]*"
     r"|copyright[ \t]+(?!(?:and|holders?|notices?|owners?|law|laws|act|licen[sc]es?)\b)(?-i:\p{Lu}|[Tt]he[ \t]+\p{Lu}|by[ \t])[^\n]*"
-    r"|\(c\)(?-i:(?:[ \t]+\p{Lu}[\p{L}.'’-]*,?){1,6})[^\p{L}\n]*)$(?:\n[^\p{L}\n]*all rights reserved[^\p{L}\n]*$)?"
+    r"|\(c\)(?-i:(?:[ \t]+\p{Lu}[\p{L}.'’-]*,?){1,6})[^\p{L}\n]*)$"
 )
-#: A line without words between two others.
-_GAP = r"\n[^\p{L}\p{N}\n]*\n"
-WORD_BREAK = r"[^\p{L}\p{N}]+"
-
-
-def normalised(text: Column, spellings: Mapping[str, str] = SPELLINGS) -> Column:
-    """Lower case words with single spaces; null stays null, a text without words is empty."""
-    out = F.regexp_replace(F.lower(F.regexp_replace(text, COPYRIGHT_LINE, "")), WORD_BREAK, " ")
-    out = F.concat(F.lit(" "), F.trim(out), F.lit(" "))
-    for old, new in spellings.items():
-        out = F.replace(out, F.lit(f" {old} "), F.lit(f" {new} "))
-    return F.trim(out)
-
+_RESERVED = regex.compile(r"(?i)^[^\p{L}\n]*all rights reserved[^\p{L}\n]*$")
+_PARAGRAPHS = re.compile(r"\n[ \t\r]*\n")
+#: Characters beyond ASCII that are neither letters nor digits.
+_ODD = re.compile(r"[^\x00-\x7f\w]")
+_WORDS = bytes.maketrans(
+    bytes(c for c in range(128) if c != 10 and not chr(c).isalnum()), b" " * sum(c != 10 and not chr(c).isalnum() for c in range(128))
+)
+#: Places of the filter for shapes (number of words and first word) that known units have.
+SHAPES = 1 << 20
+_UNIT = "unit string, place int, n int, shape int, digest string"
+
+
+def _spelled(norm: bytes) -> bytes:
+    """Words of a unit with one spelling each; the table is applied in its order."""
+    out = b" %s " % norm
+    for old, new in _SPELLINGS:
+        out = out.replace(old, new)
+    return out.strip(b" ")
+
+
+_SPELLINGS = [(f" {old} ".encode(), f" {new} ".encode()) for old, new in SPELLINGS.items()]
+_VARIANTS = frozenset(old.encode() for old in SPELLINGS)
+
+
+def shape(words: int, first: bytes) -> int:
+    return zlib.crc32(b"%d %s" % (words, first)) % SHAPES
+
+
+class Cut:
+    """A text normalised once, line by line, and its units."""
+
+    def __init__(self, text: str):
+        self.lower = low = text.lower()
+        # Not by ``splitlines``: only a line feed ends a line.
+        clean = low if low.isascii() else _ODD.sub(" ", low)
+        self.words = [line.split() for line in clean.encode("utf-8", "replace").translate(_WORDS).split(b"\n")]
+        self.worded = [bool(w) for w in self.words]
+        self.holder: set[int] = set()
+        if "copyright" in low or "(c)" in low or "©" in low:
+            lines = text.split("\n")
+            if len(lines) == len(self.words):
+                self._drop_holders(lines)
+
+    def _drop_holders(self, lines: list[str]) -> None:
+        for i, line in enumerate(lines):
+            low = line.lower()
+            if "copyright" not in low and "(c)" not in low and "©" not in low:
+                continue
+            if _HOLDER.match(line):
+                self.holder.add(i)
+                if i + 1 < len(lines) and _RESERVED.match(lines[i + 1]):
+                    self.holder.add(i + 1)
+            if COPYRIGHT_LINE.match(line):
+                self.words[i] = []
+
+    def units(self, wanted: np.ndarray | None) -> Iterator[tuple[str, int, int, int, str]]:
+        """``unit, place, n, shape, digest`` of the units whose shape is ``wanted`` (all, if None)."""
+        words = self.words
+        varied = [not _VARIANTS.isdisjoint(w) for w in words]
+        sizes = [len(w) for w in words]
+
+        def one(unit: str, place: int, n: int, lo: int, hi: int) -> Iterator[tuple[str, int, int, int, str]]:
+            count, i = sum(sizes[lo:hi]), lo
+            if not count:
+                return
+            while not sizes[i]:
+                i += 1
+            if any(varied[lo:hi]):
+                found = _spelled(b" ".join(x for w in words[lo:hi] for x in w)).split(b" ")
+                key = shape(len(found), found[0])
+            else:
+                found, key = None, shape(count, words[i][0])
+            if wanted is None or wanted[key]:
+                found = found or [x for w in words[lo:hi] for x in w]
+                yield unit, place, n, key, hashlib.sha256(b" ".join(found)).hexdigest()
+
+        yield from one("text", 0, 0, 0, len(words))
+        line, start, place = 0, 0, 0
+        low = self.lower
+        for m in chain(_PARAGRAPHS.finditer(low), [None]):
+            inner = low.count("\n", start, m.start() if m else len(low))
+            if inner:
+                yield from one("paragraph", place, 0, line, line + inner + 1)
+                place += 1
+            if m:
+                line, start = line + inner + 2, m.end()
+        if wanted is None:
+            for i in range(len(words)):
+                yield from one("line", i, 0, i, i + 1)
+        else:
+            for i, w in enumerate(words):
+                if w and (varied[i] or wanted[shape(len(w), w[0])]):
+                    yield from one("line", i, 0, i, i + 1)
+        spans, begin = [], None
+        for i, some in enumerate(self.worded):
+            if some and i not in self.holder:
+                begin = i if begin is None else begin
+            elif begin is not None:
+                spans.append((begin, i))
+                begin = None
+        if begin is not None:
+            spans.append((begin, len(words)))
+        for k, (lo, hi) in enumerate(spans):
+            yield from one("block", k, len(spans), lo, hi)
+
+
+def _cut(rows: DataFrame, text: str, wanted: bytes | None) -> DataFrame:
+    """All columns but the text, with one row per unit (columns ``_UNIT``) whose shape is wanted."""
+    kept = [f for f in rows.schema.fields if f.name != text]
+    schema = T.StructType([*kept, *T._parse_datatype_string(_UNIT).fields])
+    kinds = (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = None if wanted is None else np.unpackbits(np.frombuffer(wanted, np.uint8)).astype(bool)
+        for batch in pieces(batches, text):
+            at, found, k = [], [], 0
+            for texts in some_texts(batch.column(batch.schema.get_field_index(text))):
+                for t in texts:
+                    units = list(Cut(t or "").units(known))
+                    at += [k] * len(units)
+                    found += units
+                    k += 1
+            if found:
+                place = pa.array(at, pa.int64())
+                columns = [batch.column(f.name).take(place) for f in kept]
+                columns += [pa.array(c, kind) for c, kind in zip(zip(*found), kinds)]
+                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema])
+
+    return rows.mapInArrow(run, schema)
 
-def _digest(text: Column) -> Column:
-    return F.sha2(normalised(text), 256)
 
+def registry(spark: SparkSession, known: Mapping[str, Sequence[str]] = KNOWN) -> DataFrame:
+    """``digest, license, sequences, shapes`` of known texts; the smallest name where two share a digest.
 
-def blocks(text: Column) -> Column:
-    """Digests of the worded blocks of a text, in order; copyright lines with or without a year separate blocks."""
-    parts = F.transform(F.split(F.regexp_replace(text, _HOLDER, "\n"), _GAP), lambda v: normalised(v))
-    return F.transform(F.filter(parts, lambda v: v != ""), lambda v: F.sha2(v, 256))
+    ``sequences``: the block digests of each such text in order; ``shapes``: those of the text and its blocks.
+    """
+    rows = [(i, name, text) for i, (name, text) in enumerate((n, t) for n, texts in known.items() for t in texts)]
+    units = _cut(spark.createDataFrame(rows, "id long, license string, text string"), "text", None)
+    block = F.col("unit") == "block"
+    texts = units.where(block | (F.col("unit") == "text")).groupBy("id", "license").agg(
+        F.max(F.when(F.col("unit") == "text", F.col("digest"))).alias("digest"),
+        F.array_sort(F.collect_list(F.when(block, F.struct("place", "digest")))).alias("blocks"), F.collect_set("shape").alias("shapes"),
+    )
+    return texts.where("digest IS NOT NULL").groupBy("digest").agg(
+        F.min("license").alias("license"), F.collect_set(F.transform("blocks", lambda b: b["digest"])).alias("sequences"),
+        F.array_distinct(F.flatten(F.collect_list("shapes"))).alias("shapes"),
+    )
 
 
-def registry(spark: SparkSession, known: Mapping[str, Sequence[str]] = KNOWN) -> DataFrame:
-    """``digest, license, sequences`` of known texts; the smallest name where two share a digest."""
-    rows = [(name, text) for name, texts in known.items() for text in texts]
-    frame = spark.createDataFrame(rows, "license string, text string")
-    return frame.groupBy(_digest(F.col("text")).alias("digest")).agg(
-        F.min("license").alias("license"), F.collect_set(blocks(F.col("text"))).alias("sequences")
-    )
+def _wanted(known: DataFrame) -> bytes:
+    """One bit per shape: a bound that doesn't grow with the registry."""
+    bits = np.zeros(SHAPES, bool)
+    bits[[r[0] for r in known.select(F.explode("shapes")).distinct().collect()]] = True
+    return np.packbits(bits).tobytes()
 
 
 def _keys(known: DataFrame) -> DataFrame:
     """``key, license, sequence, size, at``: digests of whole texts (size 0) and of blocks at their place in a sequence."""
-    worded = known.where(F.col("digest") != F.sha2(F.lit(""), 256))
-    whole = worded.select(F.col("digest").alias("key"), "license", F.lit(0).alias("sequence"), F.lit(0).alias("size"), F.lit(0).alias("at"))
+    whole = known.select(F.col("digest").alias("key"), "license", F.lit(0).alias("sequence"), F.lit(0).alias("size"), F.lit(0).alias("at"))
     whole = whole.withColumn("sequence", F.xxhash64("key"))
-    parts = worded.select("license", F.explode("sequences").alias("s")).where(F.size("s") > 0).groupBy("s").agg(F.min("license").alias("license"))
+    parts = known.select("license", F.explode("sequences").alias("s")).where(F.size("s") > 0).groupBy("s").agg(F.min("license").alias("license"))
     parts = parts.select("license", F.xxhash64("s").alias("sequence"), F.size("s").alias("size"), F.posexplode("s").alias("at", "key"))
     return whole.unionByName(parts.select(*whole.columns))
 
@@ -215,20 +344,14 @@ def _passages(hits: DataFrame) -> DataFrame:
 def scan(docs: DataFrame, known: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Matches ``doc_id, unit, place, license``; unit is text, paragraph, line or passage.
 
-    Places count from 0: paragraphs, lines, or the blocks of a passage. Only digests are
-    compared, with keys that are sent to the executors if their measured size allows; texts
-    don't move, matches are stored. A unit without words matches nothing; null and empty texts
+    Places count from 0: paragraphs, lines, or the blocks of a passage. A text is normalised once, line
+    by line; its units are put together from lines and get a digest if a known unit has as many
+    words and the same first one. Digests are joined with keys that are sent to the executors if
+    their measured size allows; texts don't move, matches are stored. A unit without words matches nothing; null and empty texts
     have no units; repeated documents give repeated matches.
     """
-    listed = lambda kind, values: F.transform(values, lambda v, i: F.struct(F.lit(kind).alias("unit"), i.alias("place"), F.size(values).alias("n"), v.alias("key")))
-    pieces = lambda kind, values: F.transform(values, lambda v, i: F.struct(F.lit(kind).alias("unit"), i.alias("place"), F.lit(0).alias("n"), _digest(v).alias("key")))
-    body = F.coalesce(F.col(text), F.lit(""))
-    units = F.concat(
-        pieces("text", F.array(body)), pieces("paragraph", F.filter(F.split(body, r"\n[ \t\r]*\n"), lambda v: F.contains(v, F.lit("\n")))),
-        pieces("line", F.split(body, r"\n")), listed("block", F.col("blocks")),
-    )
-    rows = docs.select(F.col(doc_id).alias("doc_id"), body.alias(text)).withColumns({"row": F.monotonically_increasing_id(), "blocks": blocks(body)})
-    rows = rows.select("row", "doc_id", F.explode(units).alias("u")).select("row", "doc_id", "u.*")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = _cut(rows.withColumn("row", F.monotonically_increasing_id()), "text", _wanted(known)).withColumnRenamed("digest", "key").drop("shape")
     keys = sized(_keys(known))
     hits = stored(rows.join(keys, "key").where((F.col("unit") == "block") == (F.col("size") > 0)).drop("key"), "licenses")
     found = hits.where("unit <> 'block'").select("doc_id", "unit", "place", "license")
