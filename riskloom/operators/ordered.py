@@ -4,8 +4,7 @@ A plain window over a huge group (or over no group at all) sorts that group in o
 task. The operators below keep the exact result and split the work:
 
 * ``global_rank`` / ``running_totals``: one range sort, then per-partition offsets.
-* ``order_statistics``: a mergeable sketch finds a narrow value band around each wanted
-  rank, and only rows in the band are sorted; the rest is counted.
+* ``order_statistics``: radix selection, four rounds of counts over 16 bits of the values.
 * ``previous_row``: windows over (key, slice), joined by one carried row per slice.
 * ``trailing_slices``: overlapping time slices, so a RANGE window never spans a whole key.
 """
@@ -13,8 +12,9 @@ task. The operators below keep the exact result and split the work:
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from riskloom.session import ensure_checkpoint_dir
 
@@ -123,111 +123,116 @@ def running_totals(
     )
 
 
+def order_key(value: str | Column, kind: T.DataType) -> Column:
+    """A 64-bit integer per value that sorts like the values; equal values have equal keys.
+
+    A double becomes its sign, exponent and fraction bits as one number, by exact divisions by
+    powers of two; minus zero equals zero and NaN is above all numbers.
+    """
+    x = F.col(value) if isinstance(value, str) else value
+    if isinstance(kind, (T.IntegralType, T.BooleanType)):
+        return x.cast("long")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(x).cast("long")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(x)
+    if isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        return (x.cast("decimal(38,18)") * F.lit(10**kind.scale).cast("decimal(20,0)")).cast("long")
+    if not isinstance(kind, T.FractionalType) or isinstance(kind, T.DecimalType):
+        raise TypeError(f"no order key for {kind.simpleString()}")
+    x = x.cast("double")
+    size = F.abs(x)
+    guess = F.floor(F.log2(size))
+    # The logarithm may be off by one next to a power of two.
+    exponent = guess + (size >= F.pow(F.lit(2.0), guess + 1)).cast("long") - (size < F.pow(F.lit(2.0), guess)).cast("long")
+    fraction = ((size / F.pow(F.lit(2.0), exponent) - 1.0) * float(1 << 52)).cast("long")
+    bits = (
+        F.when(size == float("inf"), F.lit(2047 << 52))
+        .when(size < 2.0**-1022, (size / 2.0**-1074).cast("long"))
+        .otherwise((exponent + 1023) * F.lit(1 << 52) + fraction)
+    )
+    return F.when(F.isnan(x), F.lit((1 << 63) - 1)).when(x < 0, -bits).otherwise(bits)
+
+
 def order_statistics(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
-    picks: Mapping[str, tuple[float, Callable[[Column], Column]]],
+    picks: Mapping[str, Callable[[Column], Column]],
     measures: Mapping[str, Column] | None = None,
     count_name: str = "n",
-    small_group: int = 1_000_000,
-    accuracy: int = 100_000,
     sizes: DataFrame | None = None,
-    margin: float = 3.0,
 ) -> DataFrame:
-    """Exact values at given ranks per group, plus further aggregate ``measures``.
-
-    ``picks`` maps a result name to (rough position in (0, 1), exact 1-based rank as a
-    function of the number of values). ``sizes`` may hand in the group sizes (keys, ``_n``
-    and the measures) when they are already known. Rows outside the bands are only counted, so no
-    task sees more than ``small_group`` rows or about 6/accuracy of a larger group. Bands reach
-    ``margin`` / accuracy to both sides; a group whose wanted rank lies outside its band is
-    done again with bands ten times as wide, so a result is exact or NULL for want of values.
+    """Exact values at given ranks per group by radix selection, plus further aggregate ``measures``.
+
+    ``picks`` maps a result name to the exact 1-based rank as a function of the number of values;
+    a rank outside 1 to that number gives NULL. ``sizes`` may hand in the group sizes (keys,
+    ``_n`` and the measures) when they are already known. Values are read as 64-bit keys, 16 bits a
+    round: a round counts the values by their next 16 bits, all groups and ranks in one aggregate that
+    adds up inside the tasks first, and keeps the cells that hold a wanted rank. So no group is
+    sorted, however large it is; a cell with one value ends early, and four rounds end all. Each round
+    reads ``df`` once.
     """
     measures = dict(measures or {})
     keyed = df if keys else df.withColumn("_all", F.lit(0))
     grouped, keys = bool(keys), list(keys) or ["_all"]
-    side = sized(
+    side = (
         sizes if sizes is not None
         else keyed.groupBy(*keys).agg(F.count(value).alias("_n"), *[c.alias(n) for n, c in measures.items()])
     )
     rows = keyed.select(*keys, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-    largest = side.agg(F.max("_n")).first()[0] or 0
-    if largest > small_group:
-        centres = sorted({p for p, _ in picks.values()})
-        rows = _banded(rows, keys, side.where(F.col("_n") > small_group).select(*keys), centres, margin / accuracy, accuracy)
-    else:
-        rows = rows.withColumn("_zone", F.lit(0))
-    counted = rows.groupBy(*keys, "_zone", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    ordered = Window.partitionBy(*keys).orderBy("_zone", F.col("_v").asc_nulls_first())
-    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    placed = counted.withColumns({"_to": F.sum("_c").over(upto), "_n": F.sum("_c").over(whole)})
-
-    def at(rank: Column) -> Column:
-        hit = (F.col("_to") - F.col("_c") < rank) & (rank <= F.col("_to"))
-        return F.max(F.when(hit, F.col("_v")))
-
-    found = placed.groupBy(*keys).agg(
-        *[at(rank(F.col("_n"))).alias(name) for name, (_, rank) in picks.items()], F.max("_n").alias("_size")
-    )
-    if largest > small_group:
-        found = kept(found)
-        lost = F.lit(False)
-        for name, (_, rank) in picks.items():
-            lost = lost | (F.col(name).isNull() & rank(F.col("_size")).between(F.lit(1), F.col("_size")))
-        lost = F.coalesce(lost, F.lit(False))
-        again = found.where(lost).select(*keys)
-        if not again.isEmpty():
-            redone = order_statistics(
-                join_on(keyed, again, keys), keys, value, picks, small_group=small_group, accuracy=accuracy,
-                margin=max(1.0, margin * 10),
-            )
-            found = found.where(~lost).select(*keys, *picks).unionByName(redone.select(*keys, *picks))
-    out = join_on(
-        side.select(*keys, *measures, F.col("_n").alias(count_name)), found.select(*keys, *picks), keys, "left"
-    )
+    rows = rows.withColumn("_key", order_key("_v", df.schema[value].dataType))
+    done, wanted = [], None
+    for shift in (48, 32, 16, 0):
+        cells = rows.withColumn("_cell", F.shiftright("_key", shift))
+        inside = list(keys)
+        if wanted is not None:
+            inside.append("_prefix")
+            cells = join_on(cells.withColumn("_prefix", F.shiftright("_cell", 16)), wanted.select(*inside), inside)
+        counted = cells.groupBy(*inside, "_cell").agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        # At most 65,536 counters in a window.
+        ordered = Window.partitionBy(*inside).orderBy("_cell")
+        counted = counted.withColumn("_to", F.sum("_c").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        if wanted is None:
+            n = F.sum("_c").over(Window.partitionBy(*inside))
+            ranks = [F.struct(F.lit(name).alias("pick"), rank(n).cast("long").alias("rank")) for name, rank in picks.items()]
+            counted = counted.withColumn("_ranks", F.array(*ranks))
+        else:
+            counted = join_on(counted, wanted, inside)
+        before = F.col("_to") - F.col("_c")
+        hit = F.filter("_ranks", lambda r: (r["rank"] > before) & (r["rank"] <= F.col("_to")))
+        onward = F.transform(hit, lambda r: F.struct(r["pick"].alias("pick"), (r["rank"] - before).alias("rank")))
+        found = kept(counted.select(*keys, F.col("_cell").alias("_prefix"), "_lo", "_hi", onward.alias("_ranks")).where(F.size("_ranks") > 0))
+        single = F.col("_lo").eqNullSafe(F.col("_hi")) | F.lit(shift == 0)
+        done.append(found.where(single).select(*keys, F.col("_lo").alias("_v"), F.explode("_ranks.pick").alias("_pick")))
+        wanted = found.where(~single).select(*keys, "_prefix", "_ranks")
+        # One row per group and wanted cell.
+        width = F.octet_length(F.to_json(F.struct("*")))
+        count, size = wanted.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+        if not count:
+            break
+        if count <= BROADCAST_ROWS and size <= BROADCAST_BYTES:
+            wanted = F.broadcast(wanted)
+    values = reduce(DataFrame.unionByName, done)
+    values = values.groupBy(*keys).agg(*[F.max(F.when(F.col("_pick") == name, F.col("_v"))).alias(name) for name in picks])
+    out = join_on(side.select(*keys, *measures, F.col("_n").alias(count_name)), values, keys, "left")
     return out if grouped else out.drop("_all")
 
 
-def _banded(rows: DataFrame, keys: Sequence[str], large: DataFrame, centres: Sequence[float], margin: float, accuracy: int) -> DataFrame:
-    """Rows of large groups outside the bands around the wanted ranks lose their value.
-
-    They keep a zone number that orders them against the bands, so counting them gives
-    exact ranks inside the bands. Rows of small groups pass unchanged.
-    """
-    probs = [q for p in centres for q in (max(0.0, p - margin), min(1.0, p + margin))]
-    in_large = join_on(rows, large, keys)
-    bands = sized(in_large.groupBy(*keys).agg(F.percentile_approx("_v", probs, accuracy).alias("_q")))
-    near = join_on(rows, bands, keys, "left")
-    is_small, zone = F.col("_q").isNull(), F.lit(0)
-    in_band = is_small
-    for i in range(len(centres)):
-        low, high = F.element_at("_q", 2 * i + 1), F.element_at("_q", 2 * i + 2)
-        in_band = in_band | F.col("_v").between(low, high)
-        zone = zone + (F.col("_v") > high).cast("int")
-    return near.select(
-        *keys, F.when(is_small, F.lit(0)).otherwise(zone).alias("_zone"), F.when(in_band, F.col("_v")).alias("_v")
-    )
-
-
-def median_picks() -> dict[str, tuple[float, Callable[[Column], Column]]]:
-    return {
-        "_m1": (0.5, lambda n: F.floor((n + 1) / 2)),
-        "_m2": (0.5, lambda n: F.ceil((n + 1) / 2)),
-    }
+def median_picks() -> dict[str, Callable[[Column], Column]]:
+    return {"_m1": lambda n: F.floor((n + 1) / 2), "_m2": lambda n: F.ceil((n + 1) / 2)}
 
 
 def median_value() -> Column:
     return (F.col("_m1") + F.col("_m2")) / 2
 
 
-def linear_picks(probs: Sequence[float]) -> dict[str, tuple[float, Callable[[Column], Column]]]:
+def linear_picks(probs: Sequence[float]) -> dict[str, Callable[[Column], Column]]:
     """Neighbouring ranks for linear interpolation at each probability."""
     out = {}
     for i, p in enumerate(probs):
-        out[f"_lo{i}"] = (p, lambda n, p=p: F.floor((n - 1) * F.lit(float(p))) + 1)
-        out[f"_hi{i}"] = (p, lambda n, p=p: F.ceil((n - 1) * F.lit(float(p))) + 1)
+        out[f"_lo{i}"] = lambda n, p=p: F.floor((n - 1) * F.lit(float(p))) + 1
+        out[f"_hi{i}"] = lambda n, p=p: F.ceil((n - 1) * F.lit(float(p))) + 1
     return out
 
 
@@ -237,13 +242,13 @@ def linear_value(i: int, p: float, n: str = "n") -> Column:
     return F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * part
 
 
-def upper_decile_picks() -> dict[str, tuple[float, Callable[[Column], Column]]]:
+def upper_decile_picks() -> dict[str, Callable[[Column], Column]]:
     """Ranks around 9(n+1)/10, kept inside 1..n."""
 
     def low(n: Column) -> Column:
         return F.greatest(F.lit(1), F.least(n - 1, F.floor((n + 1) * 9 / 10)))
 
-    return {"_d1": (0.9, low), "_d2": (0.9, lambda n: F.least(n, low(n) + 1))}
+    return {"_d1": low, "_d2": lambda n: F.least(n, low(n) + 1)}
 
 
 def upper_decile_value(n: str = "n") -> Column:

@@ -39,7 +39,7 @@ def stratified_split(
 
     cuts = R.order_statistics(
         hashed, ["_stratum"], "_h",
-        {"_test": (0.2, test_rank), "_validation": (0.4, validation_rank)},
+        {"_test": test_rank, "_validation": validation_rank},
     )
     # One row per class.
     marked = R.join_on(hashed, R.sized(cuts.select("_stratum", "_test", "_validation")), ["_stratum"])
