@@ -1,28 +1,31 @@
 """Spelling variants by a trie frontier: words one edit apart meet on the edges of a distributed trie.
 
-The trie is a table: one row per node (a prefix, known by its hash and depth) with its edges
-(character, child, words below, the only word's hash where there is one). Edges with an empty
-character mark the end of a word. A frontier of (word, position, node, edits) states is joined with
-the nodes level by level; a state without edits may follow its own character, replace it,
-insert the edge's character or skip its own one; a state with one edit must follow its own characters.
+The trie is a table of edges: (node, character, child, words below, the only word's hash where there
+is one, the characters that may follow at the next places). A node is a prefix, known by its hash and
+depth; an edge with an empty character marks the end of a word. A frontier of (word, position, node,
+edits) states is joined with the edges level by level; a state without edits may follow its own
+character, replace it by a larger one or insert the edge's character; a state with one edit must
+follow its own characters. So every pair is met from one side, the shorter word or the smaller
+character, and then turned round.
 
 The edit lies in the second half of a word or in the second half of the reversed word, so there is
 a second trie of reversed words, and a state starts at the middle of its word, where nodes are many and have
-few edges. Only nodes that two words share are kept, and an edge with one word below it ends at
-once: the state's rewritten word either is that word or nothing.
+few edges. An edge with one word below it ends at once: the state's rewritten word either is that word
+or nothing. Other states only move on if their next characters may follow the edge.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.llm.common import stored
 from riskloom.session import scratch_path
 
-#: Levels from this depth on are taken in one round.
-DEEP = 48
+#: Levels from this depth on are taken in one round; places behind an edge whose characters it knows.
+DEEP, AHEAD = 48, 3
 UPPER, LOWER = (bytes(range(a, a + 26)).decode() for a in (65, 97))
 
 
@@ -33,7 +36,7 @@ def runs(text: Column, least: int = 7) -> Column:
 
 def lowered(text: Column) -> Column:
     """A to Z in lower case; every other letter as it is."""
-    return F.translate(text, UPPER, LOWER)
+    return F.when(text.rlike("[A-Z]"), F.translate(text, UPPER, LOWER)).otherwise(text)
 
 
 def counted(words: DataFrame, word: str = "word", least_chars: int = 7, least_uses: int = 2) -> DataFrame:
@@ -55,7 +58,7 @@ def _node(depth: Column) -> Column:
 
 
 def _trie(rows: DataFrame) -> DataFrame:
-    """``depth, node, edges`` of the nodes that at least two words share.
+    """Edges ``depth, node, letter, child, below, only, f0, f1, ...`` (masks of the characters that follow).
 
     A word of ``m`` characters can only be met by states of words up to one shorter, so it needs
     no edges above the middle of such a word.
@@ -64,12 +67,16 @@ def _trie(rows: DataFrame) -> DataFrame:
     steps = rows.select("side", "s", "size", F.xxhash64("s").alias("hash"), F.explode(F.sequence(first, F.col("size"))).alias("depth"))
     letter = F.substring(F.col("s"), F.col("depth") + 1, F.lit(1))
     child = F.when(F.col("depth") < F.col("size"), _node(F.col("depth") + 1))
-    steps = steps.select("depth", _node(F.col("depth")).alias("node"), letter.alias("letter"), child.alias("child"), "hash")
-    edges = steps.groupBy("depth", "node", "letter", "child").agg(F.count(F.lit(1)).alias("below"), F.min("hash").alias("only"))
-    nodes = edges.groupBy("depth", "node").agg(
-        F.sum("below").alias("words"), F.collect_list(F.struct("letter", "child", "below", "only")).alias("edges")
+    follow = {f"f{k}": _mask(F.substring(F.col("s"), F.col("depth") + 2 + k, F.lit(1))) for k in range(AHEAD)}
+    steps = steps.select("depth", _node(F.col("depth")).alias("node"), letter.alias("letter"), child.alias("child"), "hash", *[c.alias(n) for n, c in follow.items()])
+    return steps.groupBy("depth", "node", "letter", "child").agg(
+        F.count(F.lit(1)).alias("below"), F.min("hash").alias("only"), *[F.bit_or(n).alias(n) for n in follow]
     )
-    return nodes.where("words >= 2").select("depth", "node", "edges")
+
+
+def _mask(letter: Column) -> Column:
+    """A 64-bit mask with the letter's bit; the empty letter behind a word has one as well."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.xxhash64(letter).bitwiseAND(F.lit(63)).cast("int"))
 
 
 def _by_depth(df: DataFrame, name: str, depth: str) -> DataFrame:
@@ -80,76 +87,83 @@ def _by_depth(df: DataFrame, name: str, depth: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema.add("level", "integer")).parquet(path)
 
 
-def _step(states: DataFrame, nodes: DataFrame) -> DataFrame:
-    """States ``side, s, size, depth, at, node, made`` moved over all edges of their nodes.
+def _step(states: DataFrame, edges: DataFrame) -> DataFrame:
+    """One level: states ``side, s, size, depth, at, node, made`` moved over all edges of their nodes.
 
     ``made`` is the word after the edit, null before it; ``met``: true where it is a word of the
     trie. Edges that lead to the state's own word only are left out.
     """
-    moves = states.join(nodes, ["depth", "node"]).select("side", "s", "size", "depth", "at", "made", F.explode("edges").alias("e"))
-    own = F.substring(F.col("s"), F.col("at") + 1, F.lit(1))
-    after = F.substring(F.col("s"), F.col("at") + 2, F.lit(1))
-    letter, size, depth = F.col("e.letter"), F.col("size"), F.col("depth")
+    # The bits of a state's characters from its place on, computed before the edges multiply it.
+    bits = {f"b{k}": _mask(F.substring(F.col("s"), F.col("at") + 1 + k, F.lit(1))) for k in range(AHEAD + 1)}
+    moves = states.withColumns({**bits, "own": F.substring(F.col("s"), F.col("at") + 1, F.lit(1))}).join(edges, ["depth", "node"])
+    letter, size, depth, own = (F.col(c) for c in ("letter", "size", "depth", "own"))
+
+    def follows(skipped: int) -> Column:
+        """The characters behind the first ``skipped`` ones may follow the edge."""
+        fits = F.lit(True)
+        for k in range(AHEAD):
+            fits = fits & (F.col(f"f{k}").bitwiseAND(F.col(f"b{skipped + k}")) != 0)
+        return fits
+
     head, tail = F.substring(F.col("s"), F.lit(1), depth), F.substring(F.col("s"), depth + 1, size)
     rest = F.substring(F.col("s"), depth + 2, size)
-    fresh, inside = F.col("made").isNull(), F.col("at") < size
-    # An edit inside a run of equal characters counts at the run's last place only.
-    other = fresh & (letter != own) & (letter != "")
-    move = lambda when, made, to: F.when(when, F.struct(made.cast("string").alias("made"), to.cast("int").alias("at")))
+    fresh, inside, single, ended = F.col("made").isNull(), F.col("at") < size, F.col("below") == 1, letter == ""
+    # A character inserted into a run of its kind counts behind the run; in the middle of the word for one side only.
+    other = fresh & (letter != own) & ~ended
+    middle = (F.col("side") == 1) & (depth == size - F.floor(size / 2))
+    moves = moves.withColumns({
+        "walk": fresh & inside & (letter == own) & ~single, "keep": ~fresh & (letter == own) & follows(1), "change": other & inside & (letter > own) & follows(1),
+        "add": other & ~middle & follows(0),
+    }).where("walk OR keep OR change OR add")
+    move = lambda when, made, to: F.when(F.col(when), F.struct(made.cast("string").alias("made"), to.cast("int").alias("to")))
     options = F.array(
-        move(fresh & inside & (letter == own), F.lit(None), F.col("at") + 1),
-        move(~fresh & (letter == own), F.col("made"), F.col("at") + 1),
-        move(other & inside, F.concat(head, letter, rest), F.col("at") + 1),
-        move(other, F.concat(head, letter, tail), F.col("at")),
-        move(fresh & inside & (own != after) & (letter == after), F.concat(head, rest), F.col("at") + 2),
+        move("walk", F.lit(None), F.col("at") + 1), move("keep", F.col("made"), F.col("at") + 1),
+        move("change", F.concat(head, letter, rest), F.col("at") + 1), move("add", F.concat(head, letter, tail), F.col("at")),
     )
-    moved = moves.withColumn("o", F.explode(F.array_compact(options)))
-    made, ended = F.col("o.made"), letter == ""
-    single = F.col("e.below") == 1
-    met = made.isNotNull() & (ended | (single & (F.col("e.only") == F.xxhash64(made))))
+    moved = moves.withColumn("o", F.explode(options)).where(F.col("o").isNotNull())
+    made = F.col("o.made")
+    met = made.isNotNull() & (ended | (single & (F.col("only") == F.xxhash64(made))))
     return moved.where(met | (~single & ~ended)).select(
-        "side", "s", "size", (depth + 1).alias("depth"), F.col("o.at").alias("at"), F.col("e.child").alias("node"), made.alias("made"), met.alias("met")
+        "side", "s", "size", (depth + 1).alias("depth"), F.col("o.to").alias("at"), F.col("child").alias("node"), made.alias("made"), met.alias("met")
     )
 
 
-def neighbours(words: DataFrame) -> DataFrame:
-    """``word, near``: both directions of every pair of different words one edit apart.
+def neighbours(counts: DataFrame) -> DataFrame:
+    """``word, near, near_n``: both directions of every pair of different words one edit apart.
 
-    ``words``: a column ``word`` of distinct words. The rounds are the longest prefix that two words share
+    ``counts``: distinct words with their ``n``. The rounds are the longest prefix that two words share
     beyond the middle of one of them, but not more than ``DEEP``: deeper down one round takes the
     unedited states of all levels at once, and the words they are rewritten to are looked up whole.
     Hashes only ever add candidates; a met word is looked up among the words as text.
     """
-    spark = words.sparkSession
-    rows = _oriented(words)
-    nodes = _by_depth(_trie(rows), "trie", "depth")
+    spark = counts.sparkSession
+    rows = _oriented(counts)
+    edges = _by_depth(_trie(rows), "trie", "depth")
     begin = rows.select("side", "s", "size", F.col("start").alias("depth"), _node(F.col("start")).alias("node"))
     begin = _by_depth(begin.where(F.col("depth") < DEEP), "starts", "depth")
-    depths = sorted(r[0] for r in nodes.where(F.col("level") < DEEP).select("level").distinct().collect())
+    depths = sorted(r[0] for r in edges.where(F.col("level") < DEEP).select("level").distinct().collect())
     begins = {r[0] for r in begin.select("level").distinct().collect()}
+    fresh = {"at": F.col("depth"), "made": F.lit(None).cast("string")}
     deep = rows.where(F.col("size") >= DEEP).withColumn("depth", F.explode(F.sequence(F.greatest("start", F.lit(DEEP)), F.col("size"))))
-    deep = deep.select("side", "s", "size", "depth", _node(F.col("depth")).alias("node"), F.col("depth").alias("at"), F.lit(None).cast("string").alias("made"))
-    branching = nodes.where((F.col("level") == DEEP) & (F.size("edges") > 1)).drop("level")
-    states, found = None, [_step(deep, branching).where("made IS NOT NULL").select("side", "s", "made")]
+    deep = deep.select("side", "s", "size", "depth", _node(F.col("depth")).alias("node")).withColumns(fresh)
+    states, found = None, [_step(deep, edges.where(F.col("level") == DEEP).drop("level")).where("made IS NOT NULL").select("side", "s", "made")]
     for depth in depths:
         if depth in begins:
-            fresh = begin.where(F.col("level") == depth).drop("level")
-            fresh = fresh.withColumns({"at": F.col("depth"), "made": F.lit(None).cast("string")})
-            states = fresh if states is None else states.unionByName(fresh)
+            new = begin.where(F.col("level") == depth).drop("level").withColumns(fresh)
+            states = new if states is None else states.unionByName(new)
         if states is None:
             continue
-        step = stored(_step(states, nodes.where(F.col("level") == depth).drop("level")), "frontier")
+        step = stored(_step(states, edges.where(F.col("level") == depth).drop("level")), "frontier")
         done = F.col("met") if depth + 1 < DEEP else F.col("made").isNotNull()
         found.append(step.where(done).select("side", "s", "made"))
         states = step.where("NOT met").drop("met")
         if states.isEmpty():
             states = None
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.unionByName(more)
     turned = lambda c: F.when(F.col("side") == 0, F.col(c)).otherwise(F.reverse(c))
-    pairs = pairs.select(turned("s").alias("word"), turned("made").alias("near")).distinct()
-    return pairs.join(words.select(F.col("word").alias("near")), "near").select("word", "near")
+    pairs = reduce(DataFrame.unionByName, found).select(turned("s").alias("word"), turned("made").alias("near"))
+    pairs = pairs.unionByName(pairs.select(F.col("near").alias("word"), F.col("word").alias("near")))
+    real = counts.select(F.col("word").alias("near"), F.col("n").alias("near_n"))
+    return pairs.join(real, "near").repartition("word").groupBy("word", "near").agg(F.max("near_n").alias("near_n"))
 
 
 def roots(forms: DataFrame, most: int) -> DataFrame:
@@ -173,8 +187,7 @@ def variants(counts: DataFrame, ratio: int = 10) -> DataFrame:
     no rows.
     """
     counts = stored(counts.where("word IS NOT NULL").select("word", "n"), "words")
-    near = neighbours(counts.select("word")).join(counts.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
-    best = near.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("b"))
+    best = neighbours(counts).groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("b"))
     joined = counts.join(best, "word", "left")
     chosen = -F.col("b.less") >= ratio * F.col("n")
     rows = stored(joined.select(

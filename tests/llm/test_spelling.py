@@ -69,7 +69,7 @@ def test_ties_and_chains(spark):
 
 def test_empty_and_null(spark):
     nothing = spark.createDataFrame([], "word string, n long")
-    assert spelling.variants(nothing).collect() == [] and spelling.neighbours(nothing.select("word")).collect() == []
+    assert spelling.variants(nothing).collect() == [] and spelling.neighbours(nothing).collect() == []
     some = spark.createDataFrame([(None, 5), ("abcdefgh", 2)], "word string, n long")
     assert [tuple(r) for r in spelling.variants(some).collect()] == [("abcdefgh", None, "abcdefgh", 2, 0, None)]
 
