@@ -6,14 +6,16 @@ task. The operators below keep the exact result and split the work:
 * ``global_rank`` / ``running_totals``: one range sort, then per-partition offsets.
 * ``order_statistics``: radix selection, four rounds of counts over 16 bits of the values.
 * ``previous_row``: windows over (key, slice), joined by one carried row per slice.
-* ``trailing_slices``: overlapping time slices, so a RANGE window never spans a whole key.
+* ``running_counts``: counts along one range sort, for windows that reach back in time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from riskloom.session import ensure_checkpoint_dir
@@ -289,24 +291,39 @@ def previous_row(
     ).drop("_slice", "_prev", "_rn", "_carried")
 
 
-def micros(ts: str | Column) -> Column:
-    return F.unix_micros((F.col(ts) if isinstance(ts, str) else ts).cast("timestamp"))
+def running_counts(stored: DataFrame, flag: str, name: str, last: tuple[str, str] | None = None) -> DataFrame:
+    """Number of rows up to and with each one where ``flag`` (0 or 1) holds, over a whole sorted table.
 
+    ``last``: (flag, new name) adds that count as it was at the latest row with the second flag (0
+    before the first). The rows must come from ``sorted_parts``. Each partition is counted through
+    in its order, a batch at a time; one row per partition carries the totals on, so nothing is
+    shuffled and no key has to fit into a task.
+    """
+    mark, mark_name = last or (flag, "_last")
+    schema = T.StructType([*stored.schema.fields, T.StructField(name, T.LongType()), T.StructField(mark_name, T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, latest = 0, -1
+        for batch in batches:
+            column = lambda c: batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)  # noqa: B023, E731
+            count = total + np.cumsum(column(flag))
+            at = np.maximum.accumulate(np.concatenate([[latest], np.where(column(mark) > 0, count, -1)]))[1:]
+            if len(count):
+                total, latest = int(count[-1]), int(at[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(count), pa.array(at)], names=[*batch.schema.names, name, mark_name])
+
+    counted = kept(stored.mapInArrow(run, schema))
+    # One row per partition: bounded by the partition count, not by the data.
+    parts = counted.groupBy("_part").agg(F.sum(flag).alias("_n"), F.max(mark_name).alias("_l"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    carried = F.coalesce(F.max(F.when(F.col("_l") >= 0, F.col("_base") + F.col("_l"))).over(before), F.lit(0))
+    parts = parts.select(F.col("_part").alias("_p"), "_base", carried.alias("_carried"))
+    out = counted.join(F.broadcast(parts), F.col("_part") == F.col("_p"))
+    inside = F.when(F.col(mark_name) >= 0, F.col("_base") + F.col(mark_name)).otherwise(F.col("_carried"))
+    out = out.withColumns({name: F.col("_base") + F.col(name), mark_name: inside}).drop("_p", "_base", "_carried")
+    return out if last else out.drop(mark_name)
 
-def trailing_slices(
-    df: DataFrame, ts: str, window_seconds: int, slice_seconds: int | None = None
-) -> DataFrame:
-    """Rows placed in time slices, each slice with the window before it.
 
-    Adds ``_us`` (micros), ``_slice`` and ``_own``; a RANGE window of up to
-    ``window_seconds`` partitioned by (key, _slice) is exact on rows with ``_own``.
-    """
-    length = max(window_seconds, slice_seconds or 24 * window_seconds) * 1_000_000
-    reach = window_seconds * 1_000_000
-    own = F.floor(F.col("_us") / F.lit(length))
-    needed_next = F.col("_us") > (own + 1) * F.lit(length) - F.lit(reach)
-    return (
-        df.withColumn("_us", micros(ts))
-        .withColumn("_slice", F.explode(F.when(needed_next, F.array(own, own + 1)).otherwise(F.array(own))))
-        .withColumn("_own", F.col("_slice") == own)
-    )
+def micros(ts: str | Column) -> Column:
+    return F.unix_micros((F.col(ts) if isinstance(ts, str) else ts).cast("timestamp"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.operators import decisions as DC, ordered as R
 
@@ -34,39 +34,61 @@ def over_limit(df: DataFrame, keys: Sequence[str], limit: int, **window) -> Data
     return window_counts(df, keys, **window).where(F.col("n") > limit)
 
 
+def _marks(rows: DataFrame, keys: Sequence[str], seconds: int, *columns: Column) -> DataFrame:
+    """Every event at its time and a mark where its window begins, sorted by key and time.
+
+    An event (``_kind`` 0) comes before the marks (1) of the same instant. The range sort splits a
+    key at any place, so a key may hold any share of the events.
+    """
+    at = lambda kind, t: F.struct(F.lit(kind).alias("_kind"), t.alias("_t"))
+    both = F.array(at(0, F.col("_us")), at(1, F.col("_us") - F.lit(seconds * 1_000_000)))
+    marks = rows.select(*keys, "_id", *columns, F.inline(both))
+    return R.sorted_parts(marks, [*[F.col(k) for k in keys], F.col("_t"), F.col("_kind"), F.col("_tie"), F.col("_id")])
+
+
+def _numbered_events(df: DataFrame, ts: str) -> DataFrame:
+    """The stored events that have a time, with micros and a number of their own."""
+    rows = df.withColumn("_us", R.micros(ts)).where(F.col("_us").isNotNull())
+    return R.kept(rows.withColumn("_id", F.monotonically_increasing_id()))
+
+
 def calls_in_window(df: DataFrame, keys: Sequence[str], seconds: int, limit: int, ts: str = "ts") -> DataFrame:
-    """Per event: calls of its key in the trailing window, and whether that exceeds the limit (0: none)."""
-    w = Window.partitionBy(*keys, "_slice").orderBy("_us").rangeBetween(-(seconds * 1_000_000 - 1), 0)
-    rows = R.trailing_slices(df, ts, seconds).withColumn("calls", F.count(F.lit(1)).over(w))
-    return rows.where("_own").withColumn("over_limit", (F.col("calls") > limit) & F.lit(limit > 0)).drop("_us", "_slice", "_own")
+    """Per event: calls of its key in the trailing window, and whether that exceeds the limit (0: none).
+
+    Positions in one range sort by key and time are counted; the calls in a window are the difference of
+    two of them. Events of the same instant count each other; events without a time are left out.
+    """
+    rows = _numbered_events(df, ts)
+    # The end of a window lies behind all events of its instant: a second mark, at the event's time.
+    marks = rows.select(*keys, "_id", F.inline(F.array(
+        *[F.struct(F.lit(kind).alias("_kind"), (F.col("_us") - F.lit(back)).alias("_t"), F.lit(sign).alias("_sign"))
+          for kind, back, sign in ((0, 0, 0), (1, seconds * 1_000_000, -1), (1, 0, 1))]
+    )))
+    marks = R.sorted_parts(marks, [*[F.col(k) for k in keys], F.col("_t"), F.col("_kind"), F.col("_id")])
+    counted = R.running_counts(marks.withColumn("_event", 1 - F.col("_kind")), "_event", "_before")
+    calls = counted.where("_kind = 1").groupBy("_id").agg(F.sum(F.col("_sign") * F.col("_before")).alias("calls"))
+    return rows.join(calls, "_id").withColumn("over_limit", (F.col("calls") > limit) & F.lit(limit > 0)).drop("_us", "_id")
 
 
 def failures_since_success(
     df: DataFrame, keys: Sequence[str], failed: Column, succeeded: Column, seconds: int, limit: int,
     ts: str = "ts", tie: str = "event_id",
 ) -> DataFrame:
-    """Per event: failures of its key in the trailing window after the last success in it."""
-    rows = R.trailing_slices(
-        df.withColumns({"_f": failed.cast("int"), "_s": succeeded}), ts, seconds
-    )
-    order = [F.col("_us"), F.col(tie)]
-    so_far = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    trailing = Window.partitionBy(*keys, "_slice").orderBy("_us").rangeBetween(-(seconds * 1_000_000 - 1), 0)
-    rows = rows.withColumn("_cum", F.sum("_f").over(so_far))
-    # Only events up to this one may reset it: the running maximum of the count at resets.
-    rows = rows.withColumns(
-        {
-            "_reset": F.coalesce(F.max(F.when(F.col("_s"), F.col("_cum"))).over(so_far), F.lit(0)),
-            "_before": F.min(F.col("_cum") - F.col("_f")).over(trailing),
-        }
-    )
-    count = F.col("_cum") - F.greatest("_reset", "_before")
-    return (
-        rows.where("_own").withColumn("failures", count).withColumn("locked", F.col("failures") >= limit)
-        .drop("_f", "_s", "_us", "_slice", "_own", "_cum", "_reset", "_before")
-    )
+    """Per event: failures of its key in the trailing window after the last success in it.
+
+    Failures are counted along one range sort by key, time and ``tie``; what lies before the window or
+    before the last success is taken off. A success of another key lies before the window's
+    beginning in that sort, so keys need no counts of their own.
+    """
+    rows = _numbered_events(df, ts)
+    flag = lambda c: F.coalesce(c, F.lit(False)).cast("int")
+    marks = _marks(rows, keys, seconds, flag(failed).alias("_f"), flag(succeeded).alias("_s"), F.col(tie).alias("_tie"))
+    event = F.col("_kind") == 0
+    marks = marks.withColumns({c: F.when(event, F.col(c)).otherwise(0) for c in ("_f", "_s")})
+    counted = R.running_counts(marks, "_f", "_cum", last=("_s", "_reset"))
+    of = lambda kind, c: F.max(F.when(F.col("_kind") == kind, F.col(c)))
+    found = counted.groupBy("_id").agg((of(0, "_cum") - F.greatest(of(0, "_reset"), of(1, "_cum"))).alias("failures"))
+    return rows.join(found, "_id").withColumn("locked", F.col("failures") >= limit).drop("_us", "_id")
 
 
 def error_ratio(df: DataFrame, is_error: Column, ts: str = "ts", length: str = "5 minutes", keys: Sequence[str] = ()) -> DataFrame:

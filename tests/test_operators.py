@@ -13,6 +13,7 @@ from pyspark.sql import functions as F, types as T
 
 from riskloom import constants as K
 from riskloom.functions import numbers as N
+from riskloom.streaming import rates as RT
 from riskloom.operators import (
     cohort as C, decisions as DC, drift as DR, explain as E, ordered as R, quality as Q, scoring_metrics as M,
     splitting as S,
@@ -373,3 +374,50 @@ def test_each_table_is_read_once_for_both_directions(spark, tmp_path):
     frame = spark.read.parquet(str(tmp_path / "t"))
     plan = E.factor_rows(E.with_contributions(frame, {"a": 0.5, "b": -2.0}, 0.0), ["id"])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation") == 1
+
+
+def events(spark, n=4000, seed=9):
+    """Half of all events belong to one key, many share an instant, some have no key or no time."""
+    rng = random.Random(seed)
+    rows = [
+        (i, "hot" if i % 2 else rng.choice(["a", "b", None, "c"]), None if i % 97 == 0 else rng.randrange(3000), rng.choice("fsx"))
+        for i in range(n)
+    ]
+    frame = spark.createDataFrame(rows, "event_id long, k string, sec long, kind string")
+    return rows, frame.withColumn("ts", F.timestamp_seconds("sec")).repartition(6)
+
+
+def test_calls_in_window_split_a_hot_key(spark):
+    rows, df = events(spark)
+    out = RT.calls_in_window(df, ["k"], 60, 3)
+    got = {r["event_id"]: (r["calls"], r["over_limit"]) for r in out.collect()}
+    times = {}
+    for _, k, t, _ in rows:
+        if t is not None:
+            times.setdefault(k, []).append(t)
+    want = {i: sum(t - 60 < u <= t for u in times[k]) for i, k, t, _ in rows if t is not None}
+    assert got == {i: (n, n > 3) for i, n in want.items()}
+    assert out.columns == [*df.columns, "calls", "over_limit"]
+    assert RT.calls_in_window(df.limit(0), ["k"], 60, 3).count() == 0
+
+
+def test_failures_since_success_split_a_hot_key(spark):
+    rows, df = events(spark)
+    out = RT.failures_since_success(df, ["k"], F.col("kind") == "f", F.col("kind") == "s", 200, 3)
+    got = {r["event_id"]: (r["failures"], r["locked"]) for r in out.collect()}
+    want = {}
+    for key in {r[1] for r in rows}:
+        mine = sorted((t, i, kind) for i, k, t, kind in rows if k == key and t is not None)
+        for x, (t, i, _) in enumerate(mine):
+            n = 0
+            for u, _, kind in mine[: x + 1]:
+                n = 0 if kind == "s" else n + (kind == "f" and u > t - 200)
+            want[i] = (n, n >= 3)
+    assert got == want
+
+
+def test_windows_are_not_dealt_by_key(spark):
+    _, df = events(spark, 200)
+    for out in (RT.calls_in_window(df, ["k"], 60, 3), RT.failures_since_success(df, ["k"], F.col("kind") == "f", F.col("kind") == "s", 60, 3)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(_id" in plan and "hashpartitioning(k" not in plan
