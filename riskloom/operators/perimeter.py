@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom import constants as K
+from riskloom.operators.lineage import sources
 
 EXCLUDED = {
     *K.ID_COLS, *K.CONSTANT_COLS, *K.DECOY_COLS, *K.TARGET_LEAK_COLS, *K.TIME_LEAK_COLS,
@@ -49,10 +50,25 @@ def assert_no_marked(features: DataFrame) -> None:
         raise LeakageError(f"features that rename forbidden columns: {hidden}")
 
 
+def derived_from(df: DataFrame, columns: Sequence[str], forbidden: set[str] | None = None) -> dict[str, list[str]]:
+    """Columns computed from forbidden ones, with those they come from."""
+    blocked, known = FORBIDDEN if forbidden is None else forbidden, sources(df)
+    hidden = {c: sorted(known[c] & blocked) for c in columns if c in known}
+    return {c: found for c, found in hidden.items() if found}
+
+
+def assert_not_derived(df: DataFrame, columns: Sequence[str], forbidden: set[str] | None = None) -> None:
+    """Refuse features that carry a forbidden column in any guise: renamed, computed, nested, joined back."""
+    assert_no_leakage(columns, forbidden)
+    hidden = derived_from(df, columns, forbidden)
+    if hidden:
+        raise LeakageError(f"features computed from forbidden columns: {hidden}")
+
+
 def gold(df: DataFrame, include_labels: bool = True, keep: Sequence[str] = ()) -> DataFrame:
     """Features, then the labels that exist, then carried columns such as ids."""
     features = feature_columns(df)
-    assert_no_leakage(features)
+    assert_not_derived(df, features)
     labels = [c for c in (K.TARGET_CLF, K.TARGET_REG) if include_labels and c in df.columns]
     return df.select(*features, *labels, *[c for c in keep if c in df.columns])
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from riskloom import constants as K
 from riskloom.functions import keys as KEY, numbers as N, payload as P, text as X
 from riskloom.operators import cleaning as CL, ordered as R, perimeter as PM, splitting as S
+from riskloom.operators.lineage import traced
 from riskloom.sources.tables import TableStore, utc_now
 
 
@@ -110,7 +111,7 @@ def load(
     if number_columns:
         body = typed(body, number_columns)
     # Silver feeds two layers: store it once instead of cleaning twice.
-    students = R.kept(silver_students(body, secret))
+    students = R.kept(traced(silver_students(body, secret)))
     dims = silver_catalogue(catalogue_in.drop("row_number"))
 
     store.append("bronze_student_raw", bronze(students_in, batch_id).withColumn("created_at", stamp))

@@ -26,6 +26,7 @@ from riskloom.operators import (
     cleaning as CL, explain as E, ordered as R, perimeter as PM, quality as Q,
     scoring_metrics as M, splitting as S,
 )
+from riskloom.operators.lineage import traced
 
 FEATURES = "features"
 
@@ -213,7 +214,7 @@ def train_gold(
     cost_fp: float = K.COST_FALSE_POSITIVE, c_grid: Sequence[float] = tuple(K.C_GRID), folds: int = K.CV_FOLDS,
 ) -> TrainingResult:
     """Fit on train, choose the cut-off on validation, report on the untouched test part."""
-    PM.assert_no_leakage(features, {label, *PM.FORBIDDEN})
+    PM.assert_not_derived(gold, features, {label, *PM.FORBIDDEN})
     split = gold if "split_set" in gold.columns else S.assign_split(gold, label, key, seed)
     split = R.kept(split)
     sizes = {r[0]: r[1] for r in split.groupBy("split_set").count().collect()}
@@ -248,7 +249,7 @@ def train(
     raw: DataFrame, catalogue: DataFrame, seed: int = 42, key: str = "student_id", **options
 ) -> TrainingResult:
     """Whole workflow from raw records."""
-    cleaned = R.kept(CL.clean(raw))
+    cleaned = R.kept(traced(CL.clean(raw)))
     since = CL.first_day(cleaned) if "date_inscription_parsed" in cleaned.columns else None
     prepared = CL.add_features(CL.enrich(cleaned, catalogue), since)
     features = PM.feature_columns(prepared)

@@ -538,3 +538,32 @@ def excluded_columns(t: Tables) -> DataFrame:
     PM.assert_no_marked(features)
     present = PM.exclusions(t.spark).where(F.col("column").isin(*df.columns))
     return present.select("column", "title", df.agg(F.count(F.lit(1))).scalar().alias("n_rows"))
+
+
+_DISGUISES = {
+    "renamed": "l_extendedprice", "computed": "l_extendedprice * 1", "nested": "struct(l_tax, l_extendedprice)",
+    "ranked": "row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice)", "clean": "l_tax * (1 - l_discount)",
+    "grouped": "count(*) OVER (PARTITION BY l_returnflag)",
+}
+
+
+@query(
+    "leakage_lineage", "C2",
+    "SELECT x.feature, x.hidden, count(*) AS n_rows, min(l_linenumber) AS least FROM lineitem CROSS JOIN (VALUES ('averaged', 'moyenne_finale'), ('clean', ''), "
+    "('computed', 'moyenne_finale'), ('grouped', ''), ('joined', 'moyenne_finale'), ('nested', 'moyenne_finale'), ('ranked', 'moyenne_finale'), "
+    "('renamed', 'moyenne_finale')) AS x(feature, hidden) GROUP BY ALL",
+)
+def leakage_lineage(t: Tables) -> DataFrame:
+    """What the guard says of a forbidden column in several disguises, per feature of the rows."""
+    rows = t.lineitem.withColumn("moyenne_finale", F.col("l_extendedprice"))
+    made = rows.withColumns({name: F.expr(code.replace("l_extendedprice", "moyenne_finale")) for name, code in _DISGUISES.items()})
+    means = rows.groupBy(F.col("l_returnflag").alias("flag")).agg(F.avg("moyenne_finale").alias("averaged"))
+    best = rows.groupBy(F.col("l_returnflag").alias("flag")).agg(F.max("moyenne_finale").alias("best"))
+    made = made.join(F.broadcast(means), F.col("l_returnflag") == F.col("flag")).drop("flag")
+    made = made.join(F.broadcast(best), F.col("l_returnflag") == F.col("flag")).drop("flag").withColumn("joined", F.col("best") > 0)
+    features = sorted([*_DISGUISES, "averaged", "joined"])
+    hidden = PM.derived_from(made, features)
+    verdicts = F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(",".join(hidden.get(c, []))).alias("hidden")) for c in features])
+    return made.select("l_linenumber", F.inline(verdicts)).groupBy("feature", "hidden").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("l_linenumber").alias("least")
+    )

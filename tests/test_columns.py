@@ -11,7 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.functions import display as D, keys as KEY, numbers as N, payload as P, sql as SQLF, text as X
-from riskloom.operators import cleaning as CL, perimeter as PM
+from riskloom.operators import cleaning as CL, ordered as R, perimeter as PM
+from riskloom.operators.lineage import traced
 
 
 def values(spark, inputs, fn, kind="string"):
@@ -156,6 +157,30 @@ def test_renamed_leak_is_found(spark, cohort):
         PM.assert_no_marked(marked.select("age", F.col("moyenne_finale").alias("harmless")))
 
 
+def test_derived_leaks_are_found(spark, cohort, catalogue):
+    base = cohort.withColumn("moyenne_finale", F.col("moyenne_finale").cast("double"))
+    peers = base.groupBy("filiere").agg(F.max("moyenne_finale").alias("best"))
+    top = base.agg(F.max("moyenne_finale").alias("top"))
+    disguised = {
+        "renamed": base.withColumn("x", F.col("moyenne_finale")), "times": base.withColumn("y", F.col("moyenne_finale") * 1).withColumn("x", F.col("y") + 0),
+        "nested": base.withColumn("x", F.struct("age", "moyenne_finale")), "joined": base.join(peers, "filiere").withColumn("x", F.col("best") > 10),
+        "union": base.withColumn("x", F.col("age").cast("double")).unionByName(base.withColumn("x", F.col("moyenne_finale"))),
+        "scalar": base.withColumn("x", F.col("age") + top.scalar()), "window": base.withColumn("x", F.expr("rank() OVER (ORDER BY moyenne_finale)")),
+        "exploded": base.select("*", F.explode(F.array("moyenne_finale")).alias("x")), "python": base.mapInArrow(lambda b: b, base.schema).withColumnRenamed("age", "x"),
+        "stored": R.kept(traced(base.withColumn("x", F.col("moyenne_finale") - 1))), "case": base.withColumn("x", F.when(F.col("moyenne_finale") > 9, 1)),
+    }
+    for name, df in disguised.items():
+        with pytest.raises(PM.LeakageError):
+            PM.assert_not_derived(df, ["x"])
+            raise AssertionError(name)
+    innocent = base.join(peers, "filiere").where(F.col("moyenne_finale") > 0).orderBy("moyenne_finale").withColumn("x", F.col("age") * 2)
+    PM.assert_not_derived(innocent, ["x", "age"])
+    prepared = CL.add_features(CL.enrich(CL.clean(cohort), catalogue))
+    PM.gold(prepared)
+    with pytest.raises(PM.LeakageError):
+        PM.gold(prepared.withColumn("score", F.col("moyenne_finale") / 20))
+
+
 def test_repeated_dimension_keys_are_refused(spark, cohort, catalogue):
     twice = catalogue.unionByName(catalogue)
     with pytest.raises(ValueError):
