@@ -217,7 +217,7 @@ def model_explanations(t: Tables) -> DataFrame:
     from riskloom.plans import training as T
 
     rows = document_features(t)
-    model, _, _ = T.fit_logistic(rows, FEATURES, "quality", "doc_id", c_grid=(0.1,), folds=1)
+    model, _, _ = T.fit_logistic(rows, FEATURES, "quality", "doc_id")
     bundle = T.ModelBundle(model, FEATURES, 0.5)
     out = T.explain(rows, bundle, ["doc_id"])
     total = F.aggregate("contributions", F.lit(0.0), lambda acc, c: acc + c["contribution"])

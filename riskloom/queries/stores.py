@@ -346,14 +346,14 @@ def score_stream(t: Tables) -> DataFrame:
     cohort = _cohort(t).withColumn("student_id", F.col("student_id"))
     features = ["nb_devoirs_rendus", "connexions_lms_30j", "ressources_consultees", "filiere", "taux_rendu_devoirs"]
     prepared = ME.prepared_training(cohort, _catalogue(t))
-    model, _, _ = T.fit_logistic(prepared, features, K.TARGET_CLF, "student_id", c_grid=(0.1,), folds=1)
+    model, _, _ = T.fit_logistic(prepared, features, K.TARGET_CLF, "student_id")
     path = scratch_path(t.spark, "bundle")
     T.ModelBundle(model, features, 0.5, _catalogue(t), metadata={"model_version": "v1"}).save(path)
     folder, state, out = (scratch_path(t.spark, n) for n in ("arrivals", "scores-state", "scores"))
     cohort.write.json(folder)
     records = J.record_stream(t.spark, folder, cohort.columns)
     J.score_stream(records, T.ModelBundle.load(t.spark, path), out, state, keep=["student_id"])
-    return t.spark.read.parquet(out).select("student_id", r6("proba_abandon").alias("proba"), "alerte")
+    return J.answers(t.spark, out).select("student_id", r6("proba_abandon").alias("proba"), "alerte")
 
 
 @query("monitoring_cycle", "D10 D9 D8 S13")
@@ -379,10 +379,91 @@ def retraining_cycle(t: Tables) -> DataFrame:
     FS.write_report(features, summary, report)
     MO.retraining_cycle(
         store, _cohort(t), _catalogue(t), report, scratch_path(t.spark, "bundle"), datetime(2020, 1, 1).date(), True,
-        now=datetime(2024, 1, 8, 7, tzinfo=timezone.utc), c_grid=(0.1,), folds=1,
+        now=datetime(2024, 1, 8, 7, tzinfo=timezone.utc),
     )
     return store.read("model_alias_event").join(store.read("model_version"), ["name", "version"]).select(
         "name", "alias", "version", F.map_keys("metrics").alias("gate_metrics")
     )
 
 
+
+
+@query(
+    "purge_audit", "J6 S11",
+    f"""WITH {SCORES_SQL}, b AS (SELECT batch_id, max(created_at) + INTERVAL 365 DAY AS e FROM scores GROUP BY 1)
+    SELECT batch_id, 1 AS events, '["' || batch_id || '"]' AS purged FROM b WHERE e <= TIMESTAMP '1999-06-30'""",
+)
+def purge_audit(t: Tables) -> DataFrame:
+    """Every purged batch is named in an audit row of its own; a repeated purge adds none."""
+    store = new_store(t)
+    rows = scores(t)
+    store.append("gold_prediction", rows)
+    expiry = (F.max("created_at").cast("timestamp") + F.make_dt_interval(F.lit(K.RETENTION_DAYS))).alias("expires_at")
+    batches = rows.groupBy("batch_id").agg(expiry).withColumns({"id": F.col("batch_id"), "source_name": F.lit("sql")})
+    for _ in range(2):
+        store.append("ingestion_batch", batches)
+        store.purge_expired(datetime(1999, 6, 30, tzinfo=timezone.utc))
+    log = store.read("privacy_audit_log").where("action = 'retention_purge'")
+    return log.groupBy(F.col("target_id").alias("batch_id")).agg(
+        F.count(F.lit(1)).cast("int").alias("events"), F.max(F.get_json_object("metadata_json", "$.purged_batches")).alias("purged")
+    )
+
+
+@query(
+    "retried_append", "S9 S10 S11",
+    f"""WITH {SCORES_SQL} SELECT 'predictions' AS kind, 'first' AS run_id, count(*) AS n, count(*) AS ids, CAST(1 AS BIGINT) AS audits FROM scores
+    UNION ALL SELECT 'predictions', 'second', count(*), count(*), 1 FROM scores WHERE alerte = 1
+    UNION ALL SELECT 'reports', 'first', 1, 1, 1""",
+)
+def retried_append(t: Tables) -> DataFrame:
+    """A run that writes part of its rows, fails and is repeated by another session leaves one copy; a second run adds its own."""
+    store = new_store(t)
+    store.write_manifest("b1", "orders", {})
+    rows = KEY.pseudonymize(scores(t).select("student_id", "proba_abandon", "alerte"), secret=SECRET)
+    scored = R.kept(rows.withColumn("payload_json", P.to_payload(rows)))
+    features, summary = MO.drift_report(*drift_sides(t), DRIFT_COLUMNS)
+    for part, root in ((scored.where("proba_abandon > 0.5"), t.spark), (scored, t.spark.newSession())):
+        again = TableStore(root, store.root)
+        again.save_predictions("b1", part, "v1", 0.6, run_id="first")
+        again.save_drift_report("b1", FS.report_document(features, summary), run_id="first")
+    store.save_predictions("b1", scored.where("alerte = 1"), "v1", 0.6, run_id="second")
+    found = store.read("gold_prediction").select(F.lit("predictions").alias("kind"), "run_id", F.col("id").cast("string").alias("id"))
+    found = found.unionByName(store.read("gold_drift_report").select(F.lit("reports").alias("kind"), "run_id", "id"))
+    log = store.read("privacy_audit_log").select(
+        F.when(F.col("action") == "prediction_persist", "predictions").otherwise("reports").alias("kind"),
+        F.get_json_object("metadata_json", "$.run").alias("run_id"),
+    ).groupBy("kind", "run_id").agg(F.count(F.lit(1)).alias("audits"))
+    return found.groupBy("kind", "run_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids")).join(log, ["kind", "run_id"])
+
+
+@query(
+    "score_rejects", "T7 S3 S15 M6",
+    "SELECT c_name AS student_id, CASE WHEN c_custkey % 7 = 0 THEN 'rejected' ELSE 'scored' END AS verdict, "
+    "CASE WHEN c_custkey % 7 <> 0 THEN round(1 / (1 + exp(1 - 0.3 * (c_custkey % 11))), 6) END AS proba, "
+    "CASE WHEN c_custkey % 7 <> 0 THEN CAST(1 / (1 + exp(1 - 0.3 * (c_custkey % 11))) >= 0.6 AS INT) END AS alerte FROM customer",
+)
+def score_rejects(t: Tables) -> DataFrame:
+    """A saved model of known coefficients answers every record, unreadable ones by a reject; the
+    stream then loses its checkpoint and starts again, which leaves one answer per record."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer, VectorAssembler
+
+    from riskloom.plans import training as T
+    from riskloom.streaming import jobs as J
+
+    logit = "1 / (1 + exp(1 - 0.3 * cast(nb_devoirs_rendus AS double)))"
+    stages = [SQLTransformer(statement=f"SELECT *, 1 - {logit} AS _p0, {logit} AS _p1 FROM __THIS__"), VectorAssembler(inputCols=["_p0", "_p1"], outputCol="probability")]
+    path, folder, out = (scratch_path(t.spark, n) for n in ("bundle", "arrivals", "scores"))
+    T.ModelBundle(PipelineModel(stages), ["nb_devoirs_rendus"], 0.6, _catalogue(t), metadata={"model_version": "v1"}).save(path)
+    cohort = _cohort(t)
+    line = F.to_json(F.struct(*cohort.columns))
+    broken = F.pmod(F.substring("student_id", -6, 6).cast("int"), F.lit(7)) == 0
+    cohort.select(F.when(broken, F.concat(F.lit("!"), line)).otherwise(line)).repartition(8).write.text(folder)
+    for _ in range(2):
+        records = J.record_stream(t.spark, folder, cohort.columns, files_per_batch=3)
+        J.score_stream(records, T.ModelBundle.load(t.spark, path), out, scratch_path(t.spark, "scores-state"), keep=["student_id"])
+    scored = J.answers(t.spark, out).select("student_id", F.lit("scored").alias("verdict"), r6("proba_abandon").alias("proba"), "alerte")
+    lost = J.answers(t.spark, out, "rejects").select(
+        F.get_json_object(F.substring(F.col("record"), F.lit(2), F.length("record")), "$.student_id").alias("student_id"), F.lit("rejected").alias("verdict"),
+    )
+    return scored.unionByName(lost, allowMissingColumns=True)

@@ -53,11 +53,11 @@ TABLES = {
     ),
     "gold_prediction": (
         "id bigint, student_id string, proba_abandon double, alerte int, model_version string, "
-        "threshold double, payload_json string, created_at timestamp, batch_id string"
+        "threshold double, payload_json string, created_at timestamp, run_id string, batch_id string"
     ),
     "gold_drift_report": (
         "id string, status string, watch_count int, alert_count int, report_json string, "
-        "created_at timestamp, batch_id string"
+        "created_at timestamp, run_id string, batch_id string"
     ),
     "privacy_audit_log": (
         "id string, action string, actor string, target_type string, target_id string, "
@@ -78,3 +78,10 @@ TABLES = {
 }
 BATCH_TABLES = [name for name, ddl in TABLES.items() if "batch_id string" in ddl]
 LAYER_TABLES = [name for name in BATCH_TABLES if name != "ingestion_batch"]
+#: Tables that several runs write for one batch: a run replaces nothing but itself.
+RUN_TABLES = [name for name in BATCH_TABLES if "run_id string" in TABLES[name]]
+
+
+def partitions(table: str) -> list[str]:
+    """Partition columns of a stored table."""
+    return ["batch_id", "run_id"] if table in RUN_TABLES else ["batch_id"] if table in BATCH_TABLES else []

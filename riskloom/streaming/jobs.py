@@ -27,17 +27,49 @@ def drain(df: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str
     return query
 
 
+def _run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The stream's identity, which lives as long as its checkpoint."""
+    text = spark.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id")).first()
+    return text[0]
+
+
 def score_stream(records: DataFrame, bundle: T.ModelBundle, out: str, checkpoint: str, keep: Sequence[str] = ()) -> StreamingQuery:
-    """Score records by the batch code path; a replayed batch overwrites its own folder."""
+    """Answer every arriving record: a score by the batch code path, or a reject with its reason.
+
+    Both sinks are written per run and micro-batch, and a commit row follows when both are there;
+    ``answers`` shows committed rows only. A repeated micro-batch overwrites its own folders. A
+    stream that has lost its checkpoint is a new run, which replaces the older ones for readers.
+    """
+    spark, body = records.sparkSession, [c for c in records.columns if c != "_corrupt"]
 
     def handle(batch: DataFrame, number: int) -> None:
-        rows = batch.where(F.col("_corrupt").isNull()).drop("_corrupt")
-        scored = T.score(rows, bundle, keep)
-        scored.write.mode("overwrite").parquet(f"{out}/stream_batch={number}")
+        run = _run_of(spark, checkpoint)
+        good, place = F.col("_corrupt").isNull(), f"run={run}/stream_batch={number}"
+        T.score(batch.where(good).drop("_corrupt"), bundle, keep).write.mode("overwrite").parquet(f"{out}/scores/{place}")
+        record = F.coalesce("_corrupt", F.to_json(F.struct(*body))).alias("record")
+        rejects = batch.where(~good).select(record, F.lit("unreadable record").alias("reason"))
+        rejects.write.mode("overwrite").parquet(f"{out}/rejects/{place}")
+        scored, rejected = (spark.read.parquet(f"{out}/{kind}/{place}").count() for kind in ("scores", "rejects"))
+        row = spark.createDataFrame([(scored, rejected)], "scored long, rejected long").withColumn("committed_at", F.current_timestamp())
+        row.write.mode("overwrite").parquet(f"{out}/commits/{place}")
 
     return drain(records, handle, checkpoint)
 
 
+def commits(spark: SparkSession, out: str) -> DataFrame:
+    """Commit rows of the newest run of a scoring stream: ``run, stream_batch, scored, rejected, committed_at``."""
+    rows = spark.read.parquet(f"{out}/commits")
+    # One row per micro-batch.
+    newest = rows.groupBy("run").agg(F.min("committed_at").alias("began")).orderBy(F.desc("began"), "run").limit(1)
+    return rows.join(F.broadcast(newest.select("run")), "run")
+
+
+def answers(spark: SparkSession, out: str, kind: str = "scores") -> DataFrame:
+    """Committed ``scores`` or ``rejects`` of the newest run, once each."""
+    done = commits(spark, out).select("run", "stream_batch")
+    return spark.read.parquet(f"{out}/{kind}").join(done, ["run", "stream_batch"], "left_semi").drop("run", "stream_batch")
+
+
 def ingest_stream(records: DataFrame, store: TableStore, source: str, checkpoint: str) -> StreamingQuery:
     """Append arriving records to Bronze, one batch id per micro-batch.
 
