@@ -8,6 +8,7 @@ and keeps its ids in a bounded table.
 
 from __future__ import annotations
 
+import base64
 import json
 import os
 import re
@@ -128,6 +129,15 @@ def token_bytes(path: str) -> list[bytes]:
     return [words.get(i, b"") for i in range(max(words, default=-1) + 1)]
 
 
+def check_ranks(path: str, ranks: str) -> None:
+    """Refuse a vocabulary whose ids aren't the ranks of a rank file (base64 token and rank a line)."""
+    known = token_bytes(path)
+    with open(ranks, "rb") as file:
+        for token, rank in map(bytes.split, file):
+            if int(rank) >= len(known) or known[int(rank)] != base64.b64decode(token):
+                raise ValueError(f"{path} and {ranks} differ at rank {int(rank)}")
+
+
 def character_offsets(data: bytes, ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and one past the last character of each token of a UTF-8 text.
 

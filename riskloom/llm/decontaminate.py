@@ -22,7 +22,9 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from riskloom.llm.common import pieces, texts_of
 
@@ -234,47 +236,72 @@ def matches(words: list[np.ndarray], items: Items, cells: int = 1 << 18) -> list
     return [(d, x, first, e) for (d, x), (e, first) in sorted(best.items())]
 
 
+def _slices(benchmark: DataFrame, item_id: str, item_text: str, items_per_pass: int, bytes_per_pass: int) -> Iterator[Broadcast]:
+    """Items in slices bounded by number and by bytes, one broadcast each."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col(item_id).alias("id"), F.col(item_text).alias("text")).where("text IS NOT NULL")
+    count, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()
+    passes = max(-(-count // items_per_pass), -(-size // bytes_per_pass))
+    for k in range(passes):
+        share = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(passes)) == k).collect()
+        yield spark.sparkContext.broadcast(([r["id"] for r in share], [r["text"] for r in share]))
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-    item_text: str = "text", walks: Walks = Walks(), items_per_pass: int = 20_000,
+    item_text: str = "text", walks: Walks = Walks(), items_per_pass: int = 20_000, bytes_per_pass: int = 16 << 20,
 ) -> DataFrame:
     """One row per document and item found in it: ``doc_id, item_id, word_start, edits, item_words, similarity``.
 
     Works on whole texts; a document's matches are made where its row is, without a shuffle. The
-    items are sent to the executors ``items_per_pass`` at a time, one pass over the documents for
-    each such slice, so no more than one slice is held in memory. Null texts count as empty;
-    items and documents without words match nothing; repeated documents and items give repeated
-    rows; no documents or no items give no rows.
+    items are sent to the executors in slices of about ``items_per_pass`` items and ``bytes_per_pass``
+    bytes at most, one pass over the documents for each, so no more than one slice is held in memory.
+    Ids keep their types. Null texts count as empty; items and documents without words match nothing;
+    repeated documents and items give repeated rows; no documents or no items give no rows.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text")).where("text IS NOT NULL")
-    passes = -(-items.count() // items_per_pass)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    schema = "doc_id long, item_id long, word_start int, edits int, item_words int, similarity double"
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    kinds = [rows.schema["doc_id"].dataType, benchmark.schema[item_id].dataType, T.IntegerType(), T.IntegerType(), T.IntegerType(), T.DoubleType()]
+    names = ["doc_id", "item_id", "word_start", "edits", "item_words", "similarity"]
+    schema = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)])
     out = None
-    for k in range(passes):
-        share = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(passes)) == k).collect()
-        sent = spark.sparkContext.broadcast(([r["id"] for r in share], [r["text"] for r in share]))
+    for sent in _slices(benchmark, item_id, item_text, items_per_pass, bytes_per_pass):
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            ready = Items(*sent.value, walks)
+            ready, shape = Items(*sent.value, walks), None
             for batch in pieces(batches, "text", 4 << 20):
-                ids = batch.column(0).to_pylist()
+                shape = shape or to_arrow_schema(schema)
                 found = matches([words_of(t) for t in texts_of(batch, "text")], ready)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([ids[d] for d, *_ in found], pa.int64()), pa.array([ready.ids[x] for _, x, *_ in found], pa.int64()),
-                     pa.array([f[2] for f in found], pa.int32()), pa.array([f[3] for f in found], pa.int32()),
-                     pa.array([int(ready.n[f[1]]) for f in found], pa.int32()),
-                     pa.array([1.0 - f[3] / int(ready.n[f[1]]) for f in found], pa.float64())],
-                    names=["doc_id", "item_id", "word_start", "edits", "item_words", "similarity"],
-                )
+                ids = batch.column(0).take(pa.array([d for d, *_ in found], pa.int64()))
+                lengths = [int(ready.n[x]) for _, x, *_ in found]
+                columns = [
+                    [ready.ids[x] for _, x, *_ in found], [f[2] for f in found], [f[3] for f in found], lengths,
+                    [1.0 - f[3] / n for f, n in zip(found, lengths)],
+                ]
+                arrays = [ids.cast(shape[0].type), *[pa.array(c, field.type) for c, field in zip(columns, list(shape)[1:])]]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
         one = rows.mapInArrow(run, schema)
         out = one if out is None else out.unionByName(one)
-    return spark.createDataFrame([], schema) if out is None else out
+    return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents in which no item is found, with all their columns."""
-    found = contaminated(docs, benchmark, doc_id=doc_id, text=text, **options).select(F.col("doc_id").alias(doc_id)).distinct()
-    return docs.join(found, doc_id, "left_anti")
+def clean(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", *, item_id: str = "item_id", item_text: str = "text",
+    walks: Walks = Walks(), items_per_pass: int = 20_000, bytes_per_pass: int = 16 << 20,
+) -> DataFrame:
+    """The rows in whose text no item is found, with all their columns.
+
+    Each row is judged by its own text in the pass that reads it, so ids play no part: null and
+    repeated ids are like any other. One pass over the rows that are left for each slice of items.
+    """
+    for sent in _slices(benchmark, item_id, item_text, items_per_pass, bytes_per_pass):
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            ready = Items(*sent.value, walks)
+            for batch in pieces(batches, text, 4 << 20):
+                dirty = np.zeros(batch.num_rows, bool)
+                dirty[[d for d, *_ in matches([words_of(t) for t in texts_of(batch, text)], ready)]] = True
+                yield batch.filter(pa.array(~dirty)) if dirty.any() else batch
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

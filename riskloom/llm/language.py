@@ -24,7 +24,8 @@ class LanguageModel:
     """Dictionary content by language and the settings of the compressor.
 
     ``margin``: a text is rejected when the best size is not smaller than the second best by
-    this share. Texts are compressed whole, in blocks of ``block`` bytes, so a dictionary counts
+    this share. Sizes are whole bytes, so the margin of a short text says nothing: texts of fewer than
+    ``judged_bytes`` prepared bytes are never rejected for it. Texts are compressed whole, in blocks of ``block`` bytes, so a dictionary counts
     as much at the end of a long text as at its start.
     """
 
@@ -32,6 +33,7 @@ class LanguageModel:
     level: int = 6
     block: int = 4096
     margin: float = 0.005
+    judged_bytes: int = 200
     sharpness: float = 12.0
 
 
@@ -56,8 +58,12 @@ def fit(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("hash")
     )
     different = usable.groupBy("lang", "hash").agg(F.count(F.lit(1)).alias("copies"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
-    chosen = different.withColumn("place", place).where(F.col("place") <= texts_per_language).select("lang", "hash")
+    # Smallest hashes of each bucket first, then of each language: no task sees more than its share of the
+    # buckets, however many tasks or texts there are.
+    for keys in (["lang", F.pmod("hash", F.lit(64))], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("hash"))
+        different = different.withColumn("place", place).where(F.col("place") <= texts_per_language).select("lang", "hash")
+    chosen = different
     chosen = chosen.limit(texts_per_language * max_languages + 1).collect()
     if len(chosen) > texts_per_language * max_languages:
         raise ValueError(f"more than {max_languages} languages")
@@ -95,14 +101,17 @@ def classified(text: str | None, names: list[str], compressors: list, model: Lan
     if len(sizes) == 1:
         return names[0], 1.0, False
     share = (sizes[0][0] / sizes[1][0]) ** model.sharpness
-    return names[sizes[0][1]], 1.0 / (1.0 + share), 1.0 - sizes[0][0] / sizes[1][0] < model.margin
+    narrow = len(data) >= model.judged_bytes and 1.0 - sizes[0][0] / sizes[1][0] < model.margin
+    return names[sizes[0][1]], 1.0 / (1.0 + share), narrow
 
 
 def predicted(model: LanguageModel, text: str | Column = "text") -> Column:
     """Struct ``lang, score, rejected`` of a text column.
 
     Null, empty and letterless texts are ``und`` with score 0 and are rejected, as is everything
-    under a model without languages. Equal sizes go to the first language by name, rejected.
+    under a model without languages. Equal sizes go to the first language by name, rejected unless
+    the text is short. The classifier counts as non-deterministic, so a filter on its result isn't
+    evaluated a second time beside it.
     """
 
     @F.arrow_udf("lang string, score double, rejected boolean")
@@ -115,9 +124,9 @@ def predicted(model: LanguageModel, text: str | Column = "text") -> Column:
                 [pa.array([f[i] for f in found], kind) for i, (_, kind) in enumerate(kinds)], names=[n for n, _ in kinds]
             )
 
-    return run(F.col(text) if isinstance(text, str) else text)
+    return run.asNondeterministic()(F.col(text) if isinstance(text, str) else text)
 
 
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text", out: str = "language") -> DataFrame:
-    """All rows and columns with the struct ``out``; see ``predicted``."""
+    """All rows and columns with the struct ``out`` (a column of that name is replaced); see ``predicted``."""
     return docs.withColumn(out, predicted(model, text))

@@ -90,14 +90,14 @@ def _op2_sql() -> str:
     return f"""
 WITH docs AS (SELECT doc_id, source, lang, coalesce(text, '') AS text FROM documents),
 spans AS (SELECT doc_id, source, lang, {columns} FROM docs),
-mixed AS (SELECT doc_id, source, lang, unnest(list_filter(s_mixed, lambda s: regexp_matches(s.value, '[0-9]') AND regexp_matches(s.value, '[A-Za-z]'))) AS s FROM spans),
-held AS (SELECT s.value AS value, count(DISTINCT coalesce(source, '?')) AS owners FROM mixed GROUP BY ALL),
-marks AS (SELECT m.doc_id, count(*) AS n_candidates, count(*) FILTER (owners > 1) AS n_copied,
+mixed AS (SELECT doc_id, source, lang, unnest(list_filter(s_mixed, lambda s: regexp_matches(s.value, '{secrets.RANDOM}') AND NOT regexp_matches(s.value, '{secrets.UUID}'))) AS s FROM spans),
+held AS (SELECT s.value AS value, count(DISTINCT coalesce(source, '?')) AS owners, count(DISTINCT concat_ws('/', source, lang)) AS repositories FROM mixed GROUP BY ALL),
+marks AS (SELECT m.doc_id, count(*) AS n_candidates, count(*) FILTER (owners > 1) AS n_copied, count(*) FILTER (owners = 1 AND repositories > 1) AS n_shared,
   list({{'start': CAST(m.s.start AS BIGINT), 'kind': {len(secrets.BASE)}, 'stop': CAST(m.s.stop AS BIGINT)}}) FILTER (owners = 1) AS owned
   FROM mixed m JOIN held ON held.value = m.s.value GROUP BY m.doc_id)
 SELECT doc_id, CAST(len(s_assign) AS BIGINT) AS n_assign, CAST(len(s_access) AS BIGINT) AS n_access, CAST(len(s_hex) AS BIGINT) AS n_hex,
   sha256({write(base)}) AS base_sha256, {write(f"({base}) || coalesce(owned, [])")} AS spans,
-  coalesce(n_candidates, 0) AS n_candidates, coalesce(n_copied, 0) AS n_copied
+  coalesce(n_candidates, 0) AS n_candidates, coalesce(n_copied, 0) AS n_copied, coalesce(n_shared, 0) AS n_shared
 FROM spans LEFT JOIN marks USING (doc_id)
 """
 
@@ -113,7 +113,7 @@ def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     count = lambda name: F.size(F.filter("base", lambda s: s["kind"] == secrets.KINDS.index(name))).cast("long").alias(f"n_{name}")
     return found.select(
         "doc_id", count("assign"), count("access"), count("hex"), F.sha2(secrets.rendered(F.col("base")), 256).alias("base_sha256"),
-        secrets.rendered(F.concat("base", "owned")).alias("spans"), "n_candidates", "n_copied",
+        secrets.rendered(F.concat("base", "owned")).alias("spans"), "n_candidates", "n_copied", "n_shared",
     )
 
 
@@ -204,6 +204,7 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def digests(docs: DataFrame) -> DataFrame:
     """Encode and decode documents; digests of the ids and of the decoded bytes."""
     path = vocabulary("byte_bpe_50k.json")
+    bpe.check_ranks(path, vocabulary("byte_bpe_50k.tiktoken"))
     coded = bpe.decode(bpe.encode(docs, path).drop("text"), path)
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

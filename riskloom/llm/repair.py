@@ -21,8 +21,8 @@ from riskloom.llm.bpe import worker_encoder
 from riskloom.llm.common import WHITE_SPACE, pieces, texts_of
 from riskloom.session import scratch_path
 
-#: Ids per shard (a longer document has a shard of its own) the least uses of a new rule, the least gain of a round.
-SHARD_IDS, LEAST_USES, LEAST_GAIN = 1 << 20, 16, 0.005
+#: Ids per shard (a longer document has a shard of its own), the least uses of a new rule.
+SHARD_IDS, LEAST_USES = 1 << 20, 16
 MAGIC = b"RPG1"
 LAYOUT = "part int, shard int, inside long, n_ids long, data binary"
 _HEAD = struct.Struct("<4sIIQI")
@@ -55,13 +55,13 @@ def _frequent(
 
 
 def compress(
-    ids: np.ndarray, first: int, end: int, least: int = LEAST_USES, least_gain: float = LEAST_GAIN
+    ids: np.ndarray, first: int, end: int, least: int = LEAST_USES
 ) -> tuple[np.ndarray, np.ndarray]:
     """Rules (pairs, the k-th standing for ``first + k``) and the remaining symbols.
 
     In each round every frequent pair that is not beaten by an overlapping neighbour (by count)
-    is replaced, from left to right where counts are equal. A round that shortens the sequence by
-    less than ``least_gain`` is the last.
+    is replaced, from left to right where counts are equal. Rounds end when no pair has ``least``
+    uses that can all be replaced (equal neighbours overlap: of three only one pair counts).
     """
     symbols, rules, made = ids.astype(np.uint32), [], 0
     while len(symbols) > 1:
@@ -84,8 +84,6 @@ def compress(
         keep = np.ones(len(symbols), bool)
         keep[chosen + 1] = False
         symbols, made = symbols[keep], made + len(new)
-        if len(chosen) < least_gain * len(symbols):
-            break
     return (np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)), symbols
 
 

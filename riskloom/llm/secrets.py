@@ -1,15 +1,15 @@
 """Secret scans with Spark expressions only: spans by pattern, verdicts by ownership in the corpus.
 
 Candidate values are hashed, and for each hash the corpus tells how many repositories and
-owners hold it. A value in the hands of one owner looks live; one that several owners hold is a
-copied example.
+owners hold it. A value in the hands of one owner looks live, all the more if only one of the owner's
+repositories holds it; one that several owners hold is a copied example.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.llm.common import free_name
+from riskloom.llm.common import free_name, stored
 
 #: Fixed patterns of the base kinds, in their order; a match counts when the group is long enough.
 BASE = {
@@ -17,8 +17,11 @@ BASE = {
     "access": (r"AKIA[A-Z0-9]{14,}", 0, 18),
     "hex": (r"[0-9a-f]{16,}", 0, 16),
 }
-#: Candidates of the ownership method: long tokens that mix letters and digits.
+#: Candidates of the ownership method: long tokens in which letters and digits change places several times
+#: (``RANDOM``) within one segment; paths, slugs, version numbers and UUIDs are none.
 TOKEN = ("token", r"[A-Za-z0-9+/_=-]{20,}", 0, 20)
+RANDOM = "(?:[A-Za-z][0-9]+){2}[A-Za-z]|(?:[0-9][A-Za-z]+){2}[0-9]"
+UUID = "^[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$"
 OWNED = "owned"
 KINDS = [*BASE, OWNED]
 _SPAN = "array<struct<start:bigint,stop:bigint,value:string>>"
@@ -59,18 +62,24 @@ def kind_spans(name: str, spans: str | Column) -> Column:
     return F.transform(column, lambda s: F.struct(F.lit(KINDS.index(name)).alias("kind"), s["start"].alias("start"), s["stop"].alias("stop")))
 
 
+def candidate(value: Column) -> Column:
+    """Whether a token looks drawn at random rather than spelled."""
+    return value.rlike(RANDOM) & ~value.rlike(UUID)
+
+
 def ownership(candidates: DataFrame) -> DataFrame:
-    """``hash, repositories, owners, copied`` of candidate rows ``hash, repository, owner``.
+    """``hash, repositories, owners, copied, shared`` of candidate rows ``hash, repository, owner``.
 
     Distinct counts by repeated grouping: every step adds up inside the tasks first, so a value
     that is everywhere stays a few rows per task and no set of owners is ever held. A null owner
-    counts as one owner, a null repository as one repository. ``copied``: more than one owner.
+    counts as one owner, a null repository as one repository. ``copied``: more than one owner;
+    ``shared``: one owner, more than one of its repositories.
     """
     pairs = candidates.groupBy("hash", "owner", "repository").agg(F.count(F.lit(1)).alias("n"))
     owners = pairs.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("repositories"))
-    return owners.groupBy("hash").agg(F.sum("repositories").alias("repositories"), F.count(F.lit(1)).alias("owners")).withColumn(
-        "copied", F.col("owners") > 1
-    )
+    counted = owners.groupBy("hash").agg(F.sum("repositories").alias("repositories"), F.count(F.lit(1)).alias("owners"))
+    copied = F.col("owners") > 1
+    return counted.withColumns({"copied": copied, "shared": ~copied & (F.col("repositories") > 1)})
 
 
 def scan(
@@ -78,10 +87,11 @@ def scan(
 ) -> DataFrame:
     """One row per document: ``doc_id``, the base spans and the owned spans, without texts.
 
-    ``base`` and ``owned`` are arrays of ``kind, start, stop`` (kind: place in ``KINDS``),
-    ``n_candidates`` / ``n_copied`` count the mixed tokens and those copied between owners.
-    Base spans never depend on the verdict. Null texts are empty; a repeated id keeps its rows
-    apart by text. Values leave their task only as hashes.
+    ``base`` and ``owned`` are arrays of ``kind, start, stop`` (kind: place in ``KINDS``);
+    ``n_candidates``, ``n_copied`` and ``n_shared`` count the candidates, those copied between owners
+    and those that one owner keeps in several repositories. Base spans never depend on the verdict.
+    Null texts are empty; equal rows each have their own result. The texts are read once: spans and
+    hashes of values are stored, values never leave their task.
     """
     column = lambda c: F.col(c) if isinstance(c, str) else c
     rows = docs.select(
@@ -89,25 +99,26 @@ def scan(
         column(owner).cast("string").alias("owner"), F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
     _, *token = TOKEN
-    mixed = F.filter(found(F.col("text"), *token), lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]"))
+    mixed = F.filter(found(F.col("text"), *token), lambda s: candidate(s["value"]))
     hashed = F.transform(mixed, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), F.xxhash64(s["value"], F.sha2(s["value"], 256)).alias("hash")))
     base = F.concat(*[kind_spans(k, found(F.col("text"), *p)) for k, p in BASE.items()])
-    rows = rows.select("doc_id", "repository", "owner", F.xxhash64("text").alias("content"), base.alias("base"), hashed.alias("mixed"))
-    single = rows.select("doc_id", "content", "repository", "owner", F.explode("mixed").alias("s")).select(
-        "doc_id", "content", "repository", "owner", "s.start", "s.stop", "s.hash"
+    rows = rows.select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", "repository", "owner", F.xxhash64("text").alias("content"),
+        base.alias("base"), hashed.alias("mixed"),
     )
-    copied = ownership(single).where("copied").select("hash", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.lit(True).alias("copied"))
-    single = single.select("doc_id", "content", "start", "stop", "hash", F.pmod(F.xxhash64("doc_id", "start"), F.lit(SALTS)).cast("int").alias("salt"))
-    judged = single.join(copied, ["hash", "salt"], "left")
-    marks = judged.groupBy("doc_id", "content").agg(
-        F.count(F.lit(1)).alias("n_candidates"), F.count("copied").alias("n_copied"),
-        F.collect_set(F.when(F.col("copied").isNull(), F.struct(F.lit(KINDS.index(OWNED)).alias("kind"), F.col("start"), F.col("stop")))).alias("owned"),
+    rows = stored(rows, "spans")
+    single = rows.select("row", "repository", "owner", F.explode("mixed").alias("s")).select("row", "repository", "owner", "s.start", "s.stop", "s.hash")
+    known = ownership(single).where("copied OR shared").select("hash", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), "copied", "shared")
+    single = single.select("row", "start", "stop", "hash", F.pmod(F.xxhash64("row", "start"), F.lit(SALTS)).cast("int").alias("salt"))
+    judged = single.join(known, ["hash", "salt"], "left")
+    marks = judged.groupBy("row").agg(
+        F.count(F.lit(1)).alias("n_candidates"), F.count_if("copied").alias("n_copied"), F.count_if("shared").alias("n_shared"),
+        F.collect_set(F.when(~F.coalesce("copied", F.lit(False)), F.struct(F.lit(KINDS.index(OWNED)).alias("kind"), F.col("start"), F.col("stop")))).alias("owned"),
     )
-    marks = marks.withColumnsRenamed({"doc_id": "_id", "content": "_content"})
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("content") == F.col("_content"))
-    return rows.join(marks, same, "left").select(
+    zero = F.lit(0).cast("long")
+    return rows.join(marks, "row", "left").select(
         "doc_id", "content", "base", F.coalesce("owned", F.array().cast("array<struct<kind:int,start:bigint,stop:bigint>>")).alias("owned"),
-        F.coalesce("n_candidates", F.lit(0).cast("long")).alias("n_candidates"), F.coalesce("n_copied", F.lit(0).cast("long")).alias("n_copied"),
+        *[F.coalesce(c, zero).alias(c) for c in ("n_candidates", "n_copied", "n_shared")],
     )
 
 
@@ -117,7 +128,8 @@ def redact(
 ) -> DataFrame:
     """All rows and columns; every base and owned span of ``text`` is replaced by ``mask``.
 
-    Overlapping spans become one. Texts without spans, and null texts, stay as they are.
+    Overlapping spans become one. Texts without spans, and null texts, stay as they are. Spans are
+    found again by id and content, so rows that share an id keep their own.
     """
     sid, scontent, held = (free_name(docs, n) for n in ("_id", "_content", "_spans"))
     both = F.transform(F.concat("base", "owned"), lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop")))

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from riskloom.llm.common import classes, some_texts, stored
+from riskloom.llm.common import classes, free_name, some_texts, stored
 
 BITS, BYTES, SEED = 3, 8, 42
 LEAST = BYTES - BITS
@@ -90,7 +90,7 @@ def _listed(nodes: DataFrame, sets: list[tuple[int, ...]]) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: ``doc_id``, ``fp`` (signed long), ``component`` (smallest id reachable).
+    """One row per document: ``doc_id``, ``content`` (hash of its text), ``fp`` (signed long), ``component`` (smallest id reachable).
 
     Equal fingerprints collapse into one node first, so a group of copies costs one node however
     large it is. Then, without ever writing all pairs of a list:
@@ -103,7 +103,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     lost. Null and empty texts have fingerprint 0 and are linked like any other; repeated ids
     keep their rows; rows with a null id get the class of their fingerprint.
     """
-    prints = stored(docs.select(F.col(doc_id).alias("doc_id"), fingerprint(text).alias("fp")))
+    content = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    prints = stored(docs.select(F.col(doc_id).alias("doc_id"), content.alias("content"), fingerprint(text).alias("fp")))
     groups = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies")))
     nodes = groups.where("node IS NOT NULL").select("fp", "node")
     index = _listed(nodes, covering(LEAST - 1))
@@ -126,11 +127,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     place = groups.join(near, "node", "left").withColumn("root", F.coalesce("root", "node")).join(merged, "root", "left")
     place = stored(place.select("fp", component.alias("component"), "node", "copies").where("copies > 1 OR component <> node"))
     return prints.join(place.select("fp", "component"), "fp", "left").select(
-        "doc_id", "fp", F.coalesce("component", "doc_id").alias("component")
+        "doc_id", "content", "fp", F.coalesce("component", "doc_id").alias("component")
     )
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without those that have a smaller id in their class; null ids stay."""
-    found = near_duplicates(docs, doc_id, text).where("component < doc_id").select(F.col("doc_id").alias(doc_id)).distinct()
-    return docs.join(found, doc_id, "left_anti")
+    """The documents without those that have a smaller id in their class.
+
+    Rows are judged by id and text, so a row that only shares its id with a dropped one stays. Rows
+    equal in both are one document and stay or go together; rows with a null id stay.
+    """
+    sid, scontent = free_name(docs, "_id"), free_name(docs, "_content")
+    found = near_duplicates(docs, doc_id, text).where("component < doc_id").select(F.col("doc_id").alias(sid), F.col("content").alias(scontent)).distinct()
+    content = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    return docs.join(found, (F.col(doc_id) == F.col(sid)) & (content == F.col(scontent)), "left_anti")

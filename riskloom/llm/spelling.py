@@ -83,7 +83,8 @@ def _by_depth(df: DataFrame, name: str, depth: str) -> DataFrame:
     """Stored in folders by depth (one for all deep rows), so a level reads its own rows only."""
     path = scratch_path(df.sparkSession, name)
     level = F.least(F.col(depth), F.lit(DEEP)).alias("level")
-    df.select("*", level).repartition("level", F.pmod(F.xxhash64("node"), F.lit(16))).write.partitionBy("level").parquet(path)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.select("*", level).repartition("level", F.pmod(F.xxhash64("node"), F.lit(parts))).write.partitionBy("level").parquet(path)
     return df.sparkSession.read.schema(df.schema.add("level", "integer")).parquet(path)
 
 

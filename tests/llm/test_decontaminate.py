@@ -109,3 +109,15 @@ def test_short_items_and_scripts_without_spaces():
     texts = ["so: One, TWO three four", "one two thre three", "a. which planet is largest b", "問:世界で一番高い山は何ですか。答", "在ประเทศไทยครับ", "请问,中国的首城是哪里?"]
     ready = D.Items(list(range(len(items))), items, D.Walks())
     assert {(d, x) for d, x, *_ in D.matches([D.words_of(t) for t in texts], ready)} == {(0, 0), (2, 1), (3, 2), (4, 3), (5, 4)}
+
+
+def test_rows_are_judged_by_their_own_text(spark):
+    item = " ".join(f"word{i}" for i in range(12))
+    items = spark.createDataFrame([("first", item)], "item_id string, text string")
+    rows = [(None, f"x {item} y"), (None, "clean"), ("7", item), ("7", "also clean"), ("8", None)]
+    frame = spark.createDataFrame([(i, t, "a", "b") for i, t in rows], "doc_id string, text string, item_id string, id string")
+    for options in ({}, {"items_per_pass": 1, "bytes_per_pass": 10}):
+        kept = D.clean(frame, items, **options)
+        assert kept.columns == frame.columns and {(r["doc_id"], r["text"]) for r in kept.collect()} == {(None, "clean"), ("7", "also clean"), ("8", None)}
+        found = D.contaminated(frame, items, **options)
+        assert sorted((str(r["doc_id"]), r["item_id"]) for r in found.collect()) == [("7", "first"), ("None", "first")]

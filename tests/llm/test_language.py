@@ -31,6 +31,35 @@ def test_awkward(spark):
         assert 0 <= r["language"]["score"] <= 1
 
 
+def test_short_texts_are_not_rejected_for_ties(spark):
+    docs = queries.table(spark, FOLDER, "documents").withColumn("n", F.length("text"))
+    got = queries.language_id(spark, FOLDER).join(docs.select("doc_id", "n"), "doc_id").where("lang_pred <> 'und'")
+    by = {r["k"]: (r["out"], r["rows"]) for r in got.groupBy((F.col("n") >= 200).alias("k")).agg(F.avg(F.col("rejected").cast("int")).alias("out"), F.count("*").alias("rows")).collect()}
+    assert by[False][0] == 0.0 and by[False][1] > 5 and by[True][0] < 0.01
+
+
+def test_sizes_equal_a_plain_run(spark):
+    """Every text is given to every dictionary again, in one go."""
+    import zstandard
+
+    docs = queries.table(spark, "/root/testdata/sf0.001", "documents")
+    model = language.fit(docs)
+    for r in language.identify(docs, model).collect():
+        sizes = {}
+        for name, content in model.dictionaries.items():
+            coder = zstandard.ZstdCompressor(level=model.level, dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_dict_id=False)
+            data = language.prepared(r["text"] or "")
+            sizes[name] = sum(len(coder.compress(data[i : i + model.block])) for i in range(0, len(data), model.block))
+        if any(map(str.isalpha, r["text"] or "")):
+            assert sizes[r["language"]["lang"]] == min(sizes.values())
+
+
+def test_classifier_runs_once_under_a_filter(spark):
+    docs = helpers.docs(spark, helpers.AWKWARD).drop("language")
+    kept = language.identify(docs, language.LanguageModel({"en": b"a"})).where("NOT language.rejected").select("doc_id", "language.lang")
+    assert kept._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_nothing_to_learn(spark):
     model = language.fit(helpers.empty(spark))
     got = language.identify(helpers.docs(spark, ["text"]), model).first()["language"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from riskloom.llm import secrets
+from riskloom.llm import queries, secrets
 from tests.llm import helpers
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -65,6 +65,27 @@ def test_no_rows(spark):
 def test_repeated_rows_stay(spark):
     frame = helpers.docs(spark, [TEXTS[0]]).union(helpers.docs(spark, [TEXTS[0]]))
     assert secrets.scan(frame).count() == 2 and secrets.redact(frame).count() == 2
+    live = helpers.docs(spark, ["Zk3" + "q7" * 12])
+    assert [r["n_candidates"] for r in secrets.scan(live.union(live)).collect()] == [1, 1]
+
+
+def test_words_and_paths_are_no_candidates(spark):
+    plain = [
+        "com/blog/2024/05/why-bees-matter", "/usr/local/lib/python3/site-packages/foo", "123e4567-e89b-12d3-a456-426614174000",
+        "release-2024-05-17-candidate-3", "abcdefghijklmnopqrstuvwxyz", "+4912345678901234567890", "a" * 5000 + "1" * 5000,
+    ]
+    frame = helpers.docs(spark, plain)
+    assert all(r["n_candidates"] == 0 for r in secrets.scan(frame).where("doc_id <> 5 AND doc_id <> 2").collect())
+    masked = {r["doc_id"]: r["text"] for r in secrets.redact(frame).collect()}
+    assert all(masked[i] == plain[i] for i in (0, 1, 2, 3, 4))
+
+
+def test_one_owner_in_several_repositories(spark):
+    value = "Zk3" + "q7" * 12
+    rows = [(1, f"a {value}", "o1", "en"), (2, f"b {value}", "o1", "de"), (3, f"c {value}x", "o1", "en")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = {r["doc_id"]: r for r in secrets.scan(frame, repository=queries.repository(), owner="source").collect()}
+    assert [(got[i]["n_shared"], len(got[i]["owned"])) for i in (1, 2, 3)] == [(1, 1), (1, 1), (0, 1)]
 
 
 def test_no_python_in_the_plan(spark):

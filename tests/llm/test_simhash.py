@@ -113,3 +113,10 @@ def test_classes_of_links(spark):
                 root[a] = root[b] = min(root[a], root[b])
                 changed = True
     assert got == root
+
+
+def test_rows_are_judged_by_id_and_text(spark):
+    rows = [(1, "one text that two ids share here"), (2, "one text that two ids share here"), (2, "quite another text of many other words"), (None, "one text that two ids share here")]
+    frame = spark.createDataFrame([(i, t, "x", "y", "z") for i, t in rows], "doc_id long, text string, _id string, content string, fp string")
+    got = sorted([(r["doc_id"], r["text"]) for r in simhash.keep_one(frame).collect()], key=str)
+    assert got == sorted([rows[0], rows[2], rows[3]], key=str) and simhash.keep_one(frame).columns == frame.columns
