@@ -13,11 +13,12 @@ import json
 import os
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, types as T
 
 from riskloom.llm.common import WHITE_SPACE, list_array, pieces, texts_of
@@ -71,11 +72,9 @@ class ChunkEncoder:
             data = ids.tobytes()
             yield from map(data.__getitem__, map(slice, [0, *ends[:-1].tolist()], ends.tolist()))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self.chunk.findall(t) for t in texts]
-        known, seen = self.known, set()
-        for chunks in split:
-            seen.update(chunks)
+    def _learn(self, seen: Iterable[str]) -> tuple[dict[str, bytes], list[str]]:
+        """The table with the ids of all ``seen`` chunks, and the new ones that aren't plain words."""
+        known = self.known
         new = [c for c in seen if c not in known]
         if len(known) + len(new) > KEPT_CHUNKS:
             known = self.known = {c: known[c] for c in seen if c in known}
@@ -93,15 +92,50 @@ class ChunkEncoder:
         known.update(zip(words, self._together(words)))
         known.update(zip(rest, self._alone(rest)))
         known.update((c, known[w] + known[t] if t else known[w]) for c, w, t in made)
-        out = [b"".join(map(known.__getitem__, chunks)) for chunks in split]
+        return known, rest
+
+    def _forget(self, known: dict[str, bytes], rest: list[str]) -> None:
         if len(known) > KEPT_CHUNKS:
             self.known = {}
         else:
             for c in rest:
                 if len(c) > KEPT_CHARS:
                     del known[c]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [self.chunk.findall(t) for t in texts]
+        known, rest = self._learn(set().union(*split))
+        out = [b"".join(map(known.__getitem__, chunks)) for chunks in split]
+        self._forget(known, rest)
         return out
 
+    def encode_words(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a column in a row, and the number of each text's; for vocabularies that drop white space.
+
+        Arrow splits the texts and numbers their different words; only those become Python
+        strings, and their ids are gathered by number.
+        """
+        # A copy whose buffers begin with the first text: kernels misread slices of other buffers.
+        column = pc.fill_null(column.cast(pa.large_string()), "").take(pa.array(np.arange(len(column))))
+        if pc.any(pc.match_substring_regex(column, "[\x1c-\x1f]")).as_py():  # Arrow's white space, but not the vocabulary's
+            found = self.encode([x.as_py() for x in column])
+            return np.frombuffer(b"".join(found), "<u4"), np.array([len(b) // 4 for b in found], np.int64)
+        split = pc.utf8_split_whitespace(pc.ascii_lower(column) if self.fold else column)
+        coded = split.values.slice(split.offsets[0].as_py(), split.offsets[-1].as_py() - split.offsets[0].as_py()).dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        known, rest = self._learn(set(words) - {""})
+        ids = [known[w] if w else b"" for w in words]
+        self._forget(known, rest)
+        flat, length = np.frombuffer(b"".join(ids), "<u4"), np.array([len(b) // 4 for b in ids], np.int64)
+        number = coded.indices.to_numpy(zero_copy_only=False)
+        each = length[number] if len(number) else np.zeros(0, np.int64)
+        ends = np.concatenate([[0], np.cumsum(each)])
+        begin = np.cumsum(length) - length
+        # Position of every id: its word's begin plus its place in the word.
+        place = np.arange(ends[-1]) + np.repeat(begin[number] - ends[:-1], each) if len(number) else np.zeros(0, np.int64)
+        bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
+        return flat[place], np.diff(ends[bounds])
+
 
 @lru_cache(maxsize=4)
 def worker_encoder(path: str, chunk: re.Pattern, fold: bool = False) -> ChunkEncoder:

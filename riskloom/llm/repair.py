@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from riskloom.llm.bpe import worker_encoder
-from riskloom.llm.common import WHITE_SPACE, pieces, texts_of
+from riskloom.llm.common import WHITE_SPACE, pieces
 from riskloom.session import scratch_path
 
 #: Ids per shard (a longer document has a shard of its own), the least uses of a new rule.
@@ -60,8 +60,7 @@ def compress(
     """Rules (pairs, the k-th standing for ``first + k``) and the remaining symbols.
 
     In each round every frequent pair that is not beaten by an overlapping neighbour (by count)
-    is replaced, from left to right where counts are equal. Rounds end when no pair has ``least``
-    uses that can all be replaced (equal neighbours overlap: of three only one pair counts).
+    is replaced, from left to right where counts are equal. Rounds end when no pair has ``least`` uses.
     """
     symbols, rules, made = ids.astype(np.uint32), [], 0
     while len(symbols) > 1:
@@ -200,7 +199,7 @@ def write(
 
         encoder = worker_encoder(vocabulary, _WORD, fold=True)
         first = encoder.tokenizer.get_vocab_size(with_added_tokens=True)
-        last, part, shard = struct.pack("<I", end), TaskContext.get().partitionId(), 0
+        part, shard = TaskContext.get().partitionId(), 0
         names, parts, held, inside = [], [], 0, 0
 
         def packed() -> pa.RecordBatch:
@@ -210,12 +209,16 @@ def write(
                  "data": pa.array([to_bytes(names, parts, first, end)], pa.binary())}
             )
 
-        for batch in pieces(batches, "text"):
-            ids = batch.column(0).to_pylist()
-            for name, found in zip(ids, encoder.encode(texts_of(batch, "text"))):
+        for batch in pieces(batches, "text", 8 << 20):
+            flat, counts = encoder.encode_words(batch.column(1))
+            ends = np.cumsum(counts)
+            # Each document's ids with the end id behind them.
+            coded = memoryview(np.insert(flat, ends, end).astype("<u4").tobytes())
+            stops = (ends + np.arange(1, len(ends) + 1)).tolist()
+            for name, lo, hi in zip(batch.column(0).to_pylist(), [0, *stops], stops):
                 names.append(name)
-                parts.append(found + last)
-                held += len(found) // 4 + 1
+                parts.append(coded[4 * lo : 4 * hi])
+                held += hi - lo
                 if held >= shard_ids:
                     yield packed()
                     names, parts, held, shard, inside = [], [], 0, shard + 1, inside + held
