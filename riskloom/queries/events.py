@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from riskloom.queries.base import Tables, query, r6
 from riskloom.session import scratch_path
-from riskloom.streaming import rates as RT, stateful as ST
+from riskloom.streaming import histories as HI, rates as RT, stateful as ST
 
 IS_ERROR_SQL = "event_type = 'error'"
 DAY = 86_400
@@ -126,6 +126,21 @@ def lockout_machine(t: Tables) -> DataFrame:
     return drained(t, out, "lockout")
 
 
+@query(
+    "lockout_history", "T2",
+    """WITH RECURSIVE e AS (SELECT event_id, key, event_type, us, row_number() OVER (PARTITION BY key ORDER BY us, event_id) AS rn
+      FROM (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'most' ELSE CAST(user_id AS VARCHAR) END AS key, event_type, epoch_us(ts) AS us FROM events)),
+    r AS (SELECT key, rn, event_id, false AS refused, CASE WHEN event_type = 'error' THEN [us] ELSE []::BIGINT[] END AS times FROM e WHERE rn = 1 UNION ALL
+      SELECT key, rn, event_id, len(live) >= 3, CASE WHEN len(live) >= 3 THEN live WHEN event_type = 'error' THEN list_append(live, us) WHEN event_type = 'purchase' THEN []::BIGINT[] ELSE live END
+      FROM (SELECT e.key, e.rn, e.event_id, e.us, e.event_type, list_filter(r.times, lambda q: q > e.us - 3600000000) AS live FROM r JOIN e ON e.key = r.key AND e.rn = r.rn + 1))
+    SELECT key, event_id, refused, len(times) AS failures FROM r""",
+)
+def lockout_history(t: Tables) -> DataFrame:
+    """The exact lockout over a stored history in which one key holds half of all events."""
+    rows = t.events.withColumn("who", F.when(F.col("event_id") % 2 == 0, "most").otherwise(F.col("user_id").cast("string")))
+    return HI.lockouts(rows, "who", is_error(), F.col("event_type") == "purchase", 3, 3600)
+
+
 _STATUS = "CASE WHEN event_type = 'error' THEN 'alert' WHEN event_type IN ('view', 'click') THEN 'watch' ELSE 'ok' END"
 
 

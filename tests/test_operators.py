@@ -13,7 +13,7 @@ from pyspark.sql import functions as F, types as T
 
 from riskloom import constants as K
 from riskloom.functions import numbers as N
-from riskloom.streaming import rates as RT
+from riskloom.streaming import histories as HI, rates as RT
 from riskloom.operators import (
     cohort as C, decisions as DC, drift as DR, explain as E, ordered as R, quality as Q, scoring_metrics as M,
     splitting as S,
@@ -421,3 +421,25 @@ def test_windows_are_not_dealt_by_key(spark):
     for out in (RT.calls_in_window(df, ["k"], 60, 3), RT.failures_since_success(df, ["k"], F.col("kind") == "f", F.col("kind") == "s", 60, 3)):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "hashpartitioning(_id" in plan and "hashpartitioning(k" not in plan
+
+
+@pytest.mark.parametrize("parts", [1, 7, 40])
+def test_lockouts_of_a_history_in_slices(spark, parts):
+    rows, df = events(spark, 1500)
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        out = HI.lockouts(df, "k", F.col("kind") == "f", F.col("kind") == "s", 2, 300)
+        got = {r["event_id"]: (r["key"], r["refused"], r["failures"]) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    want = {}
+    for key in {r[1] for r in rows}:
+        times = []
+        for t, i, kind in sorted((t, i, kind) for i, k, t, kind in rows if k == key and t is not None):
+            times = [u for u in times if u > t - 300]
+            locked = len(times) >= 2
+            if not locked:
+                times = [*times, t] if kind == "f" else [] if kind == "s" else times
+            want[i] = (key, locked, len(times))
+    assert got == want
+    assert HI.lockouts(df.limit(0), "k", F.col("kind") == "f", F.col("kind") == "s").count() == 0
