@@ -155,8 +155,26 @@ _STATUS = "CASE WHEN event_type = 'error' THEN 'alert' WHEN event_type IN ('view
 )
 def alert_history(t: Tables) -> DataFrame:
     """Alert state machine along each subject's reports."""
+    ST.use_rocksdb(t.spark)
+    reports = event_stream(t).withColumn("status", F.expr(_STATUS))
+    return drained(t, ST.alert_history(reports, "user_id", "status", "ts"), "alerts").drop("late")
+
+
+@query(
+    "alert_expiry", "T5 T9",
+    f"""WITH RECURSIVE {_ORDERED}, s AS (SELECT *, {_STATUS} AS status FROM e),
+    r AS (SELECT user_id, rn, us, status, status = 'alert' AS fire, false AS solve, CASE WHEN status = 'alert' THEN us ELSE 0 END AS trig, status = 'alert' AS is_open FROM s WHERE rn = 1 UNION ALL
+      SELECT user_id, rn, us, status, fire, solve, CASE WHEN fire THEN us ELSE trig END, CASE WHEN fire THEN true WHEN solve THEN false ELSE is_open END
+      FROM (SELECT user_id, rn, us, status, status = 'alert' AND (NOT is_open OR us - trig >= 86400000000) AS fire, status = 'ok' AND is_open AS solve, trig, is_open
+        FROM (SELECT s.user_id, s.rn, s.us, s.status, CASE WHEN s.us - r.us >= 43200000000 THEN 0 ELSE r.trig END AS trig, r.is_open AND s.us - r.us < 43200000000 AS is_open
+          FROM r JOIN s ON s.user_id = r.user_id AND s.rn = r.rn + 1)))
+    SELECT CAST(user_id AS VARCHAR) AS subject, us, status, fire AS should_alert, solve AS should_resolve, false AS late FROM r""",
+)
+def alert_expiry(t: Tables) -> DataFrame:
+    """Subjects that come back after twelve silent hours begin anew."""
+    ST.use_rocksdb(t.spark)
     reports = event_stream(t).withColumn("status", F.expr(_STATUS))
-    return drained(t, ST.alert_history(reports, "user_id", "status", "ts"), "alerts")
+    return drained(t, ST.alert_history(reports, "user_id", "status", "ts", expiry_hours=12), "alerts")
 
 
 # --- rates ------------------------------------------------------------------

@@ -133,34 +133,71 @@ def lockouts(
     )
 
 
-_ALERT_OUT = "subject string, us bigint, status string, should_alert boolean, should_resolve boolean"
-_ALERT_STATE = "triggered_us bigint, is_open boolean"
+class AlertMachine(StatefulProcessor):
+    """Alert hysteresis per subject: fire once, again after the cooldown, resolve when the status is ok.
 
+    The state of a subject is forgotten ``expiry`` after its latest report, by a timer that frees the
+    memory and by the gap to the next report, so both agree whenever the timer runs. A report older than
+    its subject's latest one is late: it is passed on, marked, and decides nothing.
+    """
 
-def alert_history(reports: DataFrame, subject: str, status: str, ts: str, cooldown_hours: int = K.ALERT_COOLDOWN_HOURS) -> DataFrame:
-    """Alert decisions along each subject's report history, state kept between batches."""
-    cooldown = cooldown_hours * 3_600_000_000
+    def __init__(self, cooldown: int, expiry: int):
+        self.cooldown, self.expiry = cooldown, expiry
 
-    def step(key, batches, state):
-        triggered, is_open = state.get if state.exists else (0, False)
-        rows = _in_time_order(batches, ["us"])
-        fired, solved = [], []
-        for us, status_now in zip(rows["us"], rows["status"]):
-            fire = status_now == "alert" and (not is_open or us - triggered >= cooldown)
-            solve = status_now == "ok" and bool(is_open)
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("alert", "triggered bigint, is_open boolean, latest bigint")
+
+    def close(self) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
+        reports = _in_time_order(rows, ["us"])
+        triggered, is_open, latest = (int(self.state.get()[0]), bool(self.state.get()[1]), int(self.state.get()[2])) if self.state.exists() else (0, False, None)
+        fired, solved, late = [], [], []
+        for us, status in zip(reports["us"], reports["status"]):
+            behind = latest is not None and us < latest
+            if not behind:
+                if latest is not None and us - latest >= self.expiry:
+                    triggered, is_open = 0, False
+                latest = int(us)
+            fire = not behind and status == "alert" and (not is_open or us - triggered >= self.cooldown)
+            solve = not behind and status == "ok" and is_open
             if fire:
                 triggered, is_open = int(us), True
             elif solve:
                 is_open = False
             fired.append(fire)
             solved.append(solve)
-        state.update((int(triggered), bool(is_open)))
+            late.append(behind)
+        self.state.update((triggered, is_open, latest))
+        for due in self.handle.listTimers():
+            self.handle.deleteTimer(due)
+        self.handle.registerTimer((latest + self.expiry) // 1000 + 1)
         yield pd.DataFrame(
-            {"subject": key[0], "us": rows["us"], "status": rows["status"], "should_alert": fired, "should_resolve": solved}
+            {"subject": key[0], "us": reports["us"], "status": reports["status"], "should_alert": fired, "should_resolve": solved, "late": late}
         )
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
+        self.state.clear()
+        yield from ()
+
+
+def alert_history(
+    reports: DataFrame, subject: str, status: str, ts: str, cooldown_hours: int = K.ALERT_COOLDOWN_HOURS,
+    expiry_hours: int = 24 * 365, delay: str = "10 minutes",
+) -> DataFrame:
+    """Stream of (subject, us, status, should_alert, should_resolve, late) along each subject's reports.
+
+    A subject silent for ``expiry_hours`` begins anew. Reports later than ``delay`` behind the newest are
+    dropped by the watermark, which the stream's progress counts; those in between are marked late
+    if a newer one of their subject was there before.
+    """
     rows = reports.select(
-        F.col(subject).cast("string").alias("subject"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"),
-        F.col(status).alias("status"),
+        F.col(subject).cast("string").alias("subject"), F.col(status).alias("status"), F.col(ts).cast("timestamp").alias("_at"),
+    ).withWatermark("_at", delay)
+    rows = rows.select("subject", "status", "_at", F.unix_micros("_at").alias("us"))
+    return rows.groupBy("subject").transformWithStateInPandas(
+        AlertMachine(cooldown_hours * 3_600_000_000, expiry_hours * 3_600_000_000),
+        "subject string, us bigint, status string, should_alert boolean, should_resolve boolean, late boolean", "Append", "EventTime",
     )
-    return rows.groupBy("subject").applyInPandasWithState(step, _ALERT_OUT, _ALERT_STATE, "append", "NoTimeout")

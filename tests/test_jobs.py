@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -273,6 +274,26 @@ def test_alert_history_stream(spark, tmp_path):
         (True, False), (False, False), (False, True), (False, False), (True, False), (True, False)]
 
 
+def test_alerts_expire_and_late_reports_are_counted(spark, tmp_path):
+    """Three arrivals: the subject is back after its expiry, then an older report of it comes in."""
+    hour, folder = 3600, tmp_path / "reports"
+    folder.mkdir()
+    arrivals = [[(0, "m", "alert"), (hour, "m", "alert"), (2 * hour, "n", "alert")], [(30 * hour, "m", "alert"), (30 * hour + 60, "m", "ok")], [(30 * hour + 30, "m", "alert"), (30 * hour + 90, "m", "alert")]]
+    for i, rows in enumerate(arrivals):
+        (folder / f"{i}.json").write_text("\n".join(json.dumps({"sec": s, "key": k, "kind": x}) for s, k, x in rows))
+        os.utime(folder / f"{i}.json", (1_700_000_000 + i, 1_700_000_000 + i))
+    ST.use_rocksdb(spark)
+    stream = spark.readStream.schema("sec long, key string, kind string").option("maxFilesPerTrigger", 1).json(str(folder))
+    stream = stream.withColumn("ts", F.timestamp_seconds(F.col("sec") + 1_000_000))
+    out = run_stream(spark, ST.alert_history(stream, "key", "kind", "ts", cooldown_hours=48, expiry_hours=24), tmp_path, "ex")
+    got = {(r["subject"], r["us"] // 1_000_000 - 1_000_000): (r["should_alert"], r["should_resolve"], r["late"]) for r in out.collect()}
+    assert got == {
+        ("m", 0): (True, False, False), ("m", hour): (False, False, False), ("n", 2 * hour): (True, False, False),
+        ("m", 30 * hour): (True, False, False), ("m", 30 * hour + 60): (False, True, False),
+        ("m", 30 * hour + 30): (False, False, True), ("m", 30 * hour + 90): (True, False, False),
+    }
+
+
 def test_windowed_counts_same_in_stream_and_batch(spark, tmp_path):
     rows = [(i * 37, "ab"[i % 2], "ok") for i in range(200)]
     stream, batch = event_folder(spark, tmp_path, rows)
