@@ -6,15 +6,18 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier, LogisticRegression, LogisticRegressionModel, RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import (
-    OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler,
+    OneHotEncoder, SQLTransformer, StandardScaler, StandardScalerModel, StringIndexer, StringIndexerModel,
+    VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
@@ -28,6 +31,8 @@ from riskloom.operators import (
 )
 from riskloom.operators.lineage import traced
 
+#: Fits of one fold that run side by side.
+FITS_AT_ONCE = 4
 FEATURES = "features"
 
 
@@ -182,8 +187,16 @@ def fit_logistic(
         inner = R.kept(prepared.transform(inner).select(columns))
         held = R.kept(prepared.transform(rows.where(F.col("_fold") == fold)).select(columns))
         n = inner.count()
-        for c, model in lr.fitMultiple(inner, [{lr.regParam: 1.0 / (c * n)} for c in c_grid]):
-            found[c_grid[c]].append(auc.evaluate(model.transform(held)))
+        fits = lr.fitMultiple(inner, [{lr.regParam: 1.0 / (c * n)} for c in c_grid])
+
+        def one(_: int, fits=fits, held=held) -> tuple[int, float]:
+            place, model = next(fits)
+            return place, auc.evaluate(model.transform(held))
+
+        # The fits of a fold share its rows and run side by side; each is a chain of small jobs.
+        with ThreadPool(min(len(c_grid), FITS_AT_ONCE)) as pool:
+            for place, value in pool.map(inheritable_thread_target(rows.sparkSession)(one), range(len(c_grid))):
+                found[c_grid[place]].append(value)
     means = {c: sum(v) / len(v) if v else float("nan") for c, v in found.items()}
     best = max(c_grid, key=lambda c: means[c]) if folds > 1 else c_grid[0]
     stages = [*preprocessing_stages(rows, features), lr.setRegParam(1.0 / (best * rows.count()))]
@@ -259,6 +272,83 @@ def train(
     return result
 
 
+# --- a fitted model as tables -------------------------------------------------
+
+
+def parameters(bundle: ModelBundle) -> DataFrame:
+    """A linear model as rows: ``slot, column, value, fill, centre, scale, weight``.
+
+    One row per number (with the fill, mean and deviation it was fitted with), one per text value
+    (``value``; ``fill`` is the column's most frequent text), one for values unseen in training and the
+    intercept (``column`` null). The rows are as many as the model has coefficients.
+    """
+    if not can_explain(bundle):
+        raise ValueError("only a linear model can be written as a table of weights")
+    spark, linear = SparkSession.active(), bundle.model.stages[-1]
+    numbers: list[str] = []
+    texts: list[tuple[str, Sequence[str]]] = []
+    centre = scale = ()
+    for stage in bundle.model.stages:
+        if isinstance(stage, VectorAssembler) and stage.getOutputCol() == "_numbers":
+            numbers = stage.getInputCols()
+        elif isinstance(stage, StandardScalerModel):
+            centre, scale = stage.mean.toArray().tolist(), stage.std.toArray().tolist()
+        elif isinstance(stage, StringIndexerModel):
+            texts = list(zip(stage.getInputCols(), stage.labelsArray))
+    # What the fill stage makes of a record without values.
+    absent = spark.range(1).select(*[F.lit(None).cast("string").alias(c) for c in bundle.feature_cols])
+    fills = bundle.model.stages[0].transform(absent).first().asDict()
+    weights = iter(linear.coefficients.toArray().tolist())
+    rows = [(n, n.split("__", 1)[1], None, str(fills[n]), m, d, next(weights)) for n, m, d in zip(numbers, centre, scale)]
+    for name, labels in texts:
+        column = name.split("__", 1)[1]
+        rows += [(f"{name}_{v}", column, v, fills[name], None, None, next(weights)) for v in labels]
+        rows.append((f"{name}___unknown", column, None, fills[name], None, None, next(weights)))
+    rows.append(("intercept", None, None, None, None, None, float(linear.intercept)))
+    return spark.createDataFrame(rows, "slot string, column string, value string, fill string, centre double, scale double, weight double")
+
+
+def score_by_table(gold: DataFrame, table: DataFrame, key: str, name: str = "proba_abandon") -> DataFrame:
+    """``key`` and probability from a parameter table: a long form, a join by column and a sum.
+
+    A model written once can so be applied where no model library is. Keys must be unique.
+    """
+    # One row per coefficient.
+    known = table.where(F.col("column").isNotNull())
+    columns = [r[0] for r in known.select("column").distinct().orderBy("column").collect()]
+    rows = gold.select(F.col(key), *[(F.col(c) if c in gold.columns else F.lit(None)).cast("string").alias(c) for c in columns if c != key])
+    long = Q.long_form(rows, columns, keep=[key])
+    numbers = known.where("centre IS NOT NULL").select("column", "fill", "centre", "scale", "weight")
+    texts = known.where("centre IS NULL AND value IS NOT NULL").select("column", F.col("value").alias("text"), "weight")
+    first = known.where("centre IS NULL").groupBy("column").agg(F.max("fill").alias("fill"))
+    x = F.coalesce(F.nullif(F.col("value").try_cast("double"), F.lit(float("nan"))), F.col("fill").cast("double"))
+    scaled = F.when(F.col("scale") > 0, (x - F.col("centre")) / F.col("scale")).otherwise(F.lit(0.0))
+    parts = long.join(F.broadcast(numbers), "column").select(key, (scaled * F.col("weight")).alias("part"))
+    worded = long.join(F.broadcast(first), "column").withColumn("text", F.coalesce("value", "fill")).drop("fill")
+    parts = parts.unionByName(worded.join(F.broadcast(texts), ["column", "text"], "left").select(key, F.coalesce("weight", F.lit(0.0)).alias("part")))
+    intercept = table.where(F.col("column").isNull()).select("weight").scalar()
+    return parts.groupBy(key).agg(F.sum("part").alias("_sum")).select(key, E.probability(F.col("_sum") + intercept).alias(name))
+
+
+def gradient(rows: DataFrame, bundle: ModelBundle, label: str, c: float) -> DataFrame:
+    """``slot, gradient`` of the weighted, L2-regularised loss at the stored coefficients.
+
+    The loss is convex, so a fit is the optimum just where its gradient vanishes; the intercept
+    is not regularised. ``rows``: the rows the model was fitted on. One pass, one number per slot.
+    """
+    weighted = S.with_class_weights(rows, label, "_weight")
+    linear, names = bundle.model.stages[-1], transformed_names(bundle)
+    scored = bundle.model.transform(weighted).select(
+        vector_to_array(FEATURES).alias("_x"), vector_to_array("probability")[1].alias("_p"), F.col(label).cast("double").alias("_y"), F.col("_weight").alias("_w"),
+    )
+    error = F.col("_w") * (F.col("_p") - F.col("_y"))
+    long = scored.select("_w", F.posexplode(F.array_append(F.transform("_x", lambda x: x * error), error)).alias("place", "part"))
+    weights = [float(w) for w in linear.coefficients.toArray()]
+    slots = rows.sparkSession.createDataFrame([(i, n, w) for i, (n, w) in enumerate(zip([*names, "intercept"], [*weights, 0.0]))], "place int, slot string, weight double")
+    summed = long.groupBy("place").agg(F.sum("part").alias("_s"), F.sum("_w").alias("_n"), F.count(F.lit(1)).alias("_rows"))
+    return summed.join(F.broadcast(slots), "place").select("slot", (F.col("_s") / F.col("_n") + F.col("weight") / (F.lit(float(c)) * F.col("_rows"))).alias("gradient"))
+
+
 # --- scoring and explaining -------------------------------------------------
 
 

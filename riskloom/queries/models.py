@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom import constants as K
-from riskloom.operators import explain as E, splitting as S
+from riskloom.operators import explain as E, ordered as R, splitting as S
 from riskloom.queries.base import (
     LABELLED_SQL, LINE_INTERCEPT, LINE_WEIGHTS, Tables, labelled, query, r6, sql_text,
 )
+from riskloom.session import scratch_path
 
 _HASH = "('0x' || substr(md5('{seed}|' || CAST({key} AS VARCHAR)), 1, 15))::BIGINT"
 
@@ -211,6 +212,54 @@ def train_score(t: Tables) -> DataFrame:
     )
 
 
+_MEASURES_SQL = r"""d AS (SELECT doc_id, lang, source, CAST(n_chars AS DOUBLE) AS n_chars, CAST(length(text) - length(replace(text, chr(10), '')) AS DOUBLE) AS n_lines,
+      CAST(length(regexp_replace(text, '[^0-9]', '', 'g')) AS DOUBLE) AS n_digits, length(regexp_replace(text, '[^\p{Lu}]', '', 'g')) / greatest(1, length(text)) AS share_upper
+    FROM documents JOIN labels USING (doc_id))"""
+
+
+def _number_sql(c: str) -> str:
+    return (
+        f"SELECT 'num__{c}' AS slot, CAST(NULL AS VARCHAR) AS text_fill, round(m, 6) AS fill, round(avg(coalesce({c}, m)), 4) AS centre, round(stddev_samp(coalesce({c}, m)), 4) AS scale "
+        f"FROM d, (SELECT median({c}) AS m FROM d) GROUP BY m"
+    )
+
+
+def _text_sql(c: str) -> str:
+    mode = f"(SELECT {c} FROM d WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
+    return (
+        f"SELECT DISTINCT 'cat__{c}_' || coalesce({c}, {mode}), {mode}, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE) FROM d "
+        f"UNION ALL SELECT 'cat__{c}___unknown', {mode}, NULL, NULL, NULL"
+    )
+
+
+@query(
+    "fit_certificate", "M2 M4 M5 M6 S15",
+    f"""WITH {_MEASURES_SQL}, p AS ({" UNION ALL ".join([*map(_number_sql, ("n_chars", "n_lines", "n_digits", "share_upper")), *map(_text_sql, ("lang", "source"))])}
+      UNION ALL SELECT 'intercept', NULL, NULL, NULL, NULL)
+    SELECT slot, text_fill, fill, centre, scale, 0.0::DOUBLE AS gradient, (SELECT count(*) FROM d) AS scored, 0::BIGINT AS differ FROM p""",
+)
+def fit_certificate(t: Tables) -> DataFrame:
+    """Fills, moments, value lists and a vanishing gradient of the searched fit; the saved and loaded
+    model scores every document like the table of its weights."""
+    from riskloom.plans import training as T
+
+    rows = R.kept(document_features(t))
+    model, best, _ = T.fit_logistic(rows, FEATURES, "quality", "doc_id")
+    path = scratch_path(t.spark, "bundle")
+    T.ModelBundle(model, FEATURES, 0.5).save(path)
+    bundle = T.ModelBundle.load(t.spark, path)
+    table = T.parameters(bundle)
+    by_model = T.score_gold(rows, bundle, ["doc_id"]).select("doc_id", F.col("proba_abandon").alias("p"))
+    both = T.score_by_table(rows, table, "doc_id").join(by_model, "doc_id")
+    checked = both.agg(F.count(F.lit(1)).alias("scored"), F.count_if(F.abs(F.col("p") - F.col("proba_abandon")) > 1e-9).alias("differ"))
+    number = F.col("centre").isNotNull()
+    out = table.join(T.gradient(rows, bundle, "quality", best), "slot").crossJoin(F.broadcast(checked))  # one row of counts
+    return out.select(
+        "slot", F.when(~number, F.col("fill")).alias("text_fill"), F.when(number, r6(F.col("fill").cast("double"))).alias("fill"),
+        r6("centre", 4).alias("centre"), r6("scale", 4).alias("scale"), F.abs(r6("gradient", 3)).alias("gradient"), "scored", "differ",
+    )
+
+
 @query("model_explanations", "M7 M8")
 def model_explanations(t: Tables) -> DataFrame:
     """Exact contributions of a fitted pipeline for every labelled document."""
