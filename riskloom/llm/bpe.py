@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame, types as T
 
 from riskloom.llm.common import WHITE_SPACE, list_array, pieces, texts_of
 
-#: Chunks kept per Python worker, and the longest that is kept.
-KEPT_CHUNKS, KEPT_CHARS = 350_000, 40
+#: Chunks kept per Python worker, and the longest that is kept; rows that are decoded together.
+KEPT_CHUNKS, KEPT_CHARS, DECODED_ROWS = 200_000, 40, 512
 #: Letters without marks of their own, up to 40, and punctuation that ends the chunk.
 _PLAIN = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]{1,40})([.,!?;:]*)")
 _CHUNK = re.compile(f" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+")
@@ -226,11 +226,15 @@ def decode(rows: DataFrame, vocabulary: str, ids: str = "ids", out: str = "decod
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = token_bytes(vocabulary)
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index(ids))
-            made = [b"".join([table[i] for i in x]) if x else b"" for x in _lists(column)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(made, type=pa.binary())], names=[*batch.schema.names, out]
-            )
+            for i in range(0, batch.num_rows, DECODED_ROWS):
+                some = batch.slice(i, DECODED_ROWS)
+                column = some.column(some.schema.get_field_index(ids))
+                made = [b"".join([table[i] for i in x]) if x else b"" for x in _lists(column)]
+                yield pa.RecordBatch.from_arrays(
+                    [*some.columns, pa.array(made, type=pa.binary())], names=[*some.schema.names, out]
+                )
+                del made, column, some
+                pa.default_memory_pool().release_unused()
 
     return rest.mapInArrow(run, schema)
 

@@ -201,14 +201,14 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return digests(table(spark, folder, "documents").select("doc_id", "text"))
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    """Encode and decode documents; digests of the ids and of the decoded bytes."""
+def digests(docs: DataFrame, ids: bool = False) -> DataFrame:
+    """Encode and decode documents; digests of the ids and of the decoded bytes, and the ``ids`` if asked for."""
     path = vocabulary("byte_bpe_50k.json")
     bpe.check_ranks(path, vocabulary("byte_bpe_50k.tiktoken"))
     coded = bpe.decode(bpe.encode(docs, path).drop("text"), path)
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), *(["ids"] if ids else []),
     )
 
 
