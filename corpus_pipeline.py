@@ -1,4 +1,8 @@
-"""From raw documents to token ids: each stage works on all that the one before has kept."""
+"""From raw documents to token ids: each stage works on all that the one before has kept.
+
+Stages judge rows by their own text, so null and repeated ids, null texts, equal rows and further
+columns are like any other; an empty table passes through empty.
+"""
 
 from __future__ import annotations
 
@@ -16,13 +20,16 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose language is rejected; fill in a missing ``lang``."""
+    """Drop documents without a letter and long ones between two languages; fill in a missing ``lang``.
+
+    Texts too short for a margin to say anything stay.
+    """
     found = language.identify(docs, language.fit(docs)).where(~F.col("language.rejected"))
     return found.withColumn("lang", F.coalesce("lang", F.col("language.lang"))).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each class of near duplicates."""
+    """Keep the document with the smallest id of each class of near duplicates (3-word shingles, at most 3 of 64 bits)."""
     return simhash.keep_one(docs)
 
 
@@ -38,8 +45,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of ids and decoded bytes."""
-    return queries.digests(docs.select("doc_id", "text"))
+    """Token ids, with their number and digests of ids and decoded bytes."""
+    return queries.digests(docs.select("doc_id", "text"), ids=True)
 
 
 STAGES = [
