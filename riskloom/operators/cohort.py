@@ -124,17 +124,13 @@ def most_recent(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
 
 
 def top_coverage(df: DataFrame, score: str, id_col: str, k: int, alert: str = "alerte") -> DataFrame:
-    """Alerts within the k highest scores, all alerts, and their ratio."""
-    covered = top(df.select(score, id_col, alert), score, id_col, k).agg(
-        F.coalesce(F.sum(alert), F.lit(0)).cast("long").alias("covered")
-    )
-    return df.agg(
-        F.coalesce(F.sum(alert), F.lit(0)).cast("long").alias("alerts")
-    ).select(
-        covered.scalar().alias("covered"),
-        "alerts",
-        (covered.scalar() / F.nullif(F.col("alerts"), F.lit(0))).alias("coverage"),
-    )
+    """Alerts within the k highest scores, all alerts, and their ratio; ``df`` is computed once."""
+    narrow = R.kept(df.select(score, id_col, alert))
+    alerts = F.coalesce(F.sum(alert), F.lit(0)).cast("long")
+    covered = top(narrow, score, id_col, k).agg(alerts.alias("covered"))
+    # One row on either side.
+    both = narrow.agg(alerts.alias("alerts")).join(F.broadcast(covered))
+    return both.select("covered", "alerts", (F.col("covered") / F.nullif(F.col("alerts"), F.lit(0))).alias("coverage"))
 
 
 def alerts_at(df: DataFrame, score: str, threshold: float) -> DataFrame:

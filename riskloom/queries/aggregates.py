@@ -18,25 +18,30 @@ def _distinct_count(sql: str) -> str:
     return f"SELECT count(*) FROM (SELECT DISTINCT * FROM ({sql}))"
 
 
-_PART_KEYS = "SELECT p_brand, p_type, p_size FROM part"
+# All rows of the table, some of them twice and a few three times.
+_REPEATED = "SELECT * FROM part UNION ALL SELECT * FROM part WHERE p_size > 40 UNION ALL SELECT * FROM part WHERE p_size = 50"
+
+
+def repeated_parts(t: Tables) -> DataFrame:
+    return t.part.unionAll(t.part.where("p_size > 40")).unionAll(t.part.where("p_size = 50"))
 
 
 @query(
     "dup_count", "A2",
-    f"SELECT (SELECT count(*) FROM part) AS n_rows, (SELECT count(*) FROM part) - ({_distinct_count(_PART_KEYS)}) AS duplicates",
+    f"SELECT (SELECT count(*) FROM ({_REPEATED})) AS n_rows, (SELECT count(*) FROM ({_REPEATED})) - ({_distinct_count(_REPEATED)}) AS duplicates",
 )
 def dup_count(t: Tables) -> DataFrame:
-    return Q.duplicate_count(t.part.select("p_brand", "p_type", "p_size"))
+    return Q.duplicate_count(repeated_parts(t))
 
 
 @query(
     "quality_report", "A1",
-    f"""SELECT (SELECT count(*) FROM part) AS rows_raw, (SELECT count(*) FROM part) - ({_distinct_count(_PART_KEYS)}) AS duplicates_raw,
+    f"""SELECT (SELECT count(*) FROM ({_REPEATED})) AS rows_raw, (SELECT count(*) FROM ({_REPEATED})) - ({_distinct_count(_REPEATED)}) AS duplicates_raw,
     count(*) AS rows_after_cleaning, round(avg(CAST(d.p_size > 25 AS INT)), 6) AS target_rate, round(avg(CAST(b.n IS NOT NULL AS INT)), 6) AS join_coverage, 2 AS feature_count
-    FROM (SELECT DISTINCT p_brand, p_type, p_size FROM part) d LEFT JOIN (SELECT p_brand, count(*) AS n FROM part WHERE p_brand <> 'Brand#7' GROUP BY 1) b ON d.p_brand = b.p_brand""",
+    FROM (SELECT DISTINCT * FROM ({_REPEATED})) d LEFT JOIN (SELECT p_brand, count(*) AS n FROM part WHERE p_brand <> 'Brand#7' GROUP BY 1) b ON d.p_brand = b.p_brand""",
 )
 def quality_report(t: Tables) -> DataFrame:
-    raw = t.part.select("p_brand", "p_type", "p_size")
+    raw = repeated_parts(t)
     dims = t.part.where("p_brand <> 'Brand#7'").groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"))
     prepared = raw.dropDuplicates().join(dims, "p_brand", "left").withColumn("big", (F.col("p_size") > 25).cast("int"))
     report = Q.quality_report(raw, prepared, ["n"], "big", 2)

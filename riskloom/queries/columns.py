@@ -118,8 +118,7 @@ FROM orders"""
     "lower(trim(etablissement_origine)) AS etablissement_origine FROM b",
 )
 def clean_dedupe(t: Tables) -> DataFrame:
-    t.orders.createOrReplaceTempView("orders")
-    raw = t.spark.sql(_RAW_ORDERS)
+    raw = t.spark.sql(_RAW_ORDERS.replace("FROM orders", "FROM {orders}"), orders=t.orders)
     return CL.clean(raw.unionByName(raw))
 
 

@@ -467,3 +467,40 @@ def score_rejects(t: Tables) -> DataFrame:
         F.get_json_object(F.substring(F.col("record"), F.lit(2), F.length("record")), "$.student_id").alias("student_id"), F.lit("rejected").alias("verdict"),
     )
     return scored.unionByName(lost, allowMissingColumns=True)
+
+
+@query(
+    "interrupted_cycles", "D10 D11 D8 D9 S10 M13 M14",
+    f"""WITH {PSI_SQL}, dd AS (SELECT CASE WHEN count(*) FILTER (status = 'alert') > 0 THEN 'alert' WHEN count(*) FILTER (status = 'watch') > 0 THEN 'watch' ELSE 'ok' END AS status FROM features),
+    vv AS (SELECT status, status = 'alert' AS fires FROM dd)
+    SELECT 'monitoring' AS job, 1 AS position, 'report' AS step, status AS outcome, 1 AS n FROM vv
+    UNION ALL SELECT 'monitoring', 2, 'store_report', 'b1', 1 FROM vv UNION ALL SELECT 'monitoring', 3, 'alert', CASE WHEN fires THEN 'true' ELSE 'false' END, 1 FROM vv
+    UNION ALL SELECT 'monitoring', 4, 'notify', NULL, 1 FROM vv UNION ALL SELECT 'monitoring', 9, 'job_run', 'succeeded', 1 FROM vv
+    UNION ALL SELECT 'monitoring', 9, 'gold_drift_report', status, 1 FROM vv UNION ALL SELECT 'monitoring', 9, 'alert_state', 'drift', 1 FROM vv WHERE fires
+    UNION ALL SELECT 'retraining', 1, 'decide', 'monitor', 1 FROM vv UNION ALL SELECT 'retraining', 9, 'job_run', 'succeeded', 1 FROM vv""",
+)
+def interrupted_cycles(t: Tables) -> DataFrame:
+    """Both cycles cut off behind each step and started again: every step and every effect is there once."""
+    store = new_store(t)
+    store.write_manifest("b1", "lineitem", {})
+    ref, cur = (side.select(*[c for c in DRIFT_COLUMNS if c in side.columns]) for side in drift_sides(t))
+    report, at = scratch_path(t.spark, "report"), datetime(2024, 1, 8, 6, tzinfo=timezone.utc)
+
+    def resumed(steps, run) -> None:
+        for step in [*steps, None, None]:
+            try:
+                run(step)
+            except MO.Interrupted:
+                continue
+
+    resumed(["report", "store_report", "alert", "notify"], lambda s: MO.monitoring_cycle(store, ref, cur, report, at, batch_id="b1", stop_after=s))
+    # A fresh model and no drift in the same report's own terms: the decision ends the job.
+    calm = scratch_path(t.spark, "report")
+    FS.write_report(*MO.drift_report(ref, ref), calm)
+    resumed(["decide"], lambda s: MO.retraining_cycle(store, ref, ref, calm, scratch_path(t.spark, "bundle"), at.date(), True, now=at, stop_after=s))
+    found = lambda *names: F.coalesce(*[F.get_json_object("result_json", f"$.{n}") for n in names])
+    steps = store.read("job_step").select("job", "position", "step", found("should_alert", "action", "batch_id", "status").alias("outcome"))
+    effects = store.read("job_run").select("job", F.lit(9).alias("position"), F.lit("job_run").alias("step"), F.col("status").alias("outcome"))
+    for name, outcome in (("gold_drift_report", "status"), ("alert_state", "subject")):
+        effects = effects.unionByName(store.read(name).select(F.lit("monitoring").alias("job"), F.lit(9).alias("position"), F.lit(name).alias("step"), F.col(outcome).alias("outcome")))
+    return steps.unionByName(effects).groupBy("job", "position", "step", "outcome").agg(F.count(F.lit(1)).cast("int").alias("n"))

@@ -72,6 +72,7 @@ TABLES = {
     ),
     "training_run": "run_id string, key string, value string, logged_at timestamp",
     "job_run": "job string, day date, status string, result_json string, finished_at timestamp",
+    "job_step": "job string, day date, step string, position int, result_json string, finished_at timestamp",
     "alert_state": (
         "subject string, triggered_at timestamp, resolved_at timestamp, written_at timestamp"
     ),

@@ -212,6 +212,39 @@ def test_monitoring_cycle_alerts_once(spark, store, cohort, tmp_path):
     assert summary.first()["status"] == "alert" and features.count() == summary.first()["features_checked"]
 
 
+def test_cycles_go_on_behind_each_step(spark, store, cohort, big_cohort, catalogue, tmp_path):
+    """Every run is cut off behind one step; effects are there once and the results are those of one run."""
+    shifted = cohort.withColumn("age", F.col("age") + 30)
+    told, at = [], dt.datetime(2024, 3, 1, 6, tzinfo=UTC)
+    store.write_manifest("b1", "x", {})
+    for step in ("report", "store_report", "alert", "notify"):
+        with pytest.raises(MO.Interrupted):
+            MO.monitoring_cycle(store, cohort, shifted, str(tmp_path / "m"), at, batch_id="b1", notify=told.append, stop_after=step)
+    done = MO.monitoring_cycle(store, cohort, shifted, str(tmp_path / "m"), at, batch_id="b1", notify=told.append)
+    assert done["alert"]["should_alert"] and len(told) == 1
+    assert [store.read(x).count() for x in ("gold_drift_report", "alert_state", "job_run")] == [1, 1, 1]
+    # An alert step that was cut off between its effect and its journal row decides the same again.
+    store.append_row("alert_state", subject="again", triggered_at=at, resolved_at=None, written_at=at)
+    again = MO.monitoring_cycle(store, cohort, shifted, str(tmp_path / "n"), at + dt.timedelta(days=9), subject="drift")
+    assert again["alert"]["should_alert"]
+    assert MO.last_alert(store, "again", at).isEmpty()
+
+    def retrain(stop=None):
+        return MO.retraining_cycle(
+            store, big_cohort, catalogue, str(tmp_path / "m"), str(tmp_path / "bundle"), dt.date(2020, 1, 1), True,
+            now=at, notify=told.append, c_grid=(0.1,), folds=1, stop_after=stop,
+        )
+
+    for step in ("decide", "train", "log", "register", "notify"):
+        with pytest.raises(MO.Interrupted):
+            retrain(step)
+    assert retrain()["candidate_version"] == 1 and len(told) == 2
+    registry = Registry(store, "cohort-risk")
+    assert registry.versions().count() == 1 and registry.moves().count() == 1 and store.read("training_run").select("run_id").distinct().count() == 1
+    row = registry.versions().first()
+    assert registry.register({}, "elsewhere", row["run_id"]) == 1 and registry.versions().count() == 1
+
+
 def test_retraining_cycle(spark, store, cohort, big_cohort, catalogue, tmp_path):
     report = str(tmp_path / "r")
     features, summary = MO.drift_report(cohort, cohort)
