@@ -13,7 +13,7 @@ import json
 import os
 import re
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -25,8 +25,12 @@ from riskloom.llm.common import WHITE_SPACE, list_array, pieces, texts_of
 
 #: Chunks kept per Python worker, and the longest that is kept; rows that are decoded together.
 KEPT_CHUNKS, KEPT_CHARS, DECODED_ROWS = 200_000, 40, 512
+#: Words kept as Arrow columns.
+KEPT_WORDS = 1_500_000
 #: Letters without marks of their own, up to 40, and punctuation that ends the chunk.
 _PLAIN = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]{1,40})([.,!?;:]*)")
+#: The same punctuation where white space or the end follows, for the regular expressions of Arrow.
+_TAIL = r"([A-Za-zÀ-ÖØ-öø-ÿ])([.,!?;:]+)(\s|$)"
 _CHUNK = re.compile(f" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+")
 
 
@@ -48,6 +52,7 @@ class ChunkEncoder:
         # Strings that look like special tokens are ordinary text.
         self.tokenizer.encode_special_tokens = True
         self.chunk, self.fold, self.known = chunk, fold, {}
+        self.words = Words(KEPT_WORDS)
         words = self.tokenizer.get_vocab(with_added_tokens=False)
         self.edge = np.zeros(max(words.values(), default=-1) + 1, bool)
         for word, i in words.items():
@@ -120,21 +125,52 @@ class ChunkEncoder:
         if pc.any(pc.match_substring_regex(column, "[\x1c-\x1f]")).as_py():  # Arrow's white space, but not the vocabulary's
             found = self.encode([x.as_py() for x in column])
             return np.frombuffer(b"".join(found), "<u4"), np.array([len(b) // 4 for b in found], np.int64)
-        split = pc.utf8_split_whitespace(pc.ascii_lower(column) if self.fold else column)
-        coded = split.values.slice(split.offsets[0].as_py(), split.offsets[-1].as_py() - split.offsets[0].as_py()).dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        known, rest = self._learn(set(words) - {""})
-        ids = [known[w] if w else b"" for w in words]
-        self._forget(known, rest)
-        flat, length = np.frombuffer(b"".join(ids), "<u4"), np.array([len(b) // 4 for b in ids], np.int64)
-        number = coded.indices.to_numpy(zero_copy_only=False)
-        each = length[number] if len(number) else np.zeros(0, np.int64)
+        # Punctuation behind a word is a piece of its own for such vocabularies; apart, both are fewer.
+        split = pc.utf8_split_whitespace(pc.replace_substring_regex(column, _TAIL, r"\1 \2\3"))
+        first, last = split.offsets[0].as_py(), split.offsets[-1].as_py()
+        coded = split.values.slice(first, last - first).dictionary_encode()
+        place = self.words.places(coded.dictionary, self._ids_of)[coded.indices.to_numpy(zero_copy_only=False)]
+        each = self.words.length[place]
         ends = np.concatenate([[0], np.cumsum(each)])
-        begin = np.cumsum(length) - length
         # Position of every id: its word's begin plus its place in the word.
-        place = np.arange(ends[-1]) + np.repeat(begin[number] - ends[:-1], each) if len(number) else np.zeros(0, np.int64)
-        bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
-        return flat[place], np.diff(ends[bounds])
+        at = np.arange(ends[-1]) + np.repeat(self.words.begin[place] - ends[:-1], each)
+        return self.words.flat[at], np.diff(ends[split.offsets.to_numpy() - first])
+
+    def _ids_of(self, chunks: list[str]) -> list[bytes]:
+        self.known = {}
+        known, _ = self._learn(set(chunks) - {""})
+        self.known = {}
+        return [known[c] if c else b"" for c in chunks]
+
+
+class Words:
+    """Ids of the words met so far, as columns: the words, where their ids begin and how many they are."""
+
+    def __init__(self, kept: int):
+        self.kept = kept
+        self.clear()
+
+    def clear(self) -> None:
+        self.words = pa.array([], pa.large_string())
+        self.begin, self.length, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def places(self, words: pa.Array, ids_of: Callable[[list[str]], list[bytes]]) -> np.ndarray:
+        """The place of each of the different ``words``; only new ones become Python strings."""
+        place = pc.index_in(words, value_set=self.words)
+        fresh = words.filter(pc.is_null(place))
+        if len(self.words) + len(fresh) > self.kept and len(self.words):
+            self.clear()
+            return self.places(words, ids_of)
+        found = place.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        if len(fresh):
+            ids = ids_of(fresh.to_pylist())
+            length = np.array([len(b) // 4 for b in ids], np.int64)
+            found[found < 0] = len(self.words) + np.arange(len(fresh))
+            self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(length) - length])
+            self.length = np.concatenate([self.length, length])
+            self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(ids), "<u4")])
+            self.words = pa.concat_arrays([self.words, fresh])
+        return found
 
 
 @lru_cache(maxsize=4)
