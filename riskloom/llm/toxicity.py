@@ -244,15 +244,18 @@ def fit(
     """
     ids = labelled.where(F.col(label).isin(0, 1)).select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label")).distinct()
     short = docs.where(F.length(text) <= max_chars).select(F.col(doc_id).alias("doc_id"))
-    place = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = ids.join(short, "doc_id", "left_semi").withColumn("place", place).where(F.col("place") <= texts_per_label).select("doc_id", "label")
+    chosen = ids.join(short, "doc_id", "left_semi")
+    # Of each bucket first, then of each label: a task's input doesn't grow with the number of tasks.
+    for keys in (["label", F.pmod(F.xxhash64("doc_id"), F.lit(64))], ["label"]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64("doc_id"), "doc_id"))
+        chosen = chosen.withColumn("place", place).where(F.col("place") <= texts_per_label).select("doc_id", "label")
     found = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(F.length("text") <= max_chars)
     rows = found.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")).orderBy("doc_id", "label").collect()
     return train([r["text"] for r in rows], [r["label"] for r in rows], **settings)
 
 
 def scored(model: ToxicityModel, text: str | Column = "text") -> Column:
-    """Probability of label 1 of a text column. Null, empty and letterless texts get the lowest."""
+    """Probability of label 1 of a text column (an extra column of the result's name is replaced by ``score``). Null, empty and letterless texts get the lowest."""
     sent = SparkSession.active().sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
