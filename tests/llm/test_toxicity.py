@@ -75,3 +75,29 @@ def test_held_out(spark):
     got = queries.toxicity_score(spark, folder).join(queries.table(spark, folder, "labels"), "doc_id").where("held_out")
     share = got.agg(F.avg((F.col("predicted") == F.col("toxic")).cast("int")).alias("right")).first()["right"]
     assert share > 0.85
+
+
+def test_folded_decision_equals_the_sum_over_landmarks():
+    """One table lookup per letter and gap pattern against kernels with every landmark, subsequence by subsequence."""
+    from itertools import combinations
+
+    rng, decay, reach, window = np.random.RandomState(3), 0.7, 6, 14
+    marks = toxicity._features([toxicity.letters(t) for t in ("you blorgit now", "an ing then re", "swinzak st", "the ed on é")], decay, reach)
+    beta = rng.normal(size=len(marks))
+    table = np.zeros(toxicity._SIZE)
+    for b, (keys, values) in zip(beta, marks):
+        table[keys] += b * values
+    model = toxicity.ToxicityModel(table.astype(np.float32), 1.0, 0.0, decay, reach, window)
+    for text in ("the blorgit ed on swiinzak at", "a", "b.l.o.r.g.i.t é x", "on an ing then re st er the ed"):
+        codes = toxicity.letters(text)
+        known = [dict(zip(keys.tolist(), values.tolist())) for keys, values in marks]
+        begun = []
+        for i in range(len(codes)):
+            kernels = np.zeros(len(marks))
+            for gaps in combinations(range(1, reach), 3):
+                digits = [int(codes[i + g]) if i + g < len(codes) else 0 for g in (0, *gaps)]
+                key = ((digits[0] * 32 + digits[1]) * 32 + digits[2]) * 32 + digits[3]
+                kernels += [decay ** (gaps[-1] + 1) * k.get(key, 0.0) for k in known]
+            begun.append(float(beta @ kernels))
+        want = max(sum(begun[s : s + window]) for s in range(len(codes)))
+        assert toxicity.best_window(codes, model) == pytest.approx(want, abs=1e-4)
