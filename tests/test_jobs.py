@@ -374,7 +374,9 @@ def test_ingest_and_score_streams(spark, store, trained, cohort, tmp_path):
     J.score_stream(
         J.record_stream(spark, str(folder), dict(p.split(" ") for p in typed.split(", "))), trained.bundle, out, str(tmp_path / "s2"), ["student_id"]
     )
-    got = {r["student_id"]: r["proba_abandon"] for r in spark.read.parquet(out).collect()}
+    got = {r["student_id"]: r["proba_abandon"] for r in J.answers(spark, out).collect()}
+    assert [(r["record"], r["reason"]) for r in J.answers(spark, out, "rejects").collect()] == [("{broken", "unreadable record")]
+    assert J.commits(spark, out).agg(F.sum("scored"), F.sum("rejected")).first() == (12, 1)
     want = {r["student_id"]: r["proba_abandon"] for r in T.score(cohort, trained.bundle, ["student_id"]).collect()}
     assert got == pytest.approx(want)
 
