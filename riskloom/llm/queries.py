@@ -90,7 +90,7 @@ def _op2_sql() -> str:
     return f"""
 WITH docs AS (SELECT doc_id, source, lang, coalesce(text, '') AS text FROM documents),
 spans AS (SELECT doc_id, source, lang, {columns} FROM docs),
-mixed AS (SELECT doc_id, source, lang, unnest(list_filter(s_mixed, lambda s: regexp_matches(s.value, '{secrets.RANDOM}') AND NOT regexp_matches(s.value, '{secrets.UUID}'))) AS s FROM spans),
+mixed AS (SELECT doc_id, source, lang, unnest(list_filter(s_mixed, lambda s: regexp_matches(s.value, '{secrets.DIGIT}') AND regexp_matches(s.value, '{secrets.LETTER}'))) AS s FROM spans),
 held AS (SELECT s.value AS value, count(DISTINCT coalesce(source, '?')) AS owners, count(DISTINCT concat_ws('/', source, lang)) AS repositories FROM mixed GROUP BY ALL),
 marks AS (SELECT m.doc_id, count(*) AS n_candidates, count(*) FILTER (owners > 1) AS n_copied, count(*) FILTER (owners = 1 AND repositories > 1) AS n_shared,
   list({{'start': CAST(m.s.start AS BIGINT), 'kind': {len(secrets.BASE)}, 'stop': CAST(m.s.stop AS BIGINT)}}) FILTER (owners = 1) AS owned
@@ -109,7 +109,7 @@ def repository() -> Column:
 
 @query("op2_secret_scan", _op2_sql())
 def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
-    found = secrets.scan(table(spark, folder, "documents"), repository=repository(), owner="source")
+    found = secrets.scan(table(spark, folder, "documents"), repository=repository(), owner="source", candidates=secrets.mixed)
     count = lambda name: F.size(F.filter("base", lambda s: s["kind"] == secrets.KINDS.index(name))).cast("long").alias(f"n_{name}")
     return found.select(
         "doc_id", count("assign"), count("access"), count("hex"), F.sha2(secrets.rendered(F.col("base")), 256).alias("base_sha256"),

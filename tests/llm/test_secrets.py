@@ -80,6 +80,14 @@ def test_words_and_paths_are_no_candidates(spark):
     assert all(masked[i] == plain[i] for i in (0, 1, 2, 3, 4))
 
 
+def test_query_judges_every_long_token_with_letters_and_digits(spark, tmp_path):
+    plain = ["123e4567-e89b-12d3-a456-426614174000", "/usr/local/lib/python3/site-packages/foo", "release-2024-05-17-candidate-3", "z" * 30]
+    helpers.docs(spark, plain).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in queries.QUERIES["op2_secret_scan"](spark, str(tmp_path)).collect()}
+    assert [got[i]["n_candidates"] for i in range(4)] == [1, 1, 1, 0]
+    assert [got[i]["spans"] for i in range(4)] == [*[f"owned:0:{len(t)}" for t in plain[:3]], ""]
+
+
 def test_one_owner_in_several_repositories(spark):
     value = "Zk3" + "q7" * 12
     rows = [(1, f"a {value}", "o1", "en"), (2, f"b {value}", "o1", "de"), (3, f"c {value}x", "o1", "en")]
