@@ -28,6 +28,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from riskloom.llm.common import pieces, texts_of
 
+#: Bytes of text that are searched at once; the walks of one piece take about 50 MB.
+PIECE_BYTES = 1 << 20
 _SEPARATORS = bytes(
     c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or 48 <= c <= 57 or c >= 128 else 32 for c in range(256)
 )
@@ -268,7 +270,7 @@ def contaminated(
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             ready, shape = Items(*sent.value, walks), None
-            for batch in pieces(batches, "text", 4 << 20):
+            for batch in pieces(batches, "text", PIECE_BYTES):
                 shape = shape or to_arrow_schema(schema)
                 found = matches([words_of(t) for t in texts_of(batch, "text")], ready)
                 ids = batch.column(0).take(pa.array([d for d, *_ in found], pa.int64()))
@@ -298,7 +300,7 @@ def clean(
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             ready = Items(*sent.value, walks)
-            for batch in pieces(batches, text, 4 << 20):
+            for batch in pieces(batches, text, PIECE_BYTES):
                 dirty = np.zeros(batch.num_rows, bool)
                 dirty[[d for d, *_ in matches([words_of(t) for t in texts_of(batch, text)], ready)]] = True
                 yield batch.filter(pa.array(~dirty)) if dirty.any() else batch

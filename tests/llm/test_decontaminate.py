@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 
 from riskloom.llm import decontaminate as D
+from riskloom.llm.common import pieces
 from tests.llm import helpers
 
 
@@ -121,3 +125,14 @@ def test_rows_are_judged_by_their_own_text(spark):
         assert kept.columns == frame.columns and {(r["doc_id"], r["text"]) for r in kept.collect()} == {(None, "clean"), ("7", "also clean"), ("8", None)}
         found = D.contaminated(frame, items, **options)
         assert sorted((str(r["doc_id"]), r["item_id"]) for r in found.collect()) == [("7", "first"), ("None", "first")]
+
+
+def test_memory_of_a_piece():
+    items = D.Items([1], ["one two three four five six seven eight nine ten"], D.Walks())
+    batch = pa.record_batch([pa.array(["lorem ipsum dolor sit amet " * 80] * 2000)], names=["text"])
+    tracemalloc.start()
+    for piece in pieces([batch], "text", D.PIECE_BYTES):
+        assert not D.matches([D.words_of(t) for t in piece.column(0).to_pylist()], items)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20

@@ -47,3 +47,14 @@ def test_stages_take_awkward_rows(spark):
         if name != "byte_bpe":
             assert made.columns == corpus_pipeline.COLUMNS
         assert stage(spark, docs.limit(0), FOLDER).count() == 0
+
+
+def test_texts_cross_to_python_some_rows_at_a_time(spark):
+    before = spark.conf.get(corpus_pipeline.BATCH_SETTING)
+    docs = helpers.docs(spark, ["one two three"] * 2500)
+    try:
+        corpus_pipeline.decontamination(spark, docs, FOLDER)
+        sizes = docs.coalesce(1).select("text").mapInArrow(lambda batches: (b.slice(0, 1) for b in batches if b.num_rows > 1000), "text string")
+        assert sizes.count() == 0
+    finally:
+        spark.conf.set(corpus_pipeline.BATCH_SETTING, before)
