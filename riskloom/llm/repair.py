@@ -31,27 +31,29 @@ _DOC = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("symbol", "<u8"), ("start"
 
 
 def _frequent(
-    keys: np.ndarray, usable: np.ndarray, least: int, turn: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs that occur ``least`` times or more; for each position the place of its pair there and its count.
+    keys: np.ndarray, usable: np.ndarray | slice, least: int, turn: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs that occur ``least`` times or more; for each usable key the place of its pair there, its count and whether it may have one.
 
     Pairs are looked up in a table with one pair per hash bucket, the most frequent one; the
-    others of the bucket wait for a turn with another hash. The count is 0 where none is found.
+    others of the bucket wait for a turn with another hash. The count is 0 where none is found; a key
+    in a bucket without pairs is not frequent.
     """
-    ordered = np.sort(keys[usable])
+    keys = keys[usable]
+    ordered = np.sort(keys)
     starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
     counts = np.diff(np.append(starts, len(ordered)))
     often = counts >= least
     pairs, counts = ordered[starts[often]], counts[often]
     if not len(pairs):
-        return pairs, np.zeros(len(keys), np.int32), np.zeros(len(keys), np.int64)
+        return pairs, np.zeros(len(keys), np.int32), np.zeros(len(keys), np.int32), np.zeros(len(keys), bool)
     by_count = np.argsort(counts, kind="stable")
-    pairs, counts = pairs[by_count], counts[by_count]
+    pairs, counts = pairs[by_count], counts[by_count].astype(np.int32)
     factor, shift = np.uint64(0x9E3779B97F4A7C15 + 2 * turn), np.uint64(47)
-    table = np.zeros(1 << 17, np.int32)
+    table = np.full(1 << 17, -1, np.int32)
     table[(pairs * factor) >> shift] = np.arange(len(pairs))
     place = table[(keys * factor) >> shift]
-    return pairs, place, np.where((pairs[place] == keys) & usable, counts[place], 0)
+    return pairs, place, np.where((pairs[place] == keys) & (place >= 0), counts[place], 0), place >= 0
 
 
 def compress(
@@ -61,28 +63,41 @@ def compress(
 
     In each round every frequent pair that is not beaten by an overlapping neighbour (by count)
     is replaced, from left to right where counts are equal. Rounds end when no pair has ``least`` uses.
+    Old pairs only lose uses and new ones hold a new symbol, so a round looks at the positions that were
+    frequent in the round before and at those beside a new symbol.
     """
     symbols, rules, made = ids.astype(np.uint32), [], 0
+    live = np.ones(max(len(symbols) - 1, 0), bool)
     while len(symbols) > 1:
         left, right = symbols[:-1], symbols[1:]
-        keys = (left.astype(np.uint64) << np.uint64(32)) | right
-        pairs, place, uses = _frequent(keys, (left != end) & (right != end), least, len(rules))
+        at = np.flatnonzero(live & (left != end) & (right != end))
+        keys = (left[at].astype(np.uint64) << np.uint64(32)) | right[at]
+        pairs, place, uses, hopeful = _frequent(keys, slice(None), least, len(rules))
         if not len(pairs):
             break
-        best = uses > 0
-        best[1:] &= uses[1:] >= uses[:-1]
-        best[:-1] &= uses[:-1] >= uses[1:]
-        chosen = _apart(np.flatnonzero(best))
+        # Frequent positions, each with its neighbours' counts (0 where they are not frequent).
+        known = uses > 0
+        spot, place, uses = at[known], place[known], uses[known]
+        near = np.diff(spot) == 1
+        best = np.ones(len(spot), bool)
+        best[1:] &= ~near | (uses[1:] >= uses[:-1])
+        best[:-1] &= ~near | (uses[:-1] >= uses[1:])
+        chosen = _apart(spot[best])
+        place = place[np.searchsorted(spot, chosen)]
         used = np.zeros(len(pairs), bool)
-        used[place[chosen]] = True
+        used[place] = True
         number = np.cumsum(used) - 1
         new = pairs[used]
         rules.append(np.stack([new >> np.uint64(32), new & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
         symbols = symbols.copy()
-        symbols[chosen] = (first + made + number[place[chosen]]).astype(np.uint32)
+        symbols[chosen] = (first + made + number[place]).astype(np.uint32)
+        live = np.zeros(len(symbols), bool)
+        live[at[hopeful]] = True
+        live[chosen] = True
+        live[np.maximum(chosen - 1, 0)] = True
         keep = np.ones(len(symbols), bool)
         keep[chosen + 1] = False
-        symbols, made = symbols[keep], made + len(new)
+        symbols, live, made = symbols[keep], live[keep][:-1], made + len(new)
     return (np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)), symbols
 
 

@@ -155,3 +155,12 @@ def test_grammar(seed):
     inner = (shard.symbols[:-1] != 2) & (shard.symbols[1:] != 2)
     keys = (shard.symbols[:-1].astype(np.uint64) << np.uint64(32)) | shard.symbols[1:]
     assert len(repair._frequent(keys, inner, repair.LEAST_USES, 0)[0]) == 0
+
+
+def test_rounds_look_at_live_positions_only(monkeypatch):
+    looked, frequent = [], repair._frequent
+    monkeypatch.setattr(repair, "_frequent", lambda keys, *rest: looked.append(len(keys)) or frequent(keys, *rest))
+    ids = np.concatenate([np.arange(10, 5010), np.tile([3, 4, 5, 6], 40)])
+    rules, symbols = repair.compress(ids, 10_000, 2)
+    assert np.array_equal(repair.expand(symbols, rules, 10_000), ids)
+    assert len(looked) > 2 and max(looked[1:]) < 500
