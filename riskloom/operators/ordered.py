@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from riskloom.session import ensure_checkpoint_dir
+from riskloom.session import ensure_checkpoint_dir, scratch_path
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
@@ -31,6 +31,19 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str = "rows", spread: bool = False) -> DataFrame:
+    """Written to the shared folder as columns and read back: passes over a few columns read only those.
+
+    Columns without a type become texts, which files can hold. ``spread``: dealt over all cores, for
+    rows that are read many times; large files are cut further when read.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df = df.repartition(df.sparkSession.sparkContext.defaultParallelism) if spread else df
+    df = df.withColumns({c: F.col(c).cast("string") for c, kind in df.dtypes if kind == "void"})
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def sized(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Store a join side and mark it for broadcast only when its measured size allows it.
 

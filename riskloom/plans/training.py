@@ -31,8 +31,8 @@ from riskloom.operators import (
 )
 from riskloom.operators.lineage import traced
 
-#: Fits of one fold that run side by side.
-FITS_AT_ONCE = 4
+#: Folds that are fitted side by side.
+FOLDS_AT_ONCE = 5
 FEATURES = "features"
 
 
@@ -169,35 +169,40 @@ def fit_logistic(
     """(model, best C, mean validation AUC) of a balanced L2 logistic regression.
 
     ``regParam`` is 1/(C n) with the n of the rows fitted: the loss is averaged here and summed in
-    the usual C form. Preprocessing is fitted anew in every fold.
+    the usual C form. Preprocessing is fitted anew in every fold. The columns in use are stored once,
+    so no later pass repeats what made them; a fold's vectors stay in memory (or spill) for its fits.
     """
-    rows = S.stratified_folds(S.with_class_weights(train, label, "_weight"), label, key, folds, seed, "_fold")
-    rows = R.kept(rows.withColumn("_label", F.col(label).cast("double")))
+    used = R.stored(train.select(*dict.fromkeys([*features, label, key])))
+    rows = S.stratified_folds(S.with_class_weights(used, label, "_weight"), label, key, folds, seed, "_fold")
+    rows = R.stored(rows.withColumn("_label", F.col(label).cast("double")), spread=True)
     lr = LogisticRegression(
         featuresCol=FEATURES, labelCol="_label", weightCol="_weight", maxIter=200,
         standardization=False, elasticNetParam=0.0,
     )
     auc = BinaryClassificationEvaluator(labelCol="_label", metricName="areaUnderROC", numBins=0)
-    found: dict[float, list[float]] = {c: [] for c in c_grid}
-    for fold in range(folds) if folds > 1 else ():
+
+    def validated(fold: int) -> list[float]:
         # Fills, scales and value lists come from the fold's own training rows.
         inner = rows.where(F.col("_fold") != fold)
         prepared = Pipeline(stages=preprocessing_stages(inner, features)).fit(inner)
         columns = [FEATURES, "_label", "_weight"]
-        inner = R.kept(prepared.transform(inner).select(columns))
-        held = R.kept(prepared.transform(rows.where(F.col("_fold") == fold)).select(columns))
+        inner = prepared.transform(inner).select(columns).persist()
+        held = prepared.transform(rows.where(F.col("_fold") == fold)).select(columns).persist()
         n = inner.count()
-        fits = lr.fitMultiple(inner, [{lr.regParam: 1.0 / (c * n)} for c in c_grid])
-
-        def one(_: int, fits=fits, held=held) -> tuple[int, float]:
-            place, model = next(fits)
-            return place, auc.evaluate(model.transform(held))
-
-        # The fits of a fold share its rows and run side by side; each is a chain of small jobs.
-        with ThreadPool(min(len(c_grid), FITS_AT_ONCE)) as pool:
-            for place, value in pool.map(inheritable_thread_target(rows.sparkSession)(one), range(len(c_grid))):
-                found[c_grid[place]].append(value)
-    means = {c: sum(v) / len(v) if v else float("nan") for c, v in found.items()}
+        out = [0.0] * len(c_grid)
+        for place, model in lr.fitMultiple(inner, [{lr.regParam: 1.0 / (c * n)} for c in c_grid]):
+            # The measure needs the raw score only.
+            out[place] = auc.evaluate(model.setProbabilityCol("").setPredictionCol("").transform(held))
+        inner.unpersist()
+        held.unpersist()
+        return out
+
+    # Folds run side by side; each is a chain of small jobs.
+    found: list[list[float]] = []
+    if folds > 1:
+        with ThreadPool(min(folds, FOLDS_AT_ONCE)) as pool:
+            found = pool.map(inheritable_thread_target(rows.sparkSession)(validated), range(folds), chunksize=1)
+    means = {c: sum(v) / len(v) if v else float("nan") for c, v in zip(c_grid, zip(*found) if found else [()] * len(c_grid))}
     best = max(c_grid, key=lambda c: means[c]) if folds > 1 else c_grid[0]
     stages = [*preprocessing_stages(rows, features), lr.setRegParam(1.0 / (best * rows.count()))]
     return Pipeline(stages=stages).fit(rows), best, means[best]

@@ -399,3 +399,18 @@ def test_csv_quotes_breaks_and_header_order(spark, tmp_path):
 
     written = [r for f in glob.glob(str(tmp_path / "out" / "*.csv")) for r in csv.DictReader(open(f, encoding="utf-8", newline=""))]
     assert sorted(r["note"] for r in written) == sorted(g[1] for g in got)
+
+
+def test_a_fit_reads_its_input_once(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    made = spark.range(400).selectExpr("concat('k', id) AS k", "CAST(id % 7 AS double) AS x", "concat('t', id % 3) AS w", "CAST(id % 7 + id % 5 > 5 AS int) AS y")
+    rows = made.mapInArrow(counted, "k string, x double, w string, y int")
+    model, best, auc = T.fit_logistic(rows, ["x", "w"], "y", "k", c_grid=(0.1, 1.0), folds=2)
+    assert read.value == 400 and best in (0.1, 1.0) and 0.8 < auc <= 1
+    assert model.transform(rows).where("probability IS NULL").count() == 0
