@@ -29,8 +29,11 @@ KEPT_CHUNKS, KEPT_CHARS, DECODED_ROWS = 200_000, 40, 512
 KEPT_WORDS = 1_500_000
 #: Letters without marks of their own, up to 40, and punctuation that ends the chunk.
 _PLAIN = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]{1,40})([.,!?;:]*)")
-#: The same punctuation where white space or the end follows, for the regular expressions of Arrow.
-_TAIL = r"([A-Za-zÀ-ÖØ-öø-ÿ])([.,!?;:]+)(\s|$)"
+#: For the regular expressions of Arrow: words of letters; a letter, ASCII punctuation but ``'``, then white space or the end.
+_LETTERS = "^[A-Za-zÀ-ÖØ-öø-ÿ]{1,40}$"
+_TAIL = r"([A-Za-zÀ-ÖØ-öø-ÿ])([!-&(-/:-@\[-`{-~]+)(\s|$)"
+#: Words of letters that go to the library in one text.
+JOINED_WORDS = 256
 _CHUNK = re.compile(f" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+")
 
 
@@ -117,30 +120,65 @@ class ChunkEncoder:
     def encode_words(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a column in a row, and the number of each text's; for vocabularies that drop white space.
 
-        Arrow splits the texts and numbers their different words; only those become Python
-        strings, and their ids are gathered by number.
+        Arrow splits the texts and numbers their different words; the library sees only those not
+        met before, and ids are gathered by number.
         """
         # A copy whose buffers begin with the first text: kernels misread slices of other buffers.
         column = pc.fill_null(column.cast(pa.large_string()), "").take(pa.array(np.arange(len(column))))
         if pc.any(pc.match_substring_regex(column, "[\x1c-\x1f]")).as_py():  # Arrow's white space, but not the vocabulary's
             found = self.encode([x.as_py() for x in column])
             return np.frombuffer(b"".join(found), "<u4"), np.array([len(b) // 4 for b in found], np.int64)
-        # Punctuation behind a word is a piece of its own for such vocabularies; apart, both are fewer.
+        # Punctuation behind a letter is a piece of its own for such vocabularies; apart, both are fewer.
         split = pc.utf8_split_whitespace(pc.replace_substring_regex(column, _TAIL, r"\1 \2\3"))
         first, last = split.offsets[0].as_py(), split.offsets[-1].as_py()
         coded = split.values.slice(first, last - first).dictionary_encode()
-        place = self.words.places(coded.dictionary, self._ids_of)[coded.indices.to_numpy(zero_copy_only=False)]
+        # Words of letters that differ in case only are one.
+        cased = coded.dictionary
+        words = pc.if_else(pc.match_substring_regex(cased, _LETTERS), pc.utf8_lower(cased), cased).dictionary_encode()
+        place = self.words.places(words.dictionary, self._ids_of)[words.indices.to_numpy()][coded.indices.to_numpy(zero_copy_only=False)]
         each = self.words.length[place]
         ends = np.concatenate([[0], np.cumsum(each)])
+        kind = np.int32 if max(ends[-1], len(self.words.flat)) < 1 << 31 else np.int64
         # Position of every id: its word's begin plus its place in the word.
-        at = np.arange(ends[-1]) + np.repeat(self.words.begin[place] - ends[:-1], each)
+        at = np.repeat((self.words.begin[place] - ends[:-1]).astype(kind), each)
+        at += np.arange(ends[-1], dtype=kind)
         return self.words.flat[at], np.diff(ends[split.offsets.to_numpy() - first])
 
-    def _ids_of(self, chunks: list[str]) -> list[bytes]:
+    def _ids_of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids of different words in a row, where each word's begin and how many they are.
+
+        Words of letters are joined by Arrow and cut by their end sign; only the others become Python strings.
+        """
+        letters = pc.match_substring_regex(words, _LETTERS).to_numpy(zero_copy_only=False)
+        joined, counts = self._ids_of_letters(words.filter(pa.array(letters)))
+        others = words.filter(pa.array(~letters)).to_pylist()
         self.known = {}
-        known, _ = self._learn(set(chunks) - {""})
+        known, _ = self._learn(set(others) - {""})
         self.known = {}
-        return [known[c] if c else b"" for c in chunks]
+        rest = [known[c] if c else b"" for c in others]
+        begin, length = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        length[letters], length[~letters] = counts, [len(b) // 4 for b in rest]
+        begin[letters] = np.cumsum(counts) - counts
+        begin[~letters] = len(joined) + np.cumsum(length[~letters]) - length[~letters]
+        return np.concatenate([joined, np.frombuffer(b"".join(rest), "<u4")]), begin, length
+
+    def _ids_of_letters(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of words of letters in a row, and the number of each one's, for vocabularies that mark a word's end."""
+        starts = np.append(np.arange(0, len(words), JOINED_WORDS), len(words))
+        groups = pa.LargeListArray.from_arrays(pa.array(starts, pa.int64()), words)
+        texts = pc.binary_join(groups, pa.scalar(" ", pa.large_string())).to_pylist()
+        flat, counts = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
+        for k, e in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(e.ids, dtype="<u4")
+            edges = np.flatnonzero(self.edge[ids])
+            if len(edges) == starts[k + 1] - starts[k]:
+                counts.append(np.diff(edges, prepend=-1))
+            else:
+                alone = list(self._alone(words.slice(starts[k], starts[k + 1] - starts[k]).to_pylist()))
+                ids = np.frombuffer(b"".join(alone), "<u4")
+                counts.append(np.array([len(b) // 4 for b in alone], np.int64))
+            flat.append(ids)
+        return np.concatenate(flat), np.concatenate(counts)
 
 
 class Words:
@@ -154,8 +192,8 @@ class Words:
         self.words = pa.array([], pa.large_string())
         self.begin, self.length, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
 
-    def places(self, words: pa.Array, ids_of: Callable[[list[str]], list[bytes]]) -> np.ndarray:
-        """The place of each of the different ``words``; only new ones become Python strings."""
+    def places(self, words: pa.Array, ids_of: Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The place of each of the different ``words``; only new ones are asked for."""
         place = pc.index_in(words, value_set=self.words)
         fresh = words.filter(pc.is_null(place))
         if len(self.words) + len(fresh) > self.kept and len(self.words):
@@ -163,12 +201,11 @@ class Words:
             return self.places(words, ids_of)
         found = place.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
         if len(fresh):
-            ids = ids_of(fresh.to_pylist())
-            length = np.array([len(b) // 4 for b in ids], np.int64)
+            flat, begin, length = ids_of(fresh)
             found[found < 0] = len(self.words) + np.arange(len(fresh))
-            self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(length) - length])
+            self.begin = np.concatenate([self.begin, len(self.flat) + begin])
             self.length = np.concatenate([self.length, length])
-            self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(ids), "<u4")])
+            self.flat = np.concatenate([self.flat, flat])
             self.words = pa.concat_arrays([self.words, fresh])
         return found
 

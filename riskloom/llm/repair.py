@@ -177,7 +177,19 @@ class Shard:
         self.docs = np.frombuffer(data, _DOC, n_docs, at + 4 * n_symbols)
 
     def all_ids(self) -> np.ndarray:
-        return expand(self.symbols, self.rules, self.first)
+        """All ids: each rule is expanded once, then ids are gathered by symbol.
+
+        A rule has 16 uses or more, so a round's rules expand to a sixteenth of the ids at most.
+        """
+        rules = expand(self.first + np.arange(len(self.rules)), self.rules, self.first)
+        table = np.concatenate([np.arange(self.first, dtype=np.uint32), rules])
+        lengths = self.lengths.astype(np.int64)
+        begins = np.concatenate([np.arange(self.first), self.first + np.cumsum(lengths) - lengths])
+        sizes = symbol_sizes(self.symbols, lengths, self.first)
+        ends = np.cumsum(sizes)
+        at = np.repeat(begins[self.symbols] - (ends - sizes), sizes)
+        at += np.arange(len(at))
+        return table[at]
 
     def document(self, k: int) -> np.ndarray:
         """Ids of the k-th document, from its own symbols only."""

@@ -164,3 +164,46 @@ def test_rounds_look_at_live_positions_only(monkeypatch):
     rules, symbols = repair.compress(ids, 10_000, 2)
     assert np.array_equal(repair.expand(symbols, rules, 10_000), ids)
     assert len(looked) > 2 and max(looked[1:]) < 500
+
+
+def test_words_of_letters_stay_arrow(monkeypatch):
+    """Only what is no word of letters reaches Python, and a word in another case or before punctuation is met once."""
+    import string
+
+    import pyarrow as pa
+
+    words, met = bpe.ChunkEncoder(WORD, repair._WORD, fold=True), []
+    learn = words._learn
+    monkeypatch.setattr(words, "_learn", lambda seen: met.extend(seen) or learn(seen))
+    column = pa.array(["Été ÉTÉ été $$$ Word$$$ word%%% wOrd.", *(f"word{c} Été{c}{c}\tx{c}y é{c}" for c in string.punctuation)])
+    flat, counts = words.encode_words(column)
+    want = [words.tokenizer.encode(t, add_special_tokens=False).ids for t in column.to_pylist()]
+    assert flat.tolist() == [i for ids in want for i in ids] and counts.tolist() == [len(ids) for ids in want]
+    assert not any(c.isalpha() for c in met) and not {"Word$$$", "word%%%"} & set(met)
+    known = words.words.words.to_pylist()
+    assert known.count("été") == known.count("word") == 1 and not {"Été", "ÉTÉ"} & set(known)
+
+
+def test_many_words_of_letters(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(bpe, "JOINED_WORDS", 3)
+    words = bpe.ChunkEncoder(WORD, repair._WORD, fold=True)
+    for n in (0, 1, 3, 7):
+        texts = [f"{chr(97 + k) * (k + 1)} {'zq' * k}" for k in range(n)]
+        flat, counts = words.encode_words(pa.array(texts, pa.string()))
+        want = [words.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert flat.tolist() == [i for ids in want for i in ids] and counts.tolist() == [len(ids) for ids in want]
+    words.edge[:] = False  # No end sign is found: each word goes alone.
+    words.words.clear()
+    flat, _ = words.encode_words(pa.array(texts))
+    assert flat.tolist() == [i for ids in want for i in ids]
+
+
+def test_rules_are_expanded_once(monkeypatch):
+    ids = np.tile([3, 4, 5, 6, 7, 8], 3000).astype("<u4")
+    shard = repair.Shard(repair.to_bytes([1], [np.append(ids, 2).astype("<u4").tobytes()], 100, 2))
+    expanded, expand = [], repair.expand
+    monkeypatch.setattr(repair, "expand", lambda symbols, *rest: expanded.append(len(expand(symbols, *rest))) or expand(symbols, *rest))
+    assert np.array_equal(shard.all_ids(), np.append(ids, 2))
+    assert expanded == [int(shard.lengths.sum())] and expanded[0] < len(ids) / 4
