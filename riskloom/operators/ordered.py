@@ -177,6 +177,7 @@ def order_statistics(
     measures: Mapping[str, Column] | None = None,
     count_name: str = "n",
     sizes: DataFrame | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Exact values at given ranks per group by radix selection, plus further aggregate ``measures``.
 
@@ -186,16 +187,21 @@ def order_statistics(
     round: a round counts the values by their next 16 bits, all groups and ranks in one aggregate that
     adds up inside the tasks first, and keeps the cells that hold a wanted rank. So no group is
     sorted, however large it is; a cell with one value ends early, and four rounds end all. Each round
-    reads ``df`` once.
+    reads ``df`` once. ``weight``: a whole number per row, as how many rows it counts.
     """
     measures = dict(measures or {})
     keyed = df if keys else df.withColumn("_all", F.lit(0))
     grouped, keys = bool(keys), list(keys) or ["_all"]
     side = (
         sizes if sizes is not None
-        else keyed.groupBy(*keys).agg(F.count(value).alias("_n"), *[c.alias(n) for n, c in measures.items()])
+        else keyed.groupBy(*keys).agg(
+            (F.coalesce(F.sum(F.when(F.col(value).isNotNull(), F.col(weight))), F.lit(0)) if weight else F.count(value)).alias("_n"),
+            *[c.alias(n) for n, c in measures.items()],
+        )
     )
-    rows = keyed.select(*keys, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
+    held = [F.col(weight).alias("_w")] if weight else []
+    rows = keyed.select(*keys, F.col(value).alias("_v"), *held).where(F.col("_v").isNotNull())
+    number = F.sum("_w") if weight else F.count(F.lit(1))
     rows = rows.withColumn("_key", order_key("_v", df.schema[value].dataType))
     done, wanted = [], None
     for shift in (48, 32, 16, 0):
@@ -204,7 +210,7 @@ def order_statistics(
         if wanted is not None:
             inside.append("_prefix")
             cells = join_on(cells.withColumn("_prefix", F.shiftright("_cell", 16)), wanted.select(*inside), inside)
-        counted = cells.groupBy(*inside, "_cell").agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        counted = cells.groupBy(*inside, "_cell").agg(number.alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
         # At most 65,536 counters in a window.
         ordered = Window.partitionBy(*inside).orderBy("_cell")
         counted = counted.withColumn("_to", F.sum("_c").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)))

@@ -101,9 +101,10 @@ def stratified_folds(df: DataFrame, label: str, key: str, folds: int = 5, seed:
     Rows are ranked by (class, hash of the key); neighbours go to different folds, so each
     class is dealt out evenly wherever its ranks begin.
     """
-    order = [F.col(label).asc_nulls_first(), split_hash(key, seed + 1), F.col(key)]
-    ranked = R.global_rank(df, order, "_rank")
-    return ranked.withColumn(name, F.pmod(F.col("_rank") - 1, F.lit(folds)).cast("int")).drop("_rank")
+    # The hash is a column: a sort works out an expression anew in every comparison of two rows.
+    hashed = df.withColumn("_h", split_hash(key, seed + 1))
+    ranked = R.global_rank(hashed, [F.col(label).asc_nulls_first(), F.col("_h"), F.col(key)], "_rank")
+    return ranked.withColumn(name, F.pmod(F.col("_rank") - 1, F.lit(folds)).cast("int")).drop("_rank", "_h")
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:

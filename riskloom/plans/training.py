@@ -6,6 +6,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 from typing import Any
 
@@ -14,7 +15,6 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier, LogisticRegression, LogisticRegressionModel, RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import (
     OneHotEncoder, SQLTransformer, StandardScaler, StandardScalerModel, StringIndexer, StringIndexerModel,
     VectorAssembler,
@@ -107,22 +107,56 @@ def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     return {c: known.get(c, "") for c in columns}
 
 
+Fills = tuple[dict[str, float], dict[str, str]]
+
+
+def fills_by_fold(df: DataFrame, features: Sequence[str], fold: str, folds: int) -> dict[int | None, Fills]:
+    """``medians`` and ``modes`` of all rows (key None) and of the rows outside each fold.
+
+    The values of a fold are counted once; what lies outside of it is the sum of the others' counts.
+    """
+    numeric, other = PM.split_by_type(df, features)
+    parts = range(folds) if folds > 1 else ()
+    outside = F.array(*[F.lit(i) for i in (-1, *parts)])
+
+    def counted(columns: Sequence[str], kind: str) -> DataFrame:
+        rows = Q.long_form(df, columns, keep=[fold], kind=kind).where(F.col("value").isNotNull())
+        sums = R.stored(rows.groupBy("column", fold, "value").agg(F.count(F.lit(1)).alias("_c")))
+        return sums.select("column", "value", "_c", F.explode(F.filter(outside, lambda i: i != F.col(fold))).alias("_set"))
+
+    middle: dict = {}
+    common: dict = {}
+    if numeric:
+        found = R.order_statistics(counted(numeric, "double"), ["column", "_set"], "value", R.median_picks(), weight="_c")
+        # One row per column and fold, here and below.
+        middle = {(r["_set"], r["column"]): r["m"] for r in found.select("column", "_set", R.median_value().alias("m")).collect()}
+    if other:
+        sums = R.kept(counted(other, "string").groupBy("column", "_set", "value").agg(F.sum("_c").alias("n")))
+        best = sums.groupBy("column", "_set").agg(F.max("n").alias("n"))
+        tied = sums.join(best, ["column", "_set", "n"]).groupBy("column", "_set").agg(F.min("value").alias("v"))
+        common = {(r["_set"], r["column"]): r["v"] for r in tied.collect()}
+    return {
+        None if i < 0 else i: ({c: middle.get((i, c), 0.0) for c in numeric}, {c: common.get((i, c), "") for c in other})
+        for i in (-1, *parts)
+    }
+
+
 def _sql_text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def preprocessing_stages(df: DataFrame, features: Sequence[str]) -> list:
-    """Fill, scale and one-hot stages fitted on ``df``.
+def preprocessing_stages(df: DataFrame, features: Sequence[str], fills: Fills | None = None) -> list:
+    """Fill, scale and one-hot stages fitted on ``df``; ``fills``: its medians and modes where they are known.
 
     Numbers: exact median, then standardisation. Texts: mode, then one column per value,
     all zero for a value unseen in training (the extra slot never occurs there, so its
     coefficient stays 0).
     """
     numeric, other = PM.split_by_type(df, features)
-    middle, common = medians(df, numeric), modes(df, other)
-    fills = [f"coalesce(nullif(cast(`{c}` as double), double('NaN')), {middle[c]!r}D) AS `num__{c}`" for c in numeric]
-    fills += [f"coalesce(cast(`{c}` as string), {_sql_text(common[c])}) AS `cat__{c}`" for c in other]
-    stages: list = [SQLTransformer(statement="SELECT *, " + ", ".join(fills) + " FROM __THIS__")]
+    middle, common = fills or (medians(df, numeric), modes(df, other))
+    filled = [f"coalesce(nullif(cast(`{c}` as double), double('NaN')), {middle[c]!r}D) AS `num__{c}`" for c in numeric]
+    filled += [f"coalesce(cast(`{c}` as string), {_sql_text(common[c])}) AS `cat__{c}`" for c in other]
+    stages: list = [SQLTransformer(statement="SELECT *, " + ", ".join(filled) + " FROM __THIS__")]
     parts = []
     if numeric:
         stages += [
@@ -171,6 +205,8 @@ def fit_logistic(
     ``regParam`` is 1/(C n) with the n of the rows fitted: the loss is averaged here and summed in
     the usual C form. Preprocessing is fitted anew in every fold. The columns in use are stored once,
     so no later pass repeats what made them; a fold's vectors stay in memory (or spill) for its fits.
+    One count of the values gives the fills of all folds, and the held rows' scores by all models are
+    stored and measured together. A fold whose held rows have one class has no AUC and doesn't count.
     """
     used = R.stored(train.select(*dict.fromkeys([*features, label, key])))
     rows = S.stratified_folds(S.with_class_weights(used, label, "_weight"), label, key, folds, seed, "_fold")
@@ -179,32 +215,36 @@ def fit_logistic(
         featuresCol=FEATURES, labelCol="_label", weightCol="_weight", maxIter=200,
         standardization=False, elasticNetParam=0.0,
     )
-    auc = BinaryClassificationEvaluator(labelCol="_label", metricName="areaUnderROC", numBins=0)
+    fills = fills_by_fold(rows, features, "_fold", folds)
 
-    def validated(fold: int) -> list[float]:
+    def validated(fold: int) -> DataFrame:
         # Fills, scales and value lists come from the fold's own training rows.
         inner = rows.where(F.col("_fold") != fold)
-        prepared = Pipeline(stages=preprocessing_stages(inner, features)).fit(inner)
-        columns = [FEATURES, "_label", "_weight"]
-        inner = prepared.transform(inner).select(columns).persist()
-        held = prepared.transform(rows.where(F.col("_fold") == fold)).select(columns).persist()
+        prepared = Pipeline(stages=preprocessing_stages(inner, features, fills[fold])).fit(inner)
+        inner = prepared.transform(inner).select(FEATURES, "_label", "_weight").persist()
         n = inner.count()
-        out = [0.0] * len(c_grid)
+        scored = prepared.transform(rows.where(F.col("_fold") == fold)).select("_fold", "_label", FEATURES)
         for place, model in lr.fitMultiple(inner, [{lr.regParam: 1.0 / (c * n)} for c in c_grid]):
             # The measure needs the raw score only.
-            out[place] = auc.evaluate(model.setProbabilityCol("").setPredictionCol("").transform(held))
+            scored = model.setProbabilityCol("").setPredictionCol("").setRawPredictionCol(f"_raw{place}").transform(scored)
+        raw = [vector_to_array(f"_raw{place}")[1].alias(str(place)) for place in range(len(c_grid))]
+        scored = R.stored(scored.select("_fold", "_label", *raw), "held")
         inner.unpersist()
-        held.unpersist()
-        return out
+        return scored
 
     # Folds run side by side; each is a chain of small jobs.
-    found: list[list[float]] = []
+    means = dict.fromkeys(c_grid, float("nan"))
     if folds > 1:
         with ThreadPool(min(folds, FOLDS_AT_ONCE)) as pool:
-            found = pool.map(inheritable_thread_target(rows.sparkSession)(validated), range(folds), chunksize=1)
-    means = {c: sum(v) / len(v) if v else float("nan") for c, v in zip(c_grid, zip(*found) if found else [()] * len(c_grid))}
+            parts = pool.map(inheritable_thread_target(rows.sparkSession)(validated), range(folds), chunksize=1)
+        held = Q.long_form(reduce(DataFrame.unionByName, parts), [str(i) for i in range(len(c_grid))], ["_fold", "_label"], "double", "place")
+        # One row per fold and C.
+        areas = M.roc_auc(held, "_label", "value", ["place", "_fold"]).where("auc IS NOT NULL").orderBy("_fold").collect()
+        for place, c in enumerate(c_grid):
+            found = [r["auc"] for r in areas if r["place"] == str(place)]
+            means[c] = sum(found) / len(found) if found else float("nan")
     best = max(c_grid, key=lambda c: means[c]) if folds > 1 else c_grid[0]
-    stages = [*preprocessing_stages(rows, features), lr.setRegParam(1.0 / (best * rows.count()))]
+    stages = [*preprocessing_stages(rows, features, fills[None]), lr.setRegParam(1.0 / (best * rows.count()))]
     return Pipeline(stages=stages).fit(rows), best, means[best]
 
 

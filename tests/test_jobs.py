@@ -414,3 +414,46 @@ def test_a_fit_reads_its_input_once(spark, tmp_path):
     model, best, auc = T.fit_logistic(rows, ["x", "w"], "y", "k", c_grid=(0.1, 1.0), folds=2)
     assert read.value == 400 and best in (0.1, 1.0) and 0.8 < auc <= 1
     assert model.transform(rows).where("probability IS NULL").count() == 0
+
+
+def fold_rows(spark):
+    made = spark.range(300).selectExpr(
+        "concat('k', id) AS k", "CASE WHEN id % 9 <> 0 THEN CAST(id * id % 37 AS double) - 15 END AS x", "CAST(NULL AS double) AS z",
+        "CASE WHEN id % 8 <> 0 THEN concat('t', id * id % 5) END AS w", "CAST(id * id % 37 + id % 5 > 18 AS int) AS y", "CAST(id * 7 % 3 AS int) AS _fold",
+    )
+    return made.repartition(3).persist()
+
+
+def test_fills_of_all_folds_at_once(spark):
+    rows = fold_rows(spark)
+    got = T.fills_by_fold(rows, ["x", "z", "w"], "_fold", 3)
+    assert got[None] == (T.medians(rows, ["x", "z"]), T.modes(rows, ["w"]))
+    for fold in range(3):
+        inner = rows.where(F.col("_fold") != fold)
+        assert got[fold] == (T.medians(inner, ["x", "z"]), T.modes(inner, ["w"]))
+    assert set(T.fills_by_fold(rows, ["x"], "_fold", 1)) == {None}
+
+
+def test_folds_are_measured_together(spark, monkeypatch):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    calls, roc_auc, dealt = [], M.roc_auc, []
+    folds = T.S.stratified_folds
+    monkeypatch.setattr(M, "roc_auc", lambda *a: calls.append(a) or roc_auc(*a))
+    monkeypatch.setattr(T.S, "stratified_folds", lambda *a: dealt.append(folds(*a).persist()) or dealt[0])
+    grid = (0.001, 1.0)
+    _, best, auc = T.fit_logistic(fold_rows(spark).drop("_fold"), ["x", "w"], "y", "k", c_grid=grid, folds=2)
+    assert len(calls) == 1
+    rows = dealt[0].withColumn("_label", F.col("y").cast("double"))
+    measure = BinaryClassificationEvaluator(labelCol="_label", metricName="areaUnderROC", numBins=0)
+    want = {c: [] for c in grid}
+    for fold in range(2):
+        inner, held = rows.where(F.col("_fold") != fold), rows.where(F.col("_fold") == fold)
+        for c in grid:
+            lr = LogisticRegression(featuresCol="features", labelCol="_label", weightCol="_weight", maxIter=200, standardization=False, regParam=1 / (c * inner.count()))
+            model = Pipeline(stages=[*T.preprocessing_stages(inner, ["x", "w"]), lr]).fit(inner)
+            want[c].append(measure.evaluate(model.transform(held)))
+    means = {c: sum(v) / 2 for c, v in want.items()}
+    assert best == max(grid, key=means.get) and auc == pytest.approx(means[best], abs=1e-9)

@@ -443,3 +443,19 @@ def test_lockouts_of_a_history_in_slices(spark, parts):
             want[i] = (key, locked, len(times))
     assert got == want
     assert HI.lockouts(df.limit(0), "k", F.col("kind") == "f", F.col("kind") == "s").count() == 0
+
+
+def test_fold_hash_is_worked_out_before_the_sort(spark, monkeypatch):
+    sorted_rows, kept = [], R.kept
+    monkeypatch.setattr(R, "kept", lambda df: sorted_rows.append(df) or kept(df))
+    S.stratified_folds(spark.range(50).select("id", (F.col("id") % 2).alias("y")), "y", "id")
+    plan = sorted_rows[0]._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert any("Sort [" in line for line in plan) and not any("Sort [" in line and "md5" in line for line in plan)
+
+
+def test_weighted_order_statistics(spark):
+    rows = [("a", 1.5, 3), ("a", -2.0, 2), ("a", 9.0, 1), ("b", 4.0, 1), ("b", None, 5), ("c", None, 2)]
+    df = spark.createDataFrame(rows, "g string, v double, w long")
+    each = df.select("g", "v", F.explode(F.sequence(F.lit(1), F.col("w"))))
+    want = R.order_statistics(each, ["g"], "v", R.median_picks()).collect()
+    assert sorted(map(repr, R.order_statistics(df, ["g"], "v", R.median_picks(), weight="w").collect())) == sorted(map(repr, want))
