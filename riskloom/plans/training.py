@@ -33,6 +33,8 @@ from riskloom.operators.lineage import traced
 
 #: Folds that are fitted side by side.
 FOLDS_AT_ONCE = 5
+#: Feature values (rows x columns) worth a task of their own in a fit, and the most that one task should take.
+FIT_VALUES = 1_000_000, 5_000_000
 FEATURES = "features"
 
 
@@ -196,6 +198,16 @@ def transformed_names(bundle: ModelBundle) -> list[str]:
 # --- fitting ----------------------------------------------------------------
 
 
+def fit_partitions(values: int, cores: int, at_once: int) -> int:
+    """Partitions for the vectors of one of ``at_once`` fits that run side by side.
+
+    Every step of a fit is a job that waits for all its tasks and for a tree over their sums, so few
+    rows take few tasks; many take the fit's share of the cores, and more once a task would hold too much.
+    """
+    few, many = (-(-values // most) for most in FIT_VALUES)
+    return max(1, many, min(few, -(-cores // at_once)))
+
+
 def fit_logistic(
     train: DataFrame, features: Sequence[str], label: str, key: str,
     c_grid: Sequence[float] = tuple(K.C_GRID), folds: int = K.CV_FOLDS, seed: int = 42,
@@ -216,12 +228,14 @@ def fit_logistic(
         standardization=False, elasticNetParam=0.0,
     )
     fills = fills_by_fold(rows, features, "_fold", folds)
+    total, at_once = rows.count(), max(1, min(folds, FOLDS_AT_ONCE))
+    parts = fit_partitions(total * len(features) * (folds - 1) // folds, rows.sparkSession.sparkContext.defaultParallelism, at_once)
 
     def validated(fold: int) -> DataFrame:
         # Fills, scales and value lists come from the fold's own training rows.
         inner = rows.where(F.col("_fold") != fold)
         prepared = Pipeline(stages=preprocessing_stages(inner, features, fills[fold])).fit(inner)
-        inner = prepared.transform(inner).select(FEATURES, "_label", "_weight").persist()
+        inner = prepared.transform(inner).select(FEATURES, "_label", "_weight").coalesce(parts).persist()
         n = inner.count()
         scored = prepared.transform(rows.where(F.col("_fold") == fold)).select("_fold", "_label", FEATURES)
         for place, model in lr.fitMultiple(inner, [{lr.regParam: 1.0 / (c * n)} for c in c_grid]):
@@ -235,16 +249,16 @@ def fit_logistic(
     # Folds run side by side; each is a chain of small jobs.
     means = dict.fromkeys(c_grid, float("nan"))
     if folds > 1:
-        with ThreadPool(min(folds, FOLDS_AT_ONCE)) as pool:
-            parts = pool.map(inheritable_thread_target(rows.sparkSession)(validated), range(folds), chunksize=1)
-        held = Q.long_form(reduce(DataFrame.unionByName, parts), [str(i) for i in range(len(c_grid))], ["_fold", "_label"], "double", "place")
+        with ThreadPool(at_once) as pool:
+            scored = pool.map(inheritable_thread_target(rows.sparkSession)(validated), range(folds), chunksize=1)
+        held = Q.long_form(reduce(DataFrame.unionByName, scored), [str(i) for i in range(len(c_grid))], ["_fold", "_label"], "double", "place")
         # One row per fold and C.
         areas = M.roc_auc(held, "_label", "value", ["place", "_fold"]).where("auc IS NOT NULL").orderBy("_fold").collect()
         for place, c in enumerate(c_grid):
             found = [r["auc"] for r in areas if r["place"] == str(place)]
             means[c] = sum(found) / len(found) if found else float("nan")
     best = max(c_grid, key=lambda c: means[c]) if folds > 1 else c_grid[0]
-    stages = [*preprocessing_stages(rows, features, fills[None]), lr.setRegParam(1.0 / (best * rows.count()))]
+    stages = [*preprocessing_stages(rows, features, fills[None]), lr.setRegParam(1.0 / (best * total))]
     return Pipeline(stages=stages).fit(rows), best, means[best]
 
 

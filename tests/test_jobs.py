@@ -457,3 +457,19 @@ def test_folds_are_measured_together(spark, monkeypatch):
             want[c].append(measure.evaluate(model.transform(held)))
     means = {c: sum(v) / 2 for c, v in want.items()}
     assert best == max(grid, key=means.get) and auc == pytest.approx(means[best], abs=1e-9)
+
+
+def test_a_fit_takes_as_few_tasks_as_its_rows_need(spark, monkeypatch):
+    from pyspark.ml.classification import LogisticRegression
+
+    seen, fits = [], LogisticRegression.fitMultiple
+    monkeypatch.setattr(LogisticRegression, "fitMultiple", lambda self, df, maps: seen.append((df.rdd.getNumPartitions(), df.count())) or fits(self, df, maps))
+    rows = fold_rows(spark).drop("_fold")
+    _, best, auc = T.fit_logistic(rows, ["x", "w"], "y", "k", c_grid=(0.1, 1.0), folds=2)
+    assert seen == [(1, 150)] * 2
+    # Small tasks: the fit's share of the cores; and more tasks, not larger ones, beyond that.
+    monkeypatch.setattr(T, "FIT_VALUES", (100, 100_000))
+    assert T.fit_logistic(rows, ["x", "w"], "y", "k", c_grid=(0.1, 1.0), folds=2)[1:] == (best, pytest.approx(auc)) and seen[2:] == [(2, 150)] * 2
+    monkeypatch.undo()
+    few, many = T.FIT_VALUES
+    assert [T.fit_partitions(n, 12, 5) for n in (0, few, 2 * few, many, 100 * many)] == [1, 1, 2, 3, 100]
